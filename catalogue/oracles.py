@@ -50,8 +50,13 @@ area as (
 """
 
 
-def _r(column: str, places: int = 4) -> str:
-    return f"round({column}, {places}) + 0.0 as {column}"
+def _half_up(value: str, places: int = 4) -> str:
+    """Rounding as the queries do it."""
+    return f"floor(({value}) * 1e{places} + 0.5) / 1e{places}"
+
+
+def _r(column: str) -> str:
+    return f"{_half_up(column)} as {column}"
 
 
 MEASURES = f"{_r('rns')}, {_r('rev')}"
@@ -207,10 +212,10 @@ def _matrix() -> str:
     low = -1000000
     for high in _COLUMNS:
         cells.append(
-            f"coalesce(sum(rns) filter (where adv_days > {low} and adv_days <= {high}), 0.0) + 0.0 as d_{high}"
+            f"coalesce(sum(rns) filter (where adv_days > {low} and adv_days <= {high}), 0.0) as d_{high}"
         )
         low = high
-    cells.append(f"coalesce(sum(rns) filter (where adv_days > {low}), 0.0) + 0.0 as d_over")
+    cells.append(f"coalesce(sum(rns) filter (where adv_days > {low}), 0.0) as d_over")
     return f"select htl_cd, seg_cd, live_dt, {', '.join(cells)} from segments group by all"
 
 
@@ -312,8 +317,8 @@ def all_oracles() -> dict[str, str]:
                                      else i - p * (total // p) end as bigint) as unit_no
             from listed""",
         "fit_total": f"""
-            with {SEGMENTS} select htl_cd, live_dt, adv_days, {_r('sum(rns)').replace('as sum(rns)', 'as rns')},
-                   {_r('sum(rev)').replace('as sum(rev)', 'as rev')}, 'FIT_TOTAL' as seg_cd
+            with {SEGMENTS} select htl_cd, live_dt, adv_days, {_half_up('sum(rns)')} as rns,
+                   {_half_up('sum(rev)')} as rev, 'FIT_TOTAL' as seg_cd
             from segments join flags using (htl_cd, seg_cd) where is_pred = 'Y'
             group by htl_cd, live_dt, adv_days""",
         "pickup_matrix": f"with {SEGMENTS} {_matrix()}",
@@ -326,16 +331,16 @@ def all_oracles() -> dict[str, str]:
             per_day as (
               select htl_cd, seg_cd, live_dt, adv_days, sum(rns) as rns from segments
               where live_dt between date '1996-01-01' and date '2000-12-31' group by all)
-            select htl_cd, seg_cd, tag, adv_days, round(avg(rns), 4) + 0.0 as mean_rns
+            select htl_cd, seg_cd, tag, adv_days, {_half_up('avg(rns)')} as mean_rns
             from per_day join tags using (htl_cd, live_dt) group by all""",
         "weighted_combine": f"""
             with {FORECASTS}, conf as (
               select distinct {_KEYS}, {_ADV} from lineitem where l_suppkey%2 = 0)
-            select {keys}, round(
+            select {keys}, floor((
                 case when c.htl_cd is null then 1.0::double else cast('0.' || (adv_days%10) as double) end
                   * coalesce(l.rns, 0.0)
               + case when c.htl_cd is null then 0.0::double else cast('0.' || ((adv_days+3)%10) as double) end
-                  * coalesce(s.rns, 0.0), 4) + 0.0 as rns
+                  * coalesce(s.rns, 0.0)) * 1e4 + 0.5) / 1e4 as rns
             from long_term l full join short_term s using ({keys})
             left join conf c using (htl_cd, seg_cd, adv_days)""",
         "blend_weights": f"""
@@ -346,8 +351,8 @@ def all_oracles() -> dict[str, str]:
               group by 1, 2, 3),
             fitted as (select *, aa*bb - ab*ab as det from sums)
             select htl_cd, seg_cd, adv_days,
-                   round(case when det > 1e-9*aa*bb then (ay*bb - sy*ab)/det else 1.0 end, 6) + 0.0 as w1,
-                   round(case when det > 1e-9*aa*bb then (sy*aa - ay*ab)/det else 0.0 end, 6) + 0.0 as w2
+                   {_half_up("case when det > 1e-9*aa*bb then (ay*bb - sy*ab)/det else 1.0 end", 6)} as w1,
+                   {_half_up("case when det > 1e-9*aa*bb then (sy*aa - ay*ab)/det else 0.0 end", 6)} as w2
             from fitted""",
         "capacity_cap": f"""
             with {FORECASTS}, totals as (
@@ -355,7 +360,7 @@ def all_oracles() -> dict[str, str]:
             caps as (
               select cast(s_suppkey as varchar) as htl_cd, cast(s_suppkey%30+20 as double) as cap
               from supplier where s_suppkey%7 <> 0)
-            select {keys}, round(case when total > cap then rns * (cap / total) else rns end, 4) + 0.0 as rns
+            select {keys}, {_half_up("case when total > cap then rns * (cap / total) else rns end")} as rns
             from actual join totals using (htl_cd, live_dt, adv_days) left join caps using (htl_cd)""",
         "proportional_split": f"""
             with {FORECASTS}, totals as (
@@ -364,16 +369,16 @@ def all_oracles() -> dict[str, str]:
               select cast(l_suppkey as varchar) as htl_cd, cast(l_shipdate as date) as live_dt, {_ADV},
                      cast(sum(l_linenumber) as double) as fixed
               from lineitem where l_partkey%3 <> 0 group by all)
-            select {keys}, round(case when fixed is null then rns
-                                      when total <> 0 then fixed * (rns / total) else fixed / n end, 4) + 0.0 as rns
+            select {keys}, {_half_up("case when fixed is null then rns when total <> 0 then fixed * (rns / total) else fixed / n end")}
+                   as rns
             from actual join totals using (htl_cd, live_dt, adv_days)
             left join fixed using (htl_cd, live_dt, adv_days)""",
         "forecast_sum": f"""
             with {SEGMENTS}, prices as (
               select {_KEYS}, round(sum(l_extendedprice) / sum(l_quantity), 2) as price
               from lineitem group by all)
-            select htl_cd, live_dt, {_r('sum(rns)').replace('as sum(rns)', 'as rns')},
-                   round(sum(rns * price), 4) + 0.0 as rev
+            select htl_cd, live_dt, {_half_up('sum(rns)')} as rns,
+                   {_half_up('sum(rns * price)')} as rev
             from segments join prices using (htl_cd, seg_cd) group by all""",
         "forecast_gaps": """
             with expected as (

@@ -37,10 +37,15 @@ PUBLISH_HOTELS = ["H1", "H2", "H3"]
 
 
 def rounded(df: DataFrame, places: int = 4) -> DataFrame:
-    """Round doubles, so that the order of additions cannot show; adding 0.0 turns -0.0 into 0.0."""
+    """Round doubles half up, so that the order of additions cannot show.
+
+    Plain arithmetic: ``F.round`` goes through BigDecimal, which costs more
+    than the queries themselves.
+    """
+    scale = F.lit(10.0**places)
     return df.select(
         *[
-            (F.round(f.name, places) + F.lit(0.0)).alias(f.name)
+            (F.floor(F.col(f.name) * scale + 0.5) / scale).alias(f.name)
             if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
             for f in df.schema.fields
         ]
@@ -365,8 +370,8 @@ def day_tags_season(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tag_history_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(
         forecast.tag_history_mean(
-            star.segment_daily(spark, sf_dir), _tagged(spark, sf_dir, "weekday"),
-            date(1996, 1, 1), date(2000, 12, 31),
+            star.segment_daily(spark, sf_dir), star.quarter_seasons(spark, sf_dir),
+            star.special_days(spark, sf_dir), date(1996, 1, 1), date(2000, 12, 31),
         )
     )
 

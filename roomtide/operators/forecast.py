@@ -35,34 +35,21 @@ def pickup_matrix(segments: DataFrame, columns: Sequence[int] = MATRIX_COLUMNS)
     """One row per (hotel, segment, stay date), room nights in advance-day columns.
 
     A day belongs to the first column not smaller than it; days beyond the
-    last column go to ``d_over``. Conditional sums need one shuffle, with
-    partial sums on the map side.
+    last column go to ``d_over``. Sums per column are shuffled as narrow
+    rows and spread into columns only after the last exchange: wide partial
+    sums would be shuffled mostly empty.
     """
-    def cell(low: int | None, high: int | None) -> Column:
-        inside = F.lit(True)
-        if low is not None:
-            inside = inside & (F.col("adv_days") > low)
-        if high is not None:
-            inside = inside & (F.col("adv_days") <= high)
-        return F.sum(F.when(inside, F.col("rns")).otherwise(0.0))
-
-    lows = [None, *columns[:-1]]
-    cells = [cell(low, high).alias(f"d_{high}") for low, high in zip(lows, columns)]
-    return segments.groupBy("htl_cd", "seg_cd", "live_dt").agg(
-        *cells, cell(columns[-1], None).alias("d_over")
-    )
-
-
-def season_days(season_runs: DataFrame) -> DataFrame:
-    """(htl_cd, live_dt, season_id) from (start_dt, end_dt) runs; of overlapping runs the latest start wins."""
-    return (
-        season_runs.select(
-            "htl_cd", "season_id", "start_dt",
-            F.explode(F.sequence("start_dt", "end_dt")).alias("live_dt"),
-        )
-        .groupBy("htl_cd", "live_dt")
-        .agg(F.max_by("season_id", "start_dt").alias("season_id"))
+    keys = ["htl_cd", "seg_cd", "live_dt"]
+    position = F.coalesce(
+        *[F.when(F.col("adv_days") <= c, F.lit(i)) for i, c in enumerate(columns)], F.lit(len(columns))
     )
+    narrow = segments.groupBy(*keys, position.alias("position")).agg(F.sum("rns").alias("rns"))
+    names = [f"d_{c}" for c in columns] + ["d_over"]
+    cells = [
+        F.sum(F.when(F.col("position") == i, F.col("rns")).otherwise(0.0)).alias(name)
+        for i, name in enumerate(names)
+    ]
+    return narrow.repartition(*keys).groupBy(*keys).agg(*cells)
 
 
 def day_tags(
@@ -72,11 +59,12 @@ def day_tags(
     mode: str = "weekday",
     weekend: Sequence[int] = (5, 6, 7),
 ) -> DataFrame:
-    """Tag every (htl_cd, live_dt): special day code, else season and weekday part.
+    """Add ``tag`` to rows with (htl_cd, live_dt): special day code, else season and weekday part.
 
     ``mode`` is ``weekday``, ``weekendOrNot`` or ``noWeekday``; weekdays are
-    1 (Monday) to 7. Runs are expanded to dates, so both lookups are equi
-    joins and no date range is compared pairwise.
+    1 (Monday) to 7. Dates and season runs meet by an equi join on hotel and
+    month; the few runs touching a month are folded into one array, which the
+    date is looked up in. Of overlapping runs the latest start wins.
     """
     weekday = F.weekday("live_dt") + 1
     part = {
@@ -85,9 +73,17 @@ def day_tags(
         "noWeekday": F.lit(""),
     }[mode]
     codes = special_days.groupBy(F.col("day").alias("live_dt")).agg(F.min("day_code").alias("day_code"))
-    season = F.coalesce(F.col("season_id").cast("string"), F.lit("0"))
+    months = F.sequence(F.trunc("start_dt", "MM"), F.trunc("end_dt", "MM"), F.expr("interval 1 month"))
+    seasons = (
+        season_runs.withColumn("month", F.explode(months))
+        .groupBy("htl_cd", "month")
+        .agg(F.collect_list(F.struct("start_dt", "end_dt", "season_id")).alias("seasons"))
+    )
+    covering = F.filter("seasons", lambda s: F.col("live_dt").between(s["start_dt"], s["end_dt"]))
+    season = F.coalesce(F.array_max(covering)["season_id"].cast("string"), F.lit("0"))
     return (
-        days.join(season_days(season_runs), ["htl_cd", "live_dt"], "left")
+        days.withColumn("month", F.trunc("live_dt", "MM"))
+        .join(seasons, ["htl_cd", "month"], "left")
         .join(codes, "live_dt", "left")
         .withColumn(
             "tag",
@@ -96,14 +92,22 @@ def day_tags(
                 F.concat(F.lit("S"), season, part),
             ),
         )
-        .drop("season_id", "day_code")
+        .select(*days.columns, "tag")
     )
 
 
-def tag_history_mean(segments: DataFrame, tags: DataFrame, start: date, end: date) -> DataFrame:
+def tag_history_mean(
+    segments: DataFrame,
+    season_runs: DataFrame,
+    special_days: DataFrame,
+    start: date,
+    end: date,
+    mode: str = "weekday",
+    weekend: Sequence[int] = (5, 6, 7),
+) -> DataFrame:
     """Mean room nights per (hotel, segment, tag, advance day) over dates in [start, end].
 
-    Sums per date come first, so the tags are joined to the smaller table.
+    Sums per date come first, so fewer rows are tagged.
     """
     daily = (
         segments.where(F.col("live_dt").between(F.lit(start), F.lit(end)))
@@ -111,7 +115,7 @@ def tag_history_mean(segments: DataFrame, tags: DataFrame, start: date, end: dat
         .agg(F.sum("rns").alias("rns"))
     )
     return (
-        daily.join(tags, ["htl_cd", "live_dt"])
+        day_tags(daily, season_runs, special_days, mode, weekend)
         .groupBy("htl_cd", "seg_cd", "tag", "adv_days")
         .agg(F.avg("rns").alias("mean_rns"))
     )

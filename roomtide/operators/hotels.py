@@ -9,7 +9,7 @@ share of the rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 AREA_COLUMNS = ["city", "zone", "star", "location"]
 
@@ -54,15 +54,26 @@ def hotel_areas(dictionary: DataFrame, dedupe: bool = True) -> DataFrame:
     """(hotel_id, hotel_id_m, area columns) for every id a booking may carry.
 
     Joins the two lookups inside the dictionary, so that bookings need a
-    single join. An id that is only ever a master stands for itself.
+    single join. Each dictionary row also names its master as standing for
+    itself; that entry counts only for ids that are no child anywhere.
     """
-    masters = master_hotels(dictionary)
-    only_masters = (
-        dictionary.select(F.col("masterhotelid").alias("hotel_id")).distinct()
-        .join(masters.select("hotel_id"), "hotel_id", "left_anti")
-        .withColumn("hotel_id_m", F.col("hotel_id"))
+    def entry(hotel: str, is_child: bool) -> Column:
+        when = F.col("updatetime") if is_child else F.lit(None).cast("string")
+        return F.struct(
+            F.col(hotel).alias("hotel_id"),
+            F.struct(
+                F.lit(is_child).alias("is_child"), when.alias("updatetime"),
+                (-F.col("masterhotelid")).alias("neg"),
+            ).alias("rank"),
+        )
+
+    entries = dictionary.select(
+        F.inline(F.array(entry("hotel", True), entry("masterhotelid", False)))
+    )
+    masters = entries.groupBy("hotel_id").agg(F.max("rank").alias("pick"))
+    return masters.select("hotel_id", (-F.col("pick.neg")).alias("hotel_id_m")).join(
+        master_areas(dictionary, dedupe), "hotel_id_m"
     )
-    return masters.unionByName(only_masters).join(master_areas(dictionary, dedupe), "hotel_id_m")
 
 
 def with_master(bookings: DataFrame, dictionary: DataFrame) -> DataFrame:

@@ -19,9 +19,12 @@ def daily_room_nights(segments: DataFrame, flags: DataFrame) -> DataFrame:
 
     Segments flagged ``N`` add nothing but their dates still count as
     history, so a date with only such segments stays, with NULL room nights.
+    Sums per segment and date come first: the join then sees at most one row
+    per calendar day of a (hotel, segment), however busy the hotel is.
     """
     excluded = flags.where(F.col("is_pred") == "N").select("htl_cd", "seg_cd").distinct()
-    marked = segments.select("htl_cd", "seg_cd", "live_dt", "rns").join(
+    per_segment = segments.groupBy("htl_cd", "seg_cd", "live_dt").agg(F.sum("rns").alias("rns"))
+    marked = per_segment.join(
         excluded.withColumn("excluded", F.lit(True)), ["htl_cd", "seg_cd"], "left"
     )
     return marked.groupBy("htl_cd", "live_dt").agg(
