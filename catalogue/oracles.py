@@ -122,6 +122,30 @@ def _curve_oracles() -> dict[str, str]:
     return out
 
 
+def _event_sums() -> str:
+    """Per pair, booked, valid and cancelled sums put side by side."""
+    parts = []
+    for pair, dims in DIM_PAIRS.items():
+        columns = ", ".join(d if d in dims else f"cast(null as bigint) as {d}" for d in ("city", "star", "zone"))
+        parts.append(f"""
+          select '{pair}' as pair, {columns}, live_dt, cast(greatest(adv, 0) as integer) as adv_days,
+                 bool_or(kind = 'b') as booked, bool_or(kind = 'b' and cancel_dt is null) as valid,
+                 bool_or(kind = 'c') as gone,
+                 coalesce(sum(rns) filter (where kind = 'b'), 0.0) as booked_rns,
+                 coalesce(sum(rev) filter (where kind = 'b'), 0.0) as booked_rev,
+                 coalesce(sum(rns) filter (where kind = 'b' and cancel_dt is null), 0.0) as valid_rns,
+                 coalesce(sum(rev) filter (where kind = 'b' and cancel_dt is null), 0.0) as valid_rev,
+                 coalesce(sum(rns) filter (where kind = 'c'), 0.0) as gone_rns,
+                 coalesce(sum(rev) filter (where kind = 'c'), 0.0) as gone_rev
+          from happened group by {', '.join(dims)}, live_dt, greatest(adv, 0)""")
+    measures = ", ".join(_r(f"{k}_{m}") for k in ("booked", "valid", "gone") for m in ("rns", "rev"))
+    return f"""with {_area()}, happened as (
+          select *, 'b' as kind, live_dt - order_dt as adv from area
+          union all select *, 'c', live_dt - cancel_dt from area where cancel_dt is not null),
+        everything as ({' union all '.join(parts)})
+        select pair, city, star, zone, live_dt, adv_days, booked, valid, gone, {measures} from everything"""
+
+
 # --- segment tables ----------------------------------------------------------
 
 _KEYS = """cast(l_suppkey as varchar) as htl_cd, l_returnflag || l_linestatus as seg_cd"""
@@ -275,6 +299,7 @@ def all_oracles() -> dict[str, str]:
         "area_orders": area,
         "area_orders_from_nights": area,
         "area_orders_fanout": f"with {_area(fanout=True)} select {area_columns}, {MEASURES} from area",
+        "event_sums": _event_sums(),
         "season_weekly_mean": f"with {SEASON} select htl_cd, bucket, {_r('mean_rns')} from weekly",
         "season_bands": f"with {SEASON} select htl_cd, bucket, season_id from banded",
         "season_calendar": f"with {SEASON} select htl_cd, live_dt, season_id from calendar",

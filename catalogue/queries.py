@@ -185,6 +185,11 @@ def area_orders_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def event_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sums behind all curves of all dimension pairs, from one pass."""
+    return rounded(curves.event_sums(_area_rows(spark, sf_dir), star.DIM_PAIRS))
+
+
 def _curve_query(curve: Callable, dims: list[str], cancelled: bool | None) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return rounded(curve(_area_rows(spark, sf_dir, cancelled), dims))
@@ -423,7 +428,7 @@ def all_queries() -> dict[str, Query]:
         scan_delimited, scan_hotel_dict, scan_parquet, reference_passthrough, roundtrip_delimited,
         roundtrip_parquet, publish_by_hotel, publish_shared_first, scalar_dates,
         stay_nights, hotel_nights, area_orders, area_orders_from_nights, area_orders_fanout,
-        season_weekly_mean, season_bands, season_calendar, season_fallback,
+        event_sums, season_weekly_mean, season_bands, season_calendar, season_fallback,
         segment_flags, predconf_rows, price_model, inventory_field_defaults,
         hotel_history_span, backtest_windows, hotel_units,
         fit_total, pickup_matrix, day_tags, day_tags_weekend, day_tags_season, tag_history_mean,

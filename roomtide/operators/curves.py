@@ -125,37 +125,86 @@ def net_curve(booked: DataFrame, cancelled: DataFrame, dims: list[str]) -> DataF
     )
 
 
-def _pickup_sparse(area: DataFrame, dims: list[str]) -> DataFrame:
-    """Net sums on the days of the booking curve that carry any event.
+def _events(area: DataFrame) -> DataFrame:
+    """One row per booking and one more per cancellation, placed on their advance day.
 
-    Every order is one booking event and, if cancelled, also one cancel
-    event. Both are summed in the same aggregation, so the source is read
-    once and booking and cancel curves need not be joined. Days outside the
-    booking curve of their stay date are dropped, as ``net_curve`` does.
+    ``booked``, ``valid`` and ``gone`` are structs of measures, NULL where
+    the event is of another kind.
     """
-    none = F.lit(0.0)
-    booked = F.struct(
-        _folded("order_dt").alias("adv_days"), F.lit(True).alias("booked"),
-        *[F.col(m) for m in MEASURES],
-    )
-    gone = F.struct(
-        _folded("cancel_dt").alias("adv_days"), F.lit(False).alias("booked"),
-        *[(none - F.col(m)).alias(m) for m in MEASURES],
-    )
-    events = _dated(area, "order_dt").select(
-        *dims, "live_dt",
+    def event(event_dt: str, booked: bool) -> Column:
+        own = F.struct(*[F.col(m) for m in MEASURES])
+        never = F.when(F.lit(False), own)
+        return F.struct(
+            _folded(event_dt).alias("adv_days"),
+            (own if booked else never).alias("booked"),
+            (F.when(F.col("cancel_dt").isNull(), own) if booked else never).alias("valid"),
+            (never if booked else own).alias("gone"),
+        )
+
+    order, cancel = event("order_dt", True), event("cancel_dt", False)
+    rows = _dated(area, "order_dt")
+    others = [c for c in rows.columns if c not in MEASURES]
+    return rows.select(
+        *others,
         F.explode_outer(
-            F.when(F.col("cancel_dt").isNull(), F.array(booked)).otherwise(F.array(booked, gone))
+            F.when(F.col("cancel_dt").isNull(), F.array(order)).otherwise(F.array(order, cancel))
         ).alias("event"),
+    ).select(*others, "event.*")
+
+
+def _kind_sums(*kinds: str) -> list[Column]:
+    """Presence and sums of each kind of event: ``booked``, ``booked_rns`` and so on."""
+    out = []
+    for kind in kinds:
+        out.append(F.bool_or(F.col(kind).isNotNull()).alias(kind))
+        out += [F.coalesce(F.sum(f"{kind}.{m}"), F.lit(0.0)).alias(f"{kind}_{m}") for m in MEASURES]
+    return out
+
+
+def event_sums(area: DataFrame, pairs: dict[str, list[str]]) -> DataFrame:
+    """Booked, valid and cancelled sums per advance day for several dimension pairs at once.
+
+    Grouping sets read the area rows a single time for all pairs. ``pair``
+    names the set a row belongs to; the dimensions of other pairs are NULL.
+    """
+    dims = sorted({d for pair in pairs.values() for d in pair})
+    sets = [[*pair, "live_dt", "adv_days"] for pair in pairs.values()]
+    # grouping_id has one bit per dimension, set where the dimension is summed over
+    ids = {
+        name: sum(1 << (len(dims) + 1 - i) for i, d in enumerate(dims) if d not in pair)
+        for name, pair in pairs.items()
+    }
+    grouped = _events(area).groupingSets(sets, *dims, "live_dt", "adv_days").agg(
+        F.grouping_id().alias("gid"), *_kind_sums("booked", "valid", "gone")
+    )
+    name = F.coalesce(*[F.when(F.col("gid") == gid, F.lit(pair)) for pair, gid in ids.items()])
+    return grouped.withColumn("pair", name).drop("gid")
+
+
+def valid_part(sums: DataFrame, dims: list[str]) -> DataFrame:
+    """The summed valid curve out of event sums."""
+    return sums.where("valid").select(
+        *dims, "live_dt", "adv_days", *[F.col(f"valid_{m}").alias(m) for m in MEASURES]
     )
-    summed = events.groupBy(*dims, "live_dt", F.col("event.adv_days").alias("adv_days")).agg(
-        F.bool_or("event.booked").alias("booked"),
-        *[F.sum(f"event.{m}").alias(m) for m in MEASURES],
+
+
+def cancel_part(sums: DataFrame, dims: list[str]) -> DataFrame:
+    """The summed cancel curve out of event sums."""
+    return sums.where("gone").select(
+        *dims, "live_dt", "adv_days", *[F.col(f"gone_{m}").alias(m) for m in MEASURES]
     )
+
+
+def _within_bookings(net: DataFrame, dims: list[str]) -> DataFrame:
+    """Net sums on the days of the booking curve that carry any event.
+
+    Days outside the booking curve of their stay date are dropped, as
+    ``net_curve`` does.
+    """
     whole = _by_day_desc(dims).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     booked_day = F.when(F.col("booked"), F.col("adv_days"))
     return (
-        summed.withColumns(
+        net.withColumns(
             {"first_day": F.min(booked_day).over(whole), "last_day": F.max(booked_day).over(whole)}
         )
         .where(F.col("adv_days").between(F.col("first_day"), F.col("last_day")))
@@ -163,6 +212,21 @@ def _pickup_sparse(area: DataFrame, dims: list[str]) -> DataFrame:
     )
 
 
+def pickup_part(sums: DataFrame, dims: list[str]) -> DataFrame:
+    """The summed pickup curve, booked minus cancelled, out of event sums."""
+    net = [(F.col(f"booked_{m}") - F.col(f"gone_{m}")).alias(m) for m in MEASURES]
+    return _within_bookings(sums.select(*dims, "live_dt", "adv_days", "booked", *net), dims)
+
+
+def _pickup_sparse(area: DataFrame, dims: list[str]) -> DataFrame:
+    """Bookings and cancellations netted in one aggregation: one read, no join of curves."""
+    net = [F.sum(F.coalesce(f"booked.{m}", -F.col(f"gone.{m}"))).alias(m) for m in MEASURES]
+    sums = _events(area).groupBy(*dims, "live_dt", "adv_days").agg(
+        F.bool_or(F.col("booked").isNotNull()).alias("booked"), *net
+    )
+    return _within_bookings(sums, dims)
+
+
 def pickup_curve(area: DataFrame, dims: list[str]) -> DataFrame:
     """Booking curve minus cancel curve, from one pass over the area rows."""
     return densify(_pickup_sparse(area, dims), dims)
