@@ -1,0 +1,113 @@
+"""Stay nights, hotel lookups, hotel nights and area totals."""
+
+import pytest
+
+from roomtide.model import BOOKINGS, HOTEL_DICTIONARY
+from roomtide.operators.area import area_nights, area_orders, area_orders_from_bookings
+from roomtide.operators.hotels import hotel_areas, master_areas, with_master
+from roomtide.operators.nights import hotel_nights, stay_nights
+
+
+@pytest.fixture
+def book(spark, d):
+    def make(*bookings):
+        full = []
+        for i, b in enumerate(bookings):
+            row = dict(order_id=i, hotel_id=1, last_order_status="F", order_dt="2016-01-01",
+                       arr_dt="2016-02-01", dpt_dt="2016-02-03", cancel_dt=None, price_level=1,
+                       room_id=5, rns=2.0, rev=100.0)
+            row.update(b)
+            full.append(tuple(d(row[f]) if f.endswith("_dt") else row[f] for f in BOOKINGS.names))
+        return spark.createDataFrame(full, BOOKINGS)
+
+    return make
+
+
+@pytest.fixture
+def hotels(spark):
+    def make(*entries):
+        return spark.createDataFrame(
+            [tuple(e.get(f) for f in HOTEL_DICTIONARY.names) for e in entries], HOTEL_DICTIONARY
+        )
+
+    return make
+
+
+def test_nights_share_measures_evenly(book, rows, d):
+    nights = stay_nights(book({"dpt_dt": "2016-02-05"}))
+    assert rows(nights, "live_dt", "rns", "rev") == [
+        (d(f"2016-02-0{i}"), 0.5, 25.0) for i in range(1, 5)
+    ]
+
+
+@pytest.mark.parametrize("dpt", ["2016-02-01", "2016-01-30", None])
+def test_no_night_no_row(book, dpt):
+    assert stay_nights(book({"dpt_dt": dpt})).count() == 0
+
+
+def test_master_is_the_latest_entry_then_the_smallest(book, hotels, rows):
+    dictionary = hotels(
+        dict(hotel=1, masterhotelid=8, updatetime="2015"), dict(hotel=1, masterhotelid=9, updatetime="2016"),
+        dict(hotel=2, masterhotelid=7, updatetime="2016"), dict(hotel=2, masterhotelid=6, updatetime="2016"),
+    )
+    placed = with_master(book({"hotel_id": 1}, {"hotel_id": 2}, {"hotel_id": 3}), dictionary)
+    assert rows(placed, "hotel_id", "hotel_id_m") == [(1, 9), (2, 6), (3, 3)]
+
+
+def test_hotel_nights_sum_over_children(book, hotels, rows, d):
+    dictionary = hotels(dict(hotel=1, masterhotelid=9), dict(hotel=2, masterhotelid=9))
+    got = hotel_nights(book({"hotel_id": 1}, {"hotel_id": 2, "rev": 50.0}), dictionary)
+    assert rows(got, "hotel_id_m", "live_dt", "sub_room_id", "rns", "rev") == [
+        (9, d("2016-02-01"), 5, 2.0, 75.0), (9, d("2016-02-02"), 5, 2.0, 75.0),
+    ]
+
+
+def area(hotel, master, city, **more):
+    return dict(hotel=hotel, masterhotelid=master, city=city, zone=city, star=1, location=1, **more)
+
+
+def test_area_of_a_master_prefers_its_own_row(hotels, rows):
+    dictionary = hotels(area(1, 9, 100, updatetime="2017"), area(9, 9, 200, updatetime="2015"),
+                        area(4, 5, 300, updatetime="2016"), area(3, 5, 400, updatetime="2016"))
+    assert rows(master_areas(dictionary), "hotel_id_m", "city") == [(5, 400), (9, 200)]
+    assert master_areas(dictionary, dedupe=False).count() == 4
+
+
+def test_hotel_areas_cover_children_and_mere_masters(hotels, rows):
+    dictionary = hotels(area(1, 9, 100), area(2, 1, 200))
+    assert rows(hotel_areas(dictionary), "hotel_id", "hotel_id_m", "city") == [
+        (1, 9, 100), (2, 1, 200), (9, 9, 100),
+    ]
+
+
+def test_area_orders_drop_unknown_hotels_early_and_backdated_stays(book, hotels, rows, d):
+    dictionary = hotels(area(1, 1, 100))
+    source = book(
+        {"rev": 100.0}, {"rev": 300.0}, {"hotel_id": 77},
+        {"order_dt": "2016-02-02"},
+        {"arr_dt": "2013-12-31", "dpt_dt": "2014-01-02", "order_dt": "2013-01-01"},
+    )
+    got = area_orders(hotel_nights(source, dictionary), dictionary)
+    assert rows(got, "city", "order_dt", "live_dt", "rns", "rev") == sorted([
+        (100, d("2016-01-01"), d("2016-02-01"), 2.0, 200.0),
+        (100, d("2016-01-01"), d("2016-02-02"), 2.0, 200.0),
+        (100, d("2016-02-02"), d("2016-02-02"), 1.0, 50.0),
+        (100, d("2013-01-01"), d("2014-01-01"), 1.0, 50.0),
+    ], key=repr)
+
+
+@pytest.mark.parametrize("dedupe", [True, False])
+def test_both_ways_to_area_orders_agree(book, hotels, rows, dedupe):
+    dictionary = hotels(area(1, 9, 100), area(2, 9, 200), area(3, 3, 300))
+    source = book({"hotel_id": 1}, {"hotel_id": 2}, {"hotel_id": 9}, {"hotel_id": 3, "cancel_dt": "2016-01-20"})
+    two_steps = area_orders(hotel_nights(source, dictionary), dictionary, dedupe=dedupe)
+    one_step = area_orders_from_bookings(source, dictionary, dedupe=dedupe)
+    assert rows(two_steps) == rows(one_step.select(*two_steps.columns))
+    per_city = {r.city: r["count"] for r in one_step.groupBy("city").count().collect()}
+    assert per_city == ({100: 2, 300: 2} if dedupe else {100: 2, 200: 2, 300: 2})
+
+
+def test_unknown_star_is_kept_as_a_group(book, hotels):
+    dictionary = hotels(dict(hotel=1, masterhotelid=1, city=5))
+    [first, second] = area_nights(book({}), dictionary).collect()
+    assert first.star is None and second.city == 5
