@@ -243,6 +243,30 @@ def _matrix() -> str:
     return f"select htl_cd, seg_cd, live_dt, {', '.join(cells)} from segments group by all"
 
 
+WINDOWS = """
+spans as (
+  select cast(l_suppkey as varchar) as htl_cd, cast(min(l_shipdate) as date) as lo,
+         least(cast(max(l_shipdate) as date), date '2001-06-30') as hi
+  from lineitem group by 1),
+ends as (select *, lo + cast(trunc((hi - lo) * 0.8) as integer) as train_end from spans),
+windows as (
+  select htl_cd, train_end - 365 as weight_start, train_end as weight_end, lo as train_start, train_end,
+         hi - cast(trunc((hi - lo) * 0.5) as integer) as test_start, hi as test_end
+  from ends)
+"""
+
+UNITS = """
+listed as (
+  select cast(s_suppkey as varchar) as htl_cd,
+         row_number() over (order by cast(s_suppkey as varchar)) - 1 as i,
+         count(*) over () as total, least(7, count(*) over ()) as p
+  from supplier),
+units as (
+  select htl_cd, cast(case when i < p * (total // p) then i // (total // p)
+                           else i - p * (total // p) end as bigint) as unit_no
+  from listed)
+"""
+
 COURSES = """
 with student as (
   select c_custkey as id, c_name as name, cast(c_custkey%40+10 as integer) as age from customer),
@@ -278,7 +302,7 @@ def all_oracles() -> dict[str, str]:
         "read_snapshot": """
             select o_orderkey, o_custkey, o_totalprice from orders
             where year(o_orderdate) = 2001 and month(o_orderdate) = 6""",
-        "reference_passthrough": "select c_custkey || '#' || c_name as value from customer",
+        "reference_passthrough": "select c_custkey || '#' || c_name as line from customer",
         "roundtrip_parquet": per_hotel,
         "publish_by_hotel": f"""
             with {SEGMENTS} select 'v1' as version, unnest(['H1', 'H2', 'H3']) as htl_cd, 'is_predict' as name,
@@ -323,24 +347,9 @@ def all_oracles() -> dict[str, str]:
             select cast(l_suppkey as varchar) as htl_cd, cast(min(l_shipdate) as date) as min_dt,
                    cast(max(l_shipdate) as date) as max_dt
             from lineitem group by 1""",
-        "backtest_windows": """
-            with spans as (
-              select cast(l_suppkey as varchar) as htl_cd, cast(min(l_shipdate) as date) as lo,
-                     least(cast(max(l_shipdate) as date), date '2001-06-30') as hi
-              from lineitem group by 1),
-            ends as (select *, lo + cast(trunc((hi - lo) * 0.8) as integer) as train_end from spans)
-            select htl_cd, train_end - 365 as weight_start, train_end as weight_end, lo as train_start, train_end,
-                   hi - cast(trunc((hi - lo) * 0.5) as integer) as test_start, hi as test_end
-            from ends""",
-        "hotel_units": """
-            with listed as (
-              select cast(s_suppkey as varchar) as htl_cd,
-                     row_number() over (order by cast(s_suppkey as varchar)) - 1 as i,
-                     count(*) over () as total, least(7, count(*) over ()) as p
-              from supplier)
-            select htl_cd, cast(case when i < p * (total // p) then i // (total // p)
-                                     else i - p * (total // p) end as bigint) as unit_no
-            from listed""",
+        "backtest_windows": f"with {WINDOWS} select * from windows",
+        "hotel_units": f"with {UNITS} select htl_cd, unit_no from units",
+        "backtest_plan": f"with {UNITS}, {WINDOWS} select * from units left join windows using (htl_cd)",
         "fit_total": f"""
             with {SEGMENTS} select htl_cd, live_dt, adv_days, {_half_up('sum(rns)')} as rns,
                    {_half_up('sum(rev)')} as rev, 'FIT_TOTAL' as seg_cd

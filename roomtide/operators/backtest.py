@@ -61,3 +61,12 @@ def hotel_units(hotels: DataFrame, units: int) -> DataFrame:
             .alias("unit_no"),
         )
     )
+
+
+def backtest_plan(
+    segments: DataFrame, hotels: DataFrame, as_of: date, units: int,
+    train_ratio: float = 1.0, test_ratio: float = 0.5, weight_days: int = 365,
+) -> DataFrame:
+    """Work unit and own windows of every hotel; a hotel without history has NULL windows."""
+    windows = backtest_windows(hotel_history_span(segments), as_of, train_ratio, test_ratio, weight_days)
+    return hotel_units(hotels, units).join(windows, "htl_cd", "left")

@@ -10,7 +10,7 @@ from roomtide.model import AREA_ORDERS
 from roomtide.operators import curves
 from roomtide.operators.area import MIN_LIVE_DT, area_orders
 from roomtide.operators.nights import hotel_nights
-from roomtide.sources import read_parquet, snapshot_key, write_delimited, write_parquet, write_partitioned
+from roomtide.sources import dated_path, read_parquet, write_delimited, write_parquet, write_partitioned
 
 PAIRS = {
     "city_star": ["city", "star"],
@@ -37,17 +37,16 @@ def run_daily(
     compression: str = "gzip",
     partitions: int | None = None,
 ) -> dict[str, str]:
-    """Write ``<root>/<table>/<yyyyMMdd>`` for every table; return the paths by table.
+    """Write every table to ``<root>/<table>/<yyyyMMdd>``; return the paths by table.
 
     Each stored table is the input of the next step, so nothing is computed
     twice and a lost executor costs one step at most. All curves come from
     one pass over the area totals, stored as event sums by dimension pair.
     """
-    day = snapshot_key(dt, as_of)
     paths: dict[str, str] = {}
 
     def target(name: str) -> str:
-        paths[name] = f"{root.rstrip('/')}/{name}/{day}"
+        paths[name] = dated_path(f"{root.rstrip('/')}/{name}", dt, as_of)
         return paths[name]
 
     write_parquet(hotel_nights(bookings, dictionary), target("hotel_nights"))

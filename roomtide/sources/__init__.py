@@ -1,4 +1,5 @@
 from roomtide.sources.readers import (
+    dated_path,
     read_delimited,
     read_jdbc,
     read_lines,
@@ -10,6 +11,6 @@ from roomtide.sources.readers import (
 from roomtide.sources.writers import write_delimited, write_parquet, write_partitioned
 
 __all__ = [
-    "read_delimited", "read_jdbc", "read_lines", "read_named_fields", "read_parquet",
+    "dated_path", "read_delimited", "read_jdbc", "read_lines", "read_named_fields", "read_parquet",
     "read_snapshot", "snapshot_key", "write_delimited", "write_parquet", "write_partitioned",
 ]

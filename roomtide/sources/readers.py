@@ -37,8 +37,8 @@ def read_named_fields(
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Every non-blank line of a folder, as column ``value``."""
-    return spark.read.text(path).where(F.col("value") != "")
+    """Every non-blank line of a folder, as column ``line``."""
+    return spark.read.text(path).where(F.col("value") != "").withColumnRenamed("value", "line")
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -54,6 +54,11 @@ def snapshot_key(dt: str | date, as_of: date | None = None) -> str:
     return dt.strftime("%Y%m%d") if isinstance(dt, date) else dt
 
 
+def dated_path(root: str, dt: str | date, as_of: date | None = None) -> str:
+    """``<root>/<yyyyMMdd>``, for tables kept in one plain folder per day."""
+    return f"{root.rstrip('/')}/{snapshot_key(dt, as_of)}"
+
+
 def read_snapshot(
     spark: SparkSession, root: str, dt: str | date, as_of: date | None = None
 ) -> DataFrame:

@@ -7,9 +7,12 @@ from roomtide.model import curve_layout
 from roomtide.operators import curves
 from roomtide.operators.area import area_nights
 from roomtide.plans.otb import PAIRS, run_daily
+from roomtide.plans.reference_tables import (
+    publish_reference_tables, reference_tables, upload_reference_tables,
+)
 from roomtide.plans.sql_list import SqlStatement, TableFile, open_tables, run_statements
 from roomtide.session import scratch_path
-from roomtide.sources import read_delimited, write_delimited
+from roomtide.sources import read_delimited, read_lines
 
 SF = "/root/testdata/sf0.001"
 DIRECT = {
@@ -42,6 +45,33 @@ def test_daily_job_writes_every_curve(spark):
             )
 
 
+def test_reference_tables_per_hotel(spark, rows):
+    flags = spark.createDataFrame([("H1", "A", "Y"), ("H2", "A", "N")], "htl_cd string, seg_cd string, is_pred string")
+    bar_map = spark.createDataFrame(
+        [("H1", 1, "RT", 0, 50)], "htl_cd string, season int, zh_rt_cd string, min_occ_pert int, max_occ_pert int"
+    )
+    seasons = spark.createDataFrame([("H1", "s1"), ("H2", "s2"), ("H9", "s9")], "htl_cd string, line string")
+    fields = spark.createDataFrame([("H1", "tosell")], "htl_cd string, field string")
+    others = {"specialday": spark.createDataFrame([("day1",), ("day2",)], "line string")}
+    tables = reference_tables("v1", ["H1", "H2"], flags, bar_map, seasons, fields, others)
+    assert rows(tables.where("htl_cd = 'H2'"), "name", "line") == [
+        ("invt_field_config", "H1#tosell"), ("invt_field_config", "H2#rooms"),
+        ("is_predict", "H1#A#Y"), ("is_predict", "H2#A#N"),
+        ("predconf", "#H1#A###Y###"), ("predconf", "#H2#A###N###"),
+        ("price_model", "1#H1#1#RT#0#50#"), ("season", "s2"),
+        ("specialday", "day1"), ("specialday", "day2"),
+    ]
+    assert rows(tables.where("htl_cd = 'H1' and name = 'invt_field_config'"), "line") == [("H1#tosell",)]
+
+    published, uploaded = scratch_path(spark, "published"), scratch_path(spark, "uploaded")
+    publish_reference_tables(tables, published)
+    assert rows(read_lines(spark, f"{published}/version=v1/htl_cd=H2/name=season")) == [("s2",)]
+    upload_reference_tables(tables, uploaded)
+    assert rows(read_lines(spark, f"{uploaded}/version=v1/name=specialday/htl_cd=H1")) == [("day1",), ("day2",)]
+    names = {(r.name, r.htl_cd) for r in spark.read.text(uploaded).select("name", "htl_cd").collect()}
+    assert {n for n, h in names if h == "H2"} == {"predconf", "season"}
+
+
 def test_sql_list_from_files(spark, tmp_path, rows):
     def put(name, text):
         (tmp_path / name).mkdir()

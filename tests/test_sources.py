@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from roomtide.model import AREA_ORDERS, text_layout
 from roomtide.session import scratch_path
 from roomtide.sources import (
-    read_delimited, read_lines, read_named_fields, read_parquet, read_snapshot, snapshot_key,
+    dated_path, read_delimited, read_jdbc, read_lines, read_named_fields, read_parquet, read_snapshot, snapshot_key,
     write_delimited, write_parquet, write_partitioned,
 )
 
@@ -57,7 +57,7 @@ def test_byte_order_mark_and_hidden_files(spark, tmp_path):
     folder = tmp_path / "lines"
     put(folder, "﻿one\n\ntwo\n")
     put(folder, "hidden\n", ".part")
-    assert sorted(r.value for r in read_lines(spark, str(folder)).collect()) == ["one", "two"]
+    assert sorted(r.line for r in read_lines(spark, str(folder)).collect()) == ["one", "two"]
 
 
 def test_delimited_roundtrip_compressed(spark, tmp_path):
@@ -103,6 +103,19 @@ def test_snapshot_key():
         snapshot_key("now")
 
 
+def test_dated_path():
+    assert dated_path("/p/orders/", "now", date(2016, 5, 12)) == "/p/orders/20160511"
+
+
+def test_partitioned_jdbc_read_needs_bounds(spark):
+    with pytest.raises(ValueError):
+        read_jdbc(spark, "jdbc:none", "t", "u", "p", partition_column="id", partitions=4)
+
+
+def test_partitioned_write_rebalances_by_folder(spark, plan):
+    assert "RebalancePartitions" in plan(spark.range(4).withColumn("dt", F.lit("x")).hint("rebalance", "dt"))
+
+
 def test_scratch_paths_are_fresh_and_below_the_shared_folder(spark):
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert first != second and first.startswith(spark.conf.get("spark.checkpoint.dir"))
