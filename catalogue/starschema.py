@@ -7,7 +7,7 @@ and cancellations after the stay date.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roomtide.model import HOTEL_DICTIONARY
 
@@ -17,9 +17,21 @@ DIM_PAIRS = {
     "zone_star": ["zone", "star"],
 }
 
+# Given schemas spare the job that would read them from the parquet footers.
+SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def bookings(spark: SparkSession, sf_dir: str, cancelled: bool | None = None) -> DataFrame:
@@ -30,204 +42,177 @@ def bookings(spark: SparkSession, sf_dir: str, cancelled: bool | None = None) ->
     """
     lines = table(spark, sf_dir, "lineitem")
     if cancelled is not None:
-        returned = F.col("l_returnflag") == "R"
-        lines = lines.where(returned if cancelled else ~returned)
-    lead = ((F.col("l_partkey") * 7 + F.col("l_linenumber")) % 60 - 2).cast("int")
-    nights = (F.col("l_suppkey") % 5).cast("int")
-    order_dt = F.col("o_orderdate").cast("date")
-    return lines.join(
-        table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
-    ).select(
-        F.col("o_orderkey").alias("order_id"),
-        F.col("l_suppkey").alias("hotel_id"),
-        F.col("o_orderstatus").alias("last_order_status"),
-        order_dt.alias("order_dt"),
-        F.date_add(order_dt, lead).alias("arr_dt"),
-        F.date_add(order_dt, lead + nights).alias("dpt_dt"),
-        F.when(
-            F.col("l_returnflag") == "R", F.date_add(order_dt, (F.col("l_partkey") % 40).cast("int"))
-        ).alias("cancel_dt"),
-        (F.col("l_partkey") % 8 + 1).cast("int").alias("price_level"),
-        (F.col("l_partkey") % 10).cast("int").alias("room_id"),
-        F.col("l_quantity").alias("rns"),
-        F.col("l_extendedprice").alias("rev"),
+        lines = lines.where("l_returnflag = 'R'" if cancelled else "l_returnflag <> 'R'")
+    orders = table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "l_orderkey")
+    lead = "cast((l_partkey * 7 + l_linenumber) % 60 - 2 as int)"
+    return lines.join(orders, "l_orderkey").selectExpr(
+        "l_orderkey as order_id",
+        "l_suppkey as hotel_id",
+        "o_orderstatus as last_order_status",
+        "cast(o_orderdate as date) as order_dt",
+        f"date_add(cast(o_orderdate as date), {lead}) as arr_dt",
+        f"date_add(cast(o_orderdate as date), {lead} + cast(l_suppkey % 5 as int)) as dpt_dt",
+        "case when l_returnflag = 'R' "
+        "then date_add(cast(o_orderdate as date), cast(l_partkey % 40 as int)) end as cancel_dt",
+        "cast(l_partkey % 8 + 1 as int) as price_level",
+        "cast(l_partkey % 10 as int) as room_id",
+        "l_quantity as rns",
+        "l_extendedprice as rev",
     )
 
 
 def hotel_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers as hotels; two neighbours share a master."""
-    key = F.col("s_suppkey")
     known = {
-        "hotel": key,
-        "location": key % 7,
-        "hotelname": F.col("s_name"),
-        "star": key % 5,
-        "city": F.col("s_nationkey").cast("long"),
-        "zone": F.col("s_nationkey").cast("long") * 10 + key % 3,
-        "masterhotelid": key - key % 2,
-        "updatetime": F.lit("2016-01-01 00:00:00"),
+        "hotel": "s_suppkey",
+        "location": "s_suppkey % 7",
+        "hotelname": "s_name",
+        "star": "s_suppkey % 5",
+        "city": "cast(s_nationkey as bigint)",
+        "zone": "cast(s_nationkey as bigint) * 10 + s_suppkey % 3",
+        "masterhotelid": "s_suppkey - s_suppkey % 2",
+        "updatetime": "'2016-01-01 00:00:00'",
     }
-    return table(spark, sf_dir, "supplier").select(
-        *[
-            known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in HOTEL_DICTIONARY.fields
-        ]
+    return table(spark, sf_dir, "supplier").selectExpr(
+        *[f"{known.get(name, 'cast(null as string)')} as {name}" for name in HOTEL_DICTIONARY.names]
     )
 
 
-def _hotel() -> Column:
-    return F.col("l_suppkey").cast("string").alias("htl_cd")
-
-
-def _segment() -> Column:
-    return F.concat("l_returnflag", "l_linestatus").alias("seg_cd")
-
-
-def _advance() -> Column:
-    p = F.col("l_partkey") * 7 + F.col("l_linenumber")
-    return ((p % 20) * (p % 21)).cast("int").alias("adv_days")
+HOTEL = "cast(l_suppkey as string) as htl_cd"
+SEGMENT = "concat(l_returnflag, l_linestatus) as seg_cd"
+LIVE = "cast(l_shipdate as date) as live_dt"
+ADVANCE = "cast((l_partkey * 7 + l_linenumber) % 20 * ((l_partkey * 7 + l_linenumber) % 21) as int) as adv_days"
 
 
 def segment_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segment daily sums by hotel, segment, membership, stay date and advance day."""
-    member = F.when(F.col("l_linenumber") % 2 == 0, "Y").otherwise("N")
     return (
         table(spark, sf_dir, "lineitem")
-        .groupBy(
-            _hotel(), _segment(), member.alias("is_member"),
-            F.col("l_shipdate").cast("date").alias("live_dt"), _advance(),
+        .selectExpr(
+            HOTEL, SEGMENT, "if(l_linenumber % 2 = 0, 'Y', 'N') as is_member", LIVE, ADVANCE,
+            "l_quantity", "l_extendedprice",
         )
+        .groupBy("htl_cd", "seg_cd", "is_member", "live_dt", "adv_days")
         .agg(F.sum("l_quantity").alias("rns"), F.sum("l_extendedprice").alias("rev"))
     )
 
 
-def _forecast(lines: DataFrame, measure: Column) -> DataFrame:
-    return lines.groupBy(
-        _hotel(), _segment(), F.col("l_shipdate").cast("date").alias("live_dt"), _advance()
-    ).agg(F.sum(measure).alias("rns"))
+def _forecast(spark: SparkSession, sf_dir: str, lines: str, measure: str) -> DataFrame:
+    return (
+        table(spark, sf_dir, "lineitem").where(lines)
+        .selectExpr(HOTEL, SEGMENT, LIVE, ADVANCE, f"{measure} as measure")
+        .groupBy("htl_cd", "seg_cd", "live_dt", "adv_days")
+        .agg(F.sum("measure").alias("rns"))
+    )
 
 
 def actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _forecast(table(spark, sf_dir, "lineitem"), F.col("l_quantity"))
+    return _forecast(spark, sf_dir, "true", "l_quantity")
 
 
 def long_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").where(F.col("l_linenumber") != 7)
-    return _forecast(lines, F.col("l_quantity") + F.col("l_linenumber"))
+    return _forecast(spark, sf_dir, "l_linenumber <> 7", "l_quantity + l_linenumber")
 
 
 def short_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").where(F.col("l_linenumber") != 1)
-    return _forecast(lines, F.col("l_quantity") * (F.col("l_partkey") % 3 + 1))
+    return _forecast(spark, sf_dir, "l_linenumber <> 1", "l_quantity * (l_partkey % 3 + 1)")
 
 
 def fixed_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hotel totals to be split over segments; some keys have none."""
     return (
-        table(spark, sf_dir, "lineitem").where(F.col("l_partkey") % 3 != 0)
-        .groupBy(_hotel(), F.col("l_shipdate").cast("date").alias("live_dt"), _advance())
-        .agg(F.sum(F.col("l_linenumber").cast("double")).alias("rns"))
+        table(spark, sf_dir, "lineitem").where("l_partkey % 3 <> 0")
+        .selectExpr(HOTEL, LIVE, ADVANCE, "cast(l_linenumber as double) as measure")
+        .groupBy("htl_cd", "live_dt", "adv_days")
+        .agg(F.sum("measure").alias("rns"))
     )
 
 
 def weight_conf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Packed weight pairs; odd hotels have none."""
-    pair = F.concat(
-        F.lit("0."), (F.col("adv_days") % 10).cast("string"),
-        F.lit(",0."), ((F.col("adv_days") + 3) % 10).cast("string"),
-    )
     return (
-        table(spark, sf_dir, "lineitem").where(F.col("l_suppkey") % 2 == 0)
-        .select(_hotel(), _segment(), _advance()).distinct()
-        .withColumn("weights", pair)
+        table(spark, sf_dir, "lineitem").where("l_suppkey % 2 = 0")
+        .selectExpr(HOTEL, SEGMENT, ADVANCE).distinct()
+        .selectExpr("*", "concat('0.', adv_days % 10, ',0.', (adv_days + 3) % 10) as weights")
     )
 
 
 def market_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The segment table of the forecast database."""
-    silent = (F.col("l_suppkey") + F.ascii("l_returnflag")) % 4 == 0
-    return (
-        table(spark, sf_dir, "lineitem")
-        .select(_hotel(), _segment(), F.when(silent, "N").otherwise("Y").alias("is_forecast"))
-        .distinct()
-    )
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        HOTEL, SEGMENT, "if((l_suppkey + ascii(l_returnflag)) % 4 = 0, 'N', 'Y') as is_forecast"
+    ).distinct()
 
 
 def hotel_bar_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The price table of the forecast database, repeated rows included."""
-    low = (F.col("l_partkey") % 5 * 20).cast("int")
-    return table(spark, sf_dir, "lineitem").select(
-        _hotel(),
-        (F.col("l_partkey") % 4 + 1).cast("int").alias("season"),
-        F.concat(F.lit("RT"), (F.col("l_linenumber") % 3).cast("string")).alias("zh_rt_cd"),
-        low.alias("min_occ_pert"), (low + 20).alias("max_occ_pert"),
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        HOTEL,
+        "cast(l_partkey % 4 + 1 as int) as season",
+        "concat('RT', l_linenumber % 3) as zh_rt_cd",
+        "cast(l_partkey % 5 * 20 as int) as min_occ_pert",
+        "cast(l_partkey % 5 * 20 + 20 as int) as max_occ_pert",
     )
 
 
 def hotels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("htl_cd"))
+    return table(spark, sf_dir, "supplier").selectExpr("cast(s_suppkey as string) as htl_cd")
 
 
 def inventory_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Configured inventory fields; every third hotel has none."""
-    key = F.col("s_suppkey")
-    return table(spark, sf_dir, "supplier").where(key % 3 != 0).select(
-        key.cast("string").alias("htl_cd"),
-        F.when(key % 2 == 0, "rooms").otherwise("tosell").alias("field"),
+    return table(spark, sf_dir, "supplier").where("s_suppkey % 3 <> 0").selectExpr(
+        "cast(s_suppkey as string) as htl_cd", "if(s_suppkey % 2 = 0, 'rooms', 'tosell') as field"
     )
 
 
 def capacities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("s_suppkey")
-    return table(spark, sf_dir, "supplier").where(key % 7 != 0).select(
-        key.cast("string").alias("htl_cd"), (key % 30 + 20).cast("double").alias("capacity")
+    return table(spark, sf_dir, "supplier").where("s_suppkey % 7 <> 0").selectExpr(
+        "cast(s_suppkey as string) as htl_cd", "cast(s_suppkey % 30 + 20 as double) as capacity"
     )
 
 
 def segment_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").groupBy(_hotel(), _segment()).agg(
-        F.round(F.sum("l_extendedprice") / F.sum("l_quantity"), 2).alias("price")
+    return (
+        table(spark, sf_dir, "lineitem").selectExpr(HOTEL, SEGMENT, "l_quantity", "l_extendedprice")
+        .groupBy("htl_cd", "seg_cd")
+        .agg(F.round(F.sum("l_extendedprice") / F.sum("l_quantity"), 2).alias("price"))
     )
 
 
 def quarter_seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Season runs of one quarter each, 1995 to 2001."""
-    first = F.to_date(F.lit("1995-01-01"))
-    return table(spark, sf_dir, "supplier").select(
-        "s_suppkey", F.explode(F.sequence(F.lit(0), F.lit(27))).alias("q")
-    ).select(
-        F.col("s_suppkey").cast("string").alias("htl_cd"),
-        ((F.col("s_suppkey") + F.col("q")) % 4).cast("int").alias("season_id"),
-        F.add_months(first, F.col("q") * 3).alias("start_dt"),
-        F.date_sub(F.add_months(first, F.col("q") * 3 + 3), 1).alias("end_dt"),
+    return table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey", "explode(sequence(0, 27)) as q"
+    ).selectExpr(
+        "cast(s_suppkey as string) as htl_cd",
+        "cast((s_suppkey + q) % 4 as int) as season_id",
+        "add_months(date '1995-01-01', q * 3) as start_dt",
+        "date_sub(add_months(date '1995-01-01', q * 3 + 3), 1) as end_dt",
     )
 
 
 def special_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First days of months on which orders were placed."""
-    day = F.col("o_orderdate").cast("date")
     return (
-        table(spark, sf_dir, "orders").select(day.alias("day")).distinct()
-        .where(F.dayofmonth("day") == 1)
-        .withColumn("day_code", F.month("day"))
+        table(spark, sf_dir, "orders").selectExpr("cast(o_orderdate as date) as day").distinct()
+        .where("dayofmonth(day) = 1").selectExpr("day", "month(day) as day_code")
     )
 
 
 def course_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Students, courses and their relation out of customers, parts and order lines."""
-    start = F.date_add(F.to_date(F.lit("1995-01-01")), (F.col("p_partkey") % 365).cast("int"))
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    orders = table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "l_orderkey")
+    start = "date_add(date '1995-01-01', cast(p_partkey % 365 as int))"
     return {
-        "student": table(spark, sf_dir, "customer").select(
-            F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
-            (F.col("c_custkey") % 40 + 10).cast("int").alias("age"),
+        "student": table(spark, sf_dir, "customer").selectExpr(
+            "c_custkey as id", "c_name as name", "cast(c_custkey % 40 + 10 as int) as age"
+        ),
+        "course": table(spark, sf_dir, "part").selectExpr(
+            "p_partkey as id", "p_name as name", "p_brand as teacher",
+            f"{start} as start_dt", f"date_add({start}, p_size) as end_dt",
         ),
-        "course": table(spark, sf_dir, "part").select(
-            F.col("p_partkey").alias("id"), F.col("p_name").alias("name"),
-            F.col("p_brand").alias("teacher"), start.alias("start_dt"),
-            F.date_add(start, F.col("p_size")).alias("end_dt"),
+        "relation": table(spark, sf_dir, "lineitem").join(orders, "l_orderkey").selectExpr(
+            "o_custkey as student_id", "l_partkey as course_id"
         ),
-        "relation": table(spark, sf_dir, "lineitem").join(
-            orders, F.col("l_orderkey") == F.col("o_orderkey")
-        ).select(F.col("o_custkey").alias("student_id"), F.col("l_partkey").alias("course_id")),
     }

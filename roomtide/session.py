@@ -13,13 +13,15 @@ def build_session(app_name: str, master: str | None = None, **settings: str) ->
 
     AQE stays on: it coalesces small shuffle partitions, turns a sort-merge
     join into a broadcast join when the measured side is small, and splits
-    the partition of a hot join key over several tasks.
+    the partition of a hot join key over several tasks. Recording the call
+    site of every Column is off: it doubles the time to build a plan.
     """
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
     )
     if master:
