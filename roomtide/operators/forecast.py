@@ -61,11 +61,13 @@ def day_tags(
 ) -> DataFrame:
     """Add ``tag`` to rows with (htl_cd, live_dt): special day code, else season and weekday part.
 
-    ``mode`` is ``weekday``, ``weekendOrNot`` or ``noWeekday``; weekdays are
-    1 (Monday) to 7. Dates and season runs meet by an equi join on hotel and
+    ``mode`` is ``weekday``, ``weekendOrNot`` or ``noWeekday``, or ``sameTag``
+    for one tag on all days; weekdays are 1 (Monday) to 7. Dates and season runs meet by an equi join on hotel and
     month; the few runs touching a month are folded into one array, which the
     date is looked up in. Of overlapping runs the latest start wins.
     """
+    if mode == "sameTag":
+        return days.withColumn("tag", F.lit("S"))
     weekday = F.weekday("live_dt") + 1
     part = {
         "weekday": F.concat(F.lit("-W"), weekday.cast("string")),

@@ -55,6 +55,11 @@ def test_day_tags(spark, d, mode, plain):
     assert got[d("2016-03-04")].startswith("S0") and len(got) == 3
 
 
+def test_same_tag(spark, d):
+    days = spark.createDataFrame([("H", d("2016-01-04")), ("H", d("2016-01-05"))], "htl_cd string, live_dt date")
+    assert {r.tag for r in forecast.day_tags(days, None, None, "sameTag").collect()} == {"S"}
+
+
 def test_tags_by_brute_force(spark, d):
     rng = random.Random(3)
     base = d("2016-01-01").toordinal()
