@@ -232,9 +232,14 @@ def forecast_sum(
 
 
 def forecast_gaps(forecast: DataFrame, hotels: DataFrame, start: date, days: int) -> DataFrame:
-    """(htl_cd, live_dt) pairs among ``days`` expected dates that have no forecast."""
+    """(htl_cd, live_dt) pairs among ``days`` expected dates that have no forecast.
+
+    Forecast rows are reduced to distinct pairs on the map side before they
+    are shuffled to the anti join.
+    """
     expected = hotels.select("htl_cd").distinct().select(
         "htl_cd",
         F.explode(F.sequence(F.lit(start), F.date_add(F.lit(start), days - 1))).alias("live_dt"),
     )
-    return expected.join(forecast.select("htl_cd", "live_dt"), ["htl_cd", "live_dt"], "left_anti")
+    present = forecast.select("htl_cd", "live_dt").distinct()
+    return expected.join(present, ["htl_cd", "live_dt"], "left_anti")

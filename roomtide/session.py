@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+_local_folders: dict[str, str] = {}
+
 
 def build_session(app_name: str, master: str | None = None, **settings: str) -> SparkSession:
     """A session with the settings the operators are planned for.
@@ -42,9 +44,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="roomtide-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _local_folders:
+        _local_folders[app] = tempfile.mkdtemp(prefix="roomtide-")
+    return _local_folders[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
