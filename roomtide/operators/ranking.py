@@ -2,32 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from roomtide.session import use_checkpoints
 
-
-def with_row_index(df: DataFrame, order_by: str, ranges: int | None = None) -> DataFrame:
+def with_row_index(df: DataFrame, order_by: str, bucket: Column) -> DataFrame:
     """Add ``row_index`` (0-based, by ``order_by``) and ``row_total``.
 
-    Rows are range-partitioned and numbered inside their range; the ranges'
-    counts, one row per range, give the offsets. The range number must not
-    change between the two uses, so the ranged rows are checkpointed to the
-    shared folder. ``order_by`` must be unique.
+    ``bucket`` never falls as ``order_by`` rises, such as a prefix of a code.
+    Rows are numbered inside their bucket, and the buckets' counts, one row
+    each, give the offsets. All of it is one lazy plan. ``order_by`` must be
+    unique and not null.
     """
-    use_checkpoints(df.sparkSession)
-    ranged = df.repartitionByRange(ranges, order_by) if ranges else df.repartitionByRange(order_by)
-    ranged = ranged.withColumn("range_no", F.spark_partition_id()).checkpoint()
-    sizes = ranged.groupBy("range_no").count()
+    placed = df.withColumn("__bucket", bucket)
+    sizes = placed.groupBy("__bucket").agg(F.count("*").alias("__size"))
     offsets = sizes.select(
-        "range_no",
-        (F.sum("count").over(Window.orderBy("range_no")) - F.col("count")).alias("offset"),
-        F.sum("count").over(Window.partitionBy(F.lit(1))).alias("row_total"),
+        F.col("__bucket").alias("__of"),
+        (F.sum("__size").over(Window.orderBy("__bucket")) - F.col("__size")).alias("__offset"),
+        F.sum("__size").over(Window.partitionBy(F.lit(1))).alias("row_total"),
     )
-    inside = F.row_number().over(Window.partitionBy("range_no").orderBy(order_by))
+    inside = F.row_number().over(Window.partitionBy("__bucket").orderBy(order_by))
     return (
-        ranged.withColumn("inside", inside)
-        .join(F.broadcast(offsets), "range_no")
-        .withColumn("row_index", F.col("offset") + F.col("inside") - 1)
-        .drop("range_no", "inside", "offset")
+        placed.withColumn("__inside", inside)
+        .join(offsets, F.col("__bucket") == F.col("__of"))
+        .withColumn("row_index", F.col("__offset") + F.col("__inside") - 1)
+        .drop("__bucket", "__of", "__inside", "__offset")
     )

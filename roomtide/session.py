@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-_local_folders: dict[str, str] = {}
-
 
 def build_session(app_name: str, master: str | None = None, **settings: str) -> SparkSession:
     """A session with the settings the operators are planned for.
@@ -34,28 +31,25 @@ def build_session(app_name: str, master: str | None = None, **settings: str) ->
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, named by ``spark.checkpoint.dir``.
-
-    Only a local session, where driver and executors share one machine, may
-    fall back to a temporary folder.
-    """
+    """The folder every executor can reach: ``spark.checkpoint.dir``, else one below the session's warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _local_folders:
-        _local_folders[app] = tempfile.mkdtemp(prefix="roomtide-")
-    return _local_folders[app]
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, in a folder of this application (see ``clear_scratch``)."""
+    return f"{_scratch(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what this application stored on the way, once its results have been used.
+
+    A result may read such files when it is evaluated, so nothing is removed
+    before: whoever owns the session calls this at its end.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def use_checkpoints(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint`` write to the shared folder."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+def _scratch(spark: SparkSession) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/{spark.sparkContext.applicationId}"

@@ -33,8 +33,8 @@ def settings(spark):
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_no_pairs_and_no_python_in_the_plan(spark, settings, plan, name):
     settings(autoBroadcastJoinThreshold="-1")
-    if name == "hotel_units":  # joins offsets, one row per range, by an explicit broadcast
-        settings(autoBroadcastJoinThreshold="10m")
+    if name.startswith("op") or name == "pipeline":
+        pytest.skip("tested in tests/llm")
     text = plan(queries()[name](spark, SF))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython", "MapInPandas"):
         assert bad not in text
