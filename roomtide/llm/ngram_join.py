@@ -11,15 +11,16 @@ shingle's code holds its frequency step in the upper 8 bits and 56 bits of
 its hash below, so the codes' own order is the rare-first order. The order
 only decides how much work is left, not what is found.
 
-1. Prefixes: two sets that link share a code among their rarest codes, the
-   larger one among the first n - ceil(t n) + 1, the smaller one among the first n - ceil(2t/(1+t) n) + 1.
-2. Classes meet on a common prefix code, pass the length filter (no set
-   smaller than t times the other) and the positional filter (what follows both positions can still reach the overlap).
+1. Prefixes: two sets that link have ``SHARED`` codes in common among their
+   rarest n - ceil(t n) + ``SHARED`` (all codes they must share, if those are fewer).
+2. Classes meet on common prefix codes, pass the length filter (no set
+   smaller than t times the other) and the positional filter (what is left from
+   their j-th common code on, and j - 1, can still reach the overlap), and meet on ``SHARED`` codes.
 3. Round one takes, for every code, only the pairs with the member where the
-   code comes first, the one with the least of its own. They are verified and
-   their components found. Round two takes the pairs whose classes are still
-   in different components, those outside a code's largest component against all:
-   a large group of near copies never becomes all its pairs.
+   code comes first, the one with the least of its own, that meet twice. They
+   are verified and their components found. Round two takes all pairs whose
+   classes are still in different components, those outside a code's largest
+   component against all: a large group of near copies never becomes all its pairs.
 4. A pair, however often it met, is verified once: suffix filter (halving
    the rest of both sets bounds their overlap), then the exact overlap.
 
@@ -46,6 +47,7 @@ from roomtide.session import scratch_path
 
 _HASHES = WordHashes()
 BLOCK = 1 << 14
+SHARED = 2
 
 
 def shingle_hashes(found: list[bytes], width: int) -> np.ndarray:
@@ -96,9 +98,8 @@ def least_overlap(n, m, percent: int):
     return -(-percent * (n + m) // (100 + percent))
 
 
-def prefix_lengths(n: int, percent: int) -> tuple[int, int]:
-    """As the larger and as the smaller set of a pair."""
-    return n - math.ceil(percent * n / 100) + 1, n - math.ceil(2 * percent * n / (100 + percent)) + 1
+def prefix_length(n: int, percent: int) -> int:
+    return min(n, n - math.ceil(percent * n / 100) + SHARED)
 
 
 def could_reach(x: np.ndarray, y: np.ndarray, need: int, depth: int = 2) -> bool:
@@ -202,7 +203,7 @@ class Join:
                         seen.clear()
                     seen.add(key)
                     c = steps.value.codes(shingle_hashes(found, width))
-                    p = prefix_lengths(len(c), percent)[0]
+                    p = prefix_length(len(c), percent)
                     codes.append(signed(c[:p]))
                     k1.append(np.full(p, key[0]))
                     k2.append(np.full(p, key[1]))
@@ -251,17 +252,25 @@ class Join:
             whole[r["block"]:r["block"] + BLOCK] = np.frombuffer(bytes(r["bits"]), np.uint8)
         return whole
 
-    def _passing(self, met: DataFrame) -> DataFrame:
-        """Length and positional filters over pairs of ``x`` and ``y`` (struct n, pos, key), and each pair once."""
+    def _passing(self, met: DataFrame, shared: int) -> DataFrame:
+        """The pairs of ``x`` and ``y`` (struct n, pos, key) that pass the filters and meet on ``shared`` codes, each once.
+
+        The first ``shared`` common codes of a pair that links leave at least its overlap less ``shared`` - 1,
+        so rows that leave less are gone before they are counted.
+        """
         p = self.percent
         small, large = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
         need = F.ceil((small + large) * p / (100.0 + p) - 1e-9)
         rest = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
-        kept = met.where((small * 100 >= large * p) & (rest >= need) & (F.col("x.key") != F.col("y.key")))
-        return kept.select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct()
+        kept = met.where((small * 100 >= large * p) & (rest >= need - (shared - 1)) & (F.col("x.key") != F.col("y.key")))
+        pairs = kept.groupBy(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b"), need.alias("need")).agg(F.count("*").alias("codes"), F.max(rest).alias("rest"))
+        return pairs.where((F.col("rest") >= F.col("need")) & (F.col("codes") >= F.least(F.lit(shared), "need"))).select("a", "b")
 
-    def _verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        percent = self.percent
+    def _verified(self, pairs: DataFrame, steps) -> DataFrame:
+        """The pairs that link, after one more pass over the texts for the sets of their classes."""
+        percent, pairs = self.percent, self._stored(pairs, "pairs")
+        keys = pairs.select("a.k1").unionByName(pairs.select("b.k1"))
+        sets = self.sets(steps, self.spark.sparkContext.broadcast(self._bits(keys)))
 
         def run(batch: pa.RecordBatch):
             keep = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())]
@@ -283,9 +292,7 @@ class Join:
             F.min(F.struct("y.pos", "y.n", "y.key")).alias("x"), F.max(F.struct("y.pos", "y.n", "y.key")).alias("z")
         ).where("x.key != z.key").select("code", F.struct("x.n", "x.pos", "x.key").alias("x"))
         met = self._stored(row.join(firsts, "code"), "met")
-        wanted = self.spark.sparkContext.broadcast(self._bits(met.select("y.key.k1")))
-        sets = self.sets(steps, wanted)
-        links = self._verified(self._passing(met), sets)
+        links = self._verified(self._passing(met, 2), steps)
 
         roots = smallest_nodes(links)
         labelled = met.select("code", "y").join(roots.select(F.col("node").alias("k"), "root"), F.col("y.key") == F.col("k"), "left").select("code", "y", F.coalesce("root", "y.key").alias("label"))
@@ -296,7 +303,7 @@ class Join:
         outside = mixed_codes.where("label != top").select("code", F.col("y").alias("x"), F.col("label").alias("own"))
         # a pair outside the largest component meets from both sides; one suffices
         second = mixed_codes.join(outside, "code").where("own != label and (label = top or x.key < y.key)")
-        more = self._verified(self._passing(second.select("x", "y")), sets)
+        more = self._verified(self._passing(second.select("x", "y"), SHARED), steps)
         keyed = rows.select("doc_id", "n", F.struct("k1", "k2").alias("key"))
         return keyed, links.unionByName(more).distinct()
 
