@@ -63,21 +63,13 @@ class Codec:
             left, right = pair if isinstance(pair, list) else pair.split(" ")
             self.merges.setdefault((vocab[left], vocab[right]), (rank, vocab[left + right]))
         self.find = regex.compile(PATTERN).findall
-        self.known: dict[str, bytes] = {}
         self.encode = PieceEncoder(self._plain, specials)
 
     def _plain(self, text: str) -> bytes:
-        """Ids of a text without special tokens; the ids of short pre-tokens are kept, in bounded number."""
+        """Ids of a text without special tokens."""
         out = []
         for token in self.find(text):
-            ids = self.known.get(token)
-            if ids is None:
-                ids = np.array(self.merged(token.encode()), "<u4").tobytes()
-                if len(token) < 64:
-                    if len(self.known) >= 200_000:
-                        self.known.clear()
-                    self.known[token] = ids
-            out.append(ids)
+            out.append(np.array(self.merged(token.encode()), "<u4").tobytes())
         return b"".join(out)
 
     def merged(self, token: bytes) -> list[int]:

@@ -14,6 +14,7 @@ from collections.abc import Callable
 import regex
 
 WHITE = regex.compile(r"\s")
+STOPS = ".,;:!?"
 
 
 class Irregular(Exception):
@@ -24,10 +25,13 @@ class _Cache(dict):
     def __init__(self, encode: Callable[[str], bytes], capacity: int):
         super().__init__()
         self.encode, self.capacity = encode, capacity
+        self.stops = {c: encode(c) for c in STOPS}
 
     def __missing__(self, piece: str) -> bytes:
         if not piece or WHITE.match(piece):
             raise Irregular
+        if piece[-1] in STOPS and piece[:-1].isalpha():  # letters and one sign are a token each
+            return self[piece[:-1]] + self.stops[piece[-1]]
         if len(self) >= self.capacity:
             self.clear()
         ids = self.encode(" " + piece)
@@ -39,7 +43,7 @@ class _Cache(dict):
 class PieceEncoder:
     """``encode`` turns a text without special tokens into ids as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, encode: Callable[[str], bytes], specials: dict[str, int], capacity: int = 300_000):
+    def __init__(self, encode: Callable[[str], bytes], specials: dict[str, int], capacity: int = 1_000_000):
         self.encode = encode
         self.cache = _Cache(encode, capacity)
         self.specials = {k: v.to_bytes(4, "little") for k, v in specials.items()}
