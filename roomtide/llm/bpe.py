@@ -113,14 +113,14 @@ def codec(path: str) -> Codec:
 def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", n_tokens: str = "n_tokens") -> DataFrame:
     """``df`` with the ids (array of int) and the number of ids of each text."""
     keep = [c for c in df.columns if c.lower() not in (ids.lower(), n_tokens.lower())]
-    at = df.columns.index(text)
+    at, places = df.columns.index(text), [df.columns.index(c) for c in keep]
 
     def run(batch: pa.RecordBatch):
         encoded = [codec(path).encode(x or "") for x in batch.column(at).to_pylist()]
         counts = np.array([len(x) // 4 for x in encoded], np.int64)
         offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
         values = pa.array(np.frombuffer(b"".join(encoded), "<i4"))
-        columns = [batch.column(df.columns.index(c)) for c in keep] + [pa.ListArray.from_arrays(pa.array(offsets), values), pa.array(counts)]
+        columns = [batch.column(k) for k in places] + [pa.ListArray.from_arrays(pa.array(offsets), values), pa.array(counts)]
         yield pa.RecordBatch.from_arrays(columns, names=[*keep, ids, n_tokens])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name in keep]
@@ -130,10 +130,11 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", n_tok
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """``df`` with the text of each array of ids (null: empty)."""
     at, keep = df.columns.index(ids), [c for c in df.columns if c.lower() != text.lower()]
+    places = [df.columns.index(c) for c in keep]
 
     def run(batch: pa.RecordBatch):
         found = [codec(path).decode(np.array(x or [], "<u4").tobytes()) for x in batch.column(at).to_pylist()]
-        columns = [batch.column(df.columns.index(c)) for c in keep] + [pa.array(found, pa.string())]
+        columns = [batch.column(k) for k in places] + [pa.array(found, pa.string())]
         yield pa.RecordBatch.from_arrays(columns, names=[*keep, text])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name in keep]

@@ -155,7 +155,7 @@ def learn(
         texts = docs.join(F.broadcast(picked(rows, most)), "doc_id")
         shapes = map_batches(texts, lambda b: [pa.RecordBatch.from_arrays([b.column(0), pa.array([shape(x) for x in text_bytes(b.column(1))], pa.list_(pa.float64()))], names=["doc_id", "shape"])], f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, shape array<double>")
         found = shapes.orderBy(F.xxhash64("doc_id"), "doc_id", "shape").limit(most).select("shape").toArrow().column(0).to_pylist()
-        return np.array(found, float).reshape(len(found), -1)
+        return np.array(found, float)
 
     return fit(numbers(ids.where("quality >= 1"), most_positives), numbers(ids.where("quality is null"), most_unlabelled))
 

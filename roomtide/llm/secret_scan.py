@@ -255,7 +255,7 @@ def find_secrets(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
 
 def mask_secrets(df: DataFrame, text: str = "text", mask: str = "[SECRET]", n_chars: str | None = None) -> DataFrame:
     """``df`` with the spans in ``text`` masked; null stays null. ``n_chars`` names a column to set to the new length where a text changed."""
-    at = df.columns.index(text)
+    names, at = df.columns, df.columns.index(text)
     count = df.columns.index(n_chars) if n_chars in df.columns else None
 
     def run(batch: pa.RecordBatch):
@@ -266,6 +266,6 @@ def mask_secrets(df: DataFrame, text: str = "text", mask: str = "[SECRET]", n_ch
         if count is not None:
             counts = [len(y) if x != y else n for x, y, n in zip(old, new, columns[count].to_pylist())]
             columns[count] = pa.array(counts, columns[count].type)
-        yield pa.RecordBatch.from_arrays(columns, names=df.columns)
+        yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return map_batches(df, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields))
