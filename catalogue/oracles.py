@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from catalogue.queries import STATEMENTS
 from catalogue.starschema import DIM_PAIRS
 
 BOOKINGS = """
@@ -38,14 +37,14 @@ hotel_nights as (
 """
 
 
-def _area(fanout: bool = False) -> str:
+def _area(fanout: bool = False, since: str = "1900-01-01") -> str:
     own = "" if fanout else "and d.hotel = d.masterhotelid"
     return HOTEL_NIGHTS + f""",
 area as (
   select city, zone, star, location, price_level, order_dt, live_dt, cancel_dt,
          sum(rns) as rns, sum(rev) as rev
   from hotel_nights h join dictionary d on h.hotel_id_m = d.masterhotelid {own}
-  where live_dt >= date '1996-01-01' and live_dt >= order_dt
+  where live_dt >= date '{since}' and live_dt >= order_dt
   group by all)
 """
 
@@ -210,10 +209,10 @@ actual as (
   from lineitem group by all),
 long_term as (
   select {_KEYS}, cast(l_shipdate as date) as live_dt, {_ADV}, sum(l_quantity + l_linenumber) as rns
-  from lineitem where l_linenumber <> 7 group by all),
+  from lineitem group by all),
 short_term as (
   select {_KEYS}, cast(l_shipdate as date) as live_dt, {_ADV}, sum(l_quantity * (l_partkey%3+1)) as rns
-  from lineitem where l_linenumber <> 1 group by all)
+  from lineitem group by all)
 """
 
 TAGS = SEGMENTS + """,
@@ -267,24 +266,11 @@ units as (
   from listed)
 """
 
-COURSES = """
-with student as (
-  select c_custkey as id, c_name as name, cast(c_custkey%40+10 as integer) as age from customer),
-course as (
-  select p_partkey as id, p_name as name, p_brand as teacher,
-         date '1995-01-01' + cast(p_partkey%365 as integer) as start_dt,
-         date '1995-01-01' + cast(p_partkey%365 as integer) + p_size as end_dt
-  from part),
-relation as (
-  select o_custkey as student_id, l_partkey as course_id
-  from lineitem join orders on l_orderkey = o_orderkey)
-"""
-
-
 def all_oracles() -> dict[str, str]:
     area_columns = "city, zone, star, location, price_level, order_dt, live_dt, cancel_dt"
     night_columns = "hotel_id_m, order_status, order_dt, live_dt, cancel_dt, price_level, sub_room_id"
     area = f"with {_area()} select {area_columns}, {MEASURES} from area"
+    recent = f"with {_area(since='1996-01-01')} select {area_columns}, {MEASURES} from area"
     per_hotel = f"with {HOTEL_NIGHTS} select {night_columns}, {MEASURES} from hotel_nights"
     predconf = f"""select '#' || htl_cd || '#' || seg_cd || '###' || is_pred || '###' as line from flags"""
     keys = "htl_cd, seg_cd, live_dt, adv_days"
@@ -305,24 +291,33 @@ def all_oracles() -> dict[str, str]:
         "reference_passthrough": "select c_custkey || '#' || c_name as line from customer",
         "roundtrip_parquet": per_hotel,
         "publish_by_hotel": f"""
-            with {SEGMENTS} select 'v1' as version, unnest(['H1', 'H2', 'H3']) as htl_cd, 'is_predict' as name,
+            with {SEGMENTS} select 'v1' as version, htl_cd, 'is_predict' as name,
                    htl_cd || '#' || seg_cd || '#' || is_pred as line from flags""",
         "publish_shared_first": f"""
-            with {SEGMENTS}, rows as ({predconf})
-            select 'v1' as version, unnest(['H1', 'H2', 'H3']) as htl_cd, 'predconf' as name, line from rows
+            with {SEGMENTS}
+            select 'v1' as version, htl_cd, 'predconf' as name, '#' || htl_cd || '#' || seg_cd || '###' || is_pred || '###' as line from flags
             union all
-            select 'v1', 'H1', 'is_predict', htl_cd || '#' || seg_cd || '#' || is_pred from flags""",
+            select 'v1', 'shared', 'is_predict', htl_cd || '#' || seg_cd || '#' || is_pred from flags""",
+        "reference_tables": f"""
+            with {SEGMENTS}
+            select 'v1' as version, htl_cd, 'predconf' as name, '#' || htl_cd || '#' || seg_cd || '###' || is_pred || '###' as line from flags
+            union all select 'v1', 'shared', 'is_predict', htl_cd || '#' || seg_cd || '#' || is_pred from flags
+            union all select 'v1', cast(s_suppkey as varchar), 'season', s_suppkey || '#1' from supplier
+            union all select 'v1', cast(s_suppkey as varchar), 'invt_field_config',
+                   s_suppkey || case when s_suppkey%3 = 0 or s_suppkey%2 = 0 then '#rooms' else '#tosell' end from supplier
+            union all select distinct 'v1', 'shared', 'price_model', '1#' || l_suppkey || '#' || (l_partkey%4+1) || '#RT' || (l_linenumber%3)
+                   || '#' || (l_partkey%5*20) || '#' || (l_partkey%5*20+20) || '#' from lineitem""",
         "scalar_dates": """
             select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as dashed,
-                   cast(strftime(o_orderdate, '%Y%m%d') as integer) as compact, cast(0 as integer) as apart
+                   cast(strftime(o_orderdate, '%Y%m%d') as integer) as compact, cast(day(o_orderdate) as integer) as apart
             from orders""",
         "stay_nights": f"""
             with {BOOKINGS} select order_id, hotel_id, last_order_status, order_dt, cancel_dt, price_level,
                    room_id, live_dt, {MEASURES} from nights""",
         "hotel_nights": per_hotel,
-        "area_orders": area,
-        "area_orders_from_nights": area,
-        "area_orders_fanout": f"with {_area(fanout=True)} select {area_columns}, {MEASURES} from area",
+        "area_orders": recent,
+        "area_orders_from_nights": recent,
+        "area_orders_fanout": f"with {_area(fanout=True, since='1996-01-01')} select {area_columns}, {MEASURES} from area",
         "event_sums": _event_sums(),
         "season_weekly_mean": f"with {SEASON} select htl_cd, bucket, {_r('mean_rns')} from weekly",
         "season_bands": f"with {SEASON} select htl_cd, bucket, season_id from banded",
@@ -330,10 +325,12 @@ def all_oracles() -> dict[str, str]:
         "season_runs": f"with {SEASON} select htl_cd, season_id, start_dt, end_dt from runs",
         "season_fallback": f"with {SEASON} select htl_cd, line from fallback",
         "season_table": f"""
-            with {SEASON}
-            select htl_cd, htl_cd || '#' || coalesce(cast(season_id as varchar), '') || '####'
-                   || start_dt || '#' || end_dt as line from runs
+            with {SEASON}, gaps as (select distinct htl_cd from calendar where season_id is null)
+            select htl_cd, htl_cd || '#' || season_id || '####' || start_dt || '#' || end_dt as line
+            from runs where htl_cd not in (select htl_cd from gaps)
+            union all select htl_cd, htl_cd || unnest(['#1####1996-01-01#1996-06-30', '#2####1996-07-01#1997-12-31']) from gaps
             union all select htl_cd, line from fallback""",
+        "seasons_without_history": f"with {SEASON} select distinct htl_cd from calendar where season_id is null",
         "segment_flags": f"with {SEGMENTS} select htl_cd, seg_cd, is_pred from flags",
         "predconf_rows": f"with {SEGMENTS} {predconf}",
         "price_model": """
@@ -421,10 +418,17 @@ def all_oracles() -> dict[str, str]:
             select htl_cd, live_dt from expected
             except select cast(l_suppkey as varchar), cast(l_shipdate as date) from lineitem""",
     }
-    for statement in STATEMENTS[:2]:
-        out[statement.name] = COURSES + statement.sql
-    out["sql_date_fns"] = COURSES + """
-        select c.id, c.teacher, '20010701' as currtime, cast(c.start_dt - c.end_dt as integer) as period
-        from course c"""
+    out["sql_left_inner_join"] = """
+        with priced as (select o_custkey, o_orderkey, o_totalprice / 2 as half_price from orders)
+        select c_custkey as customer, c_mktsegment as segment,
+               (select upper(p_brand) from part where p_partkey = o_orderkey) as brand, half_price
+        from customer, priced where c_custkey = o_custkey and not c_acctbal < 0"""
+    out["sql_group_avg"] = """
+        select distinct p_type, max(p_size) over w as largest, count(*) over w as parts, round(avg(p_retailprice) over w, 1) as mean_price
+        from part window w as (partition by p_type) qualify count(*) over w >= 2"""
+    out["sql_date_fns"] = """
+        select o_orderkey, year(o_orderdate) || '/' || lpad(cast(month(o_orderdate) as varchar), 2, '0') as month,
+               cast(day(date_trunc('month', o_orderdate) + interval 1 month - interval 1 day) - day(o_orderdate) as integer) as days_left
+        from orders"""
     out.update(_curve_oracles())
     return out

@@ -11,7 +11,8 @@ from catalogue import starschema as star
 from roomtide.functions import as_compact, as_dashed, parse_day
 from roomtide.model import AREA_ORDERS, HOTEL_DICTIONARY, curve_layout
 from roomtide.operators import area, backtest, curves, forecast, nights, reference, season
-from roomtide.plans.seasons import season_runs, season_table
+from roomtide.plans.reference_tables import reference_tables as all_tables
+from roomtide.plans.seasons import incomplete_hotels, season_runs, season_table
 from roomtide.plans.sql_list import SqlStatement, run_statements
 from roomtide.session import scratch_path
 from roomtide.sources import (
@@ -28,12 +29,12 @@ from roomtide.sources import (
 Query = Callable[[SparkSession, str], DataFrame]
 
 MIN_LIVE_DT = date(1996, 1, 1)
+BEFORE_ALL = date(1900, 1, 1)
 TRAIN_START, TRAIN_END = date(1995, 1, 1), date(1996, 1, 12)
 CALENDAR_START, CALENDAR_END = date(1996, 1, 1), date(1997, 12, 31)
 WEEKS, SEASONS = 2, 5
 AS_OF = date(2001, 7, 1)
 TEMPLATE = ["V_HTL#1####1996-01-01#1996-06-30", "V_HTL#2####1996-07-01#1997-12-31"]
-PUBLISH_HOTELS = ["H1", "H2", "H3"]
 
 
 def rounded(df: DataFrame, places: int = 4) -> DataFrame:
@@ -54,7 +55,7 @@ def rounded(df: DataFrame, places: int = 4) -> DataFrame:
 
 def _area_rows(spark: SparkSession, sf_dir: str, cancelled: bool | None = None) -> DataFrame:
     return area.area_nights(
-        star.bookings(spark, sf_dir, cancelled), star.hotel_dictionary(spark, sf_dir), MIN_LIVE_DT
+        star.bookings(spark, sf_dir, cancelled), star.hotel_dictionary(spark, sf_dir), BEFORE_ALL
     )
 
 
@@ -63,7 +64,7 @@ def _area_rows(spark: SparkSession, sf_dir: str, cancelled: bool | None = None)
 
 def scan_delimited(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "area-text")
-    write_delimited(area_orders(spark, sf_dir).select(*AREA_ORDERS.names), path)
+    write_delimited(rounded(_area_rows(spark, sf_dir)).select(*AREA_ORDERS.names), path)
     return read_delimited(spark, path, AREA_ORDERS)
 
 
@@ -114,28 +115,32 @@ def roundtrip_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_parquet(spark, path)
 
 
+def _stored_tables(spark: SparkSession, tables: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(spark, name)
+    write_partitioned(tables, path, ["version", "name", "htl_cd"])
+    return read_parquet(spark, path).selectExpr("version", "cast(htl_cd as string) as htl_cd", "name", "line")
+
+
 def publish_by_hotel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "published")
-    lines = reference.flag_lines(reference.segment_flags(star.market_segments(spark, sf_dir)))
-    copies = reference.publish_by_hotel(lines, PUBLISH_HOTELS, "v1", "is_predict")
-    write_partitioned(copies, path, ["version", "htl_cd", "name"])
-    return read_parquet(spark, path).select("version", "htl_cd", "name", "line")
+    lines = reference.flag_lines(reference.segment_flags(star.market_segments(spark, sf_dir)), "htl_cd")
+    return _stored_tables(spark, reference.publish_by_hotel(lines, star.hotels(spark, sf_dir), "v1", "is_predict"), "published")
 
 
-def _published(spark: SparkSession, sf_dir: str) -> DataFrame:
+def publish_shared_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table per hotel beside one that all hotels share."""
     flags = reference.segment_flags(star.market_segments(spark, sf_dir))
-    per_hotel = reference.predconf_rows(flags)
-    shared = reference.flag_lines(flags)
-    return reference.publish_by_hotel(per_hotel, PUBLISH_HOTELS, "v1", "predconf").unionByName(
-        reference.publish_by_hotel(shared, PUBLISH_HOTELS, "v1", "is_predict")
-    )
+    own = reference.publish_by_hotel(reference.predconf_rows(flags, "htl_cd"), star.hotels(spark, sf_dir), "v1", "predconf")
+    return _stored_tables(spark, own.unionByName(reference.publish_shared(reference.flag_lines(flags), "v1", "is_predict")), "uploaded")
 
 
-def publish_shared_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "uploaded")
-    kept = reference.publish_shared_first(_published(spark, sf_dir))
-    write_partitioned(kept, path, ["version", "name", "htl_cd"])
-    return read_parquet(spark, path).select("version", "htl_cd", "name", "line")
+def reference_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All tables of a version but the season table, which has its own query."""
+    lines = star.hotels(spark, sf_dir).selectExpr("htl_cd", "concat(htl_cd, '#1') as line")
+    tables = all_tables(
+        "v1", star.hotels(spark, sf_dir), reference.segment_flags(star.market_segments(spark, sf_dir)),
+        star.hotel_bar_map(spark, sf_dir), lines, star.inventory_fields(spark, sf_dir),
+    )
+    return _stored_tables(spark, tables, "tables")
 
 
 def scalar_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,7 +149,7 @@ def scalar_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     dashed, compact = as_dashed(day), as_compact(day)
     return star.table(spark, sf_dir, "orders").select(
         "o_orderkey", dashed.alias("dashed"), compact.alias("compact"),
-        F.datediff(parse_day(dashed), parse_day(compact.cast("string"))).alias("apart"),
+        F.datediff(parse_day(as_dashed(F.date_add(day, F.day(day)))), parse_day(compact.cast("string"))).alias("apart"),
     )
 
 
@@ -270,6 +275,10 @@ def season_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return season.fallback_lines(short, TEMPLATE)
 
 
+def seasons_without_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return incomplete_hotels(season_runs_query(spark, sf_dir))
+
+
 def season_table_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return season_table(
         star.segment_daily(spark, sf_dir), _flags(spark, sf_dir), TRAIN_START, TRAIN_END,
@@ -323,27 +332,24 @@ def backtest_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 STATEMENTS = [
     SqlStatement("sql_left_inner_join", 1, """
-        select s.id, s.name, s.age - 10 as new_age, c.name as course, c.teacher
-        from student s
-        left join relation r on s.id = r.student_id
-        inner join course c on r.course_id = c.id
-        where s.age > 16 order by s.id"""),
+        select k.c_custkey as customer, k.c_mktsegment as segment, upper(p.p_brand) as brand, o.o_totalprice / 2 as half_price
+        from orders o
+        join customer k on o.o_custkey = k.c_custkey
+        left join part p on p.p_partkey = o.o_orderkey
+        where k.c_acctbal >= 0 order by customer, half_price"""),
     SqlStatement("sql_group_avg", 2, """
-        select c.teacher, count(s.id) as n, round(avg(s.age), 2) as avgage
-        from student s
-        left join relation r on s.id = r.student_id
-        inner join course c on r.course_id = c.id
-        group by c.teacher order by c.teacher"""),
+        select p_type, max(p_size) as largest, count(*) as parts, round(avg(p_retailprice), 1) as mean_price
+        from part group by p_type having count(*) > 1"""),
     SqlStatement("sql_date_fns", 3, """
-        select c.id, c.teacher, date_format(date '2001-07-01', 'yyyyMMdd') as currtime,
-               datediff(c.start_dt, c.end_dt) as period
-        from course c"""),
+        select o_orderkey, date_format(o_orderdate, 'yyyy/MM') as month,
+               datediff(last_day(o_orderdate), o_orderdate) as days_left
+        from orders"""),
 ]
 
 
 def _statement_query(statement: SqlStatement) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return run_statements(spark, star.course_tables(spark, sf_dir), [statement])[statement.name]
+        return run_statements(spark, {t: star.table(spark, sf_dir, t) for t in ("customer", "part", "orders")}, [statement])[statement.name]
 
     return run
 
@@ -432,7 +438,7 @@ def forecast_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     plain = [
         scan_delimited, scan_hotel_dict, scan_parquet, reference_passthrough, roundtrip_delimited,
-        roundtrip_parquet, publish_by_hotel, publish_shared_first, scalar_dates,
+        roundtrip_parquet, publish_by_hotel, publish_shared_first, reference_tables, scalar_dates,
         stay_nights, hotel_nights, area_orders, area_orders_from_nights, area_orders_fanout,
         event_sums, season_weekly_mean, season_bands, season_calendar, season_fallback,
         segment_flags, predconf_rows, price_model, inventory_field_defaults,
@@ -445,6 +451,7 @@ def all_queries() -> dict[str, Query]:
     out["read_snapshot"] = read_snapshot_query
     out["season_runs"] = season_runs_query
     out["season_table"] = season_table_query
+    out["seasons_without_history"] = seasons_without_history
     out.update(_curve_queries())
     out.update({s.name: _statement_query(s) for s in STATEMENTS})
     return out

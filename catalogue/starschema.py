@@ -111,11 +111,11 @@ def actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def long_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _forecast(spark, sf_dir, "l_linenumber <> 7", "l_quantity + l_linenumber")
+    return _forecast(spark, sf_dir, "true", "l_quantity + l_linenumber")
 
 
 def short_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _forecast(spark, sf_dir, "l_linenumber <> 1", "l_quantity * (l_partkey % 3 + 1)")
+    return _forecast(spark, sf_dir, "true", "l_quantity * (l_partkey % 3 + 1)")
 
 
 def fixed_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,21 +198,3 @@ def special_days(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "orders").selectExpr("cast(o_orderdate as date) as day").distinct()
         .where("dayofmonth(day) = 1").selectExpr("day", "month(day) as day_code")
     )
-
-
-def course_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Students, courses and their relation out of customers, parts and order lines."""
-    orders = table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "l_orderkey")
-    start = "date_add(date '1995-01-01', cast(p_partkey % 365 as int))"
-    return {
-        "student": table(spark, sf_dir, "customer").selectExpr(
-            "c_custkey as id", "c_name as name", "cast(c_custkey % 40 + 10 as int) as age"
-        ),
-        "course": table(spark, sf_dir, "part").selectExpr(
-            "p_partkey as id", "p_name as name", "p_brand as teacher",
-            f"{start} as start_dt", f"date_add({start}, p_size) as end_dt",
-        ),
-        "relation": table(spark, sf_dir, "lineitem").join(orders, "l_orderkey").selectExpr(
-            "o_custkey as student_id", "l_partkey as course_id"
-        ),
-    }

@@ -64,7 +64,8 @@ def day_tags(
     ``mode`` is ``weekday``, ``weekendOrNot`` or ``noWeekday``, or ``sameTag``
     for one tag on all days; weekdays are 1 (Monday) to 7. Dates and season runs meet by an equi join on hotel and
     month; the few runs touching a month are folded into one array, which the
-    date is looked up in. Of overlapping runs the latest start wins.
+    date is looked up in. Of overlapping runs the latest start wins;
+    a run that ends before it starts covers no day.
     """
     if mode == "sameTag":
         return days.withColumn("tag", F.lit("S"))
@@ -77,7 +78,7 @@ def day_tags(
     codes = special_days.groupBy(F.col("day").alias("live_dt")).agg(F.min("day_code").alias("day_code"))
     months = F.sequence(F.trunc("start_dt", "MM"), F.trunc("end_dt", "MM"), F.expr("interval 1 month"))
     seasons = (
-        season_runs.withColumn("month", F.explode(months))
+        season_runs.where("end_dt >= start_dt").withColumn("month", F.explode(months))
         .groupBy("htl_cd", "month")
         .agg(F.collect_list(F.struct("start_dt", "end_dt", "season_id")).alias("seasons"))
     )

@@ -71,7 +71,9 @@ def hotel_areas(dictionary: DataFrame, dedupe: bool = True) -> DataFrame:
         F.inline(F.array(entry("hotel", True), entry("masterhotelid", False)))
     )
     masters = entries.groupBy("hotel_id").agg(F.max("rank").alias("pick"))
-    return masters.select("hotel_id", (-F.col("pick.neg")).alias("hotel_id_m")).join(
+    # a hotel without a master stands for itself, as in with_master
+    own = F.coalesce(-F.col("pick.neg"), "hotel_id").alias("hotel_id_m")
+    return masters.where("hotel_id is not null").select("hotel_id", own).join(
         master_areas(dictionary, dedupe), "hotel_id_m"
     )
 

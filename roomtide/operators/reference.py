@@ -2,26 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, functions as F
 
-# The tables every hotel has its own copy of, and the default inventory field.
-PER_HOTEL_TABLES = ("predconf", "season")
+# Fixed value: the default inventory field.
 DEFAULT_INVENTORY_FIELD = "rooms"
+#: Stands in the place of the hotel for tables that all hotels share.
+SHARED = "shared"
 
 
 def segment_flags(market_segments: DataFrame) -> DataFrame:
     """(htl_cd, seg_cd, is_pred) from the market segment table, by SQL."""
     return market_segments.sparkSession.sql(
-        "select htl_cd, seg_cd, is_forecast as is_pred from {rms_ref_market_seg}",
-        rms_ref_market_seg=market_segments,
+        "select htl_cd, seg_cd, is_forecast as is_pred from {segments}",
+        segments=market_segments,
     )
 
 
-def flag_lines(flags: DataFrame) -> DataFrame:
-    """``htl#seg#flag``"""
-    return flags.select(F.concat_ws("#", "htl_cd", "seg_cd", "is_pred").alias("line"))
+def flag_lines(flags: DataFrame, *keep: str) -> DataFrame:
+    """``htl#seg#flag``, beside the columns to keep"""
+    return flags.select(*keep, F.concat_ws("#", "htl_cd", "seg_cd", "is_pred").alias("line"))
 
 
 def _joined(*parts: str) -> Column:
@@ -31,10 +30,10 @@ def _joined(*parts: str) -> Column:
     ])
 
 
-def predconf_rows(flags: DataFrame) -> DataFrame:
-    """Distinct ``#htl#seg###flag###`` rows."""
+def predconf_rows(flags: DataFrame, *keep: str) -> DataFrame:
+    """Distinct ``#htl#seg###flag###`` rows, beside the columns to keep."""
     rows = flags.select("htl_cd", "seg_cd", "is_pred").distinct()
-    return rows.select(_joined("#", "htl_cd", "#", "seg_cd", "###", "is_pred", "###").alias("line"))
+    return rows.select(*keep, _joined("#", "htl_cd", "#", "seg_cd", "###", "is_pred", "###").alias("line"))
 
 
 def price_model(bar_map: DataFrame) -> DataFrame:
@@ -57,31 +56,15 @@ def inventory_field_defaults(
     return fields.select("htl_cd", "field").unionByName(missing.withColumn("field", F.lit(default)))
 
 
-def publish_by_hotel(
-    content: DataFrame, hotels: Sequence[str], version: str, name: str
-) -> DataFrame:
-    """A copy of ``content`` for every hotel of the configured list.
+def publish_by_hotel(content: DataFrame, hotels: DataFrame, version: str, name: str) -> DataFrame:
+    """The lines of ``content`` (htl_cd, line) of every hotel in ``hotels``, each hotel its own.
 
-    Write the result with ``write_partitioned(by=["version", "htl_cd", "name"])``.
+    Write the result with ``write_partitioned(by=["version", "name", "htl_cd"])``.
     """
-    codes = F.array(*[F.lit(h) for h in hotels])
-    return content.select(
-        F.lit(version).alias("version"), F.explode(codes).alias("htl_cd"),
-        F.lit(name).alias("name"), "line",
-    )
+    own = content.join(hotels.select("htl_cd").distinct(), "htl_cd", "left_semi")
+    return own.select(F.lit(version).alias("version"), "htl_cd", F.lit(name).alias("name"), "line")
 
 
-def publish_shared_first(
-    published: DataFrame,
-    first_hotel: str | None = None,
-    per_hotel_tables: Sequence[str] = PER_HOTEL_TABLES,
-) -> DataFrame:
-    """Keep per-hotel tables whole and all other tables from the first hotel only.
-
-    ``first_hotel`` defaults to the smallest code, found by a scalar subquery.
-    """
-    if first_hotel is None:
-        first = published.select(F.min("htl_cd")).scalar()
-    else:
-        first = F.lit(first_hotel)
-    return published.where(F.col("name").isin(*per_hotel_tables) | (F.col("htl_cd") == first))
+def publish_shared(content: DataFrame, version: str, name: str) -> DataFrame:
+    """A table that all hotels share, stored once per version under ``SHARED``."""
+    return content.select(F.lit(version).alias("version"), F.lit(SHARED).alias("htl_cd"), F.lit(name).alias("name"), "line")

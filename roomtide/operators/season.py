@@ -104,6 +104,13 @@ def seasons_without_history(season_runs: DataFrame) -> DataFrame:
     return season_runs.where(F.col("season_id").isNull())
 
 
+def split_complete(season_runs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The runs of hotels with a season on every day, and the other hotels (htl_cd)."""
+    gaps = F.max(F.col("season_id").isNull()).over(Window.partitionBy("htl_cd"))
+    marked = season_runs.withColumn("has_gap", gaps)
+    return marked.where("not has_gap").drop("has_gap"), marked.where("has_gap").select("htl_cd").distinct()
+
+
 def season_lines(season_runs: DataFrame) -> DataFrame:
     """``htl#season####start#end``"""
     empty = F.lit("")

@@ -1,8 +1,8 @@
-"""All forecast reference tables of a version, per hotel."""
+"""All forecast reference tables of a version."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -12,43 +12,29 @@ from roomtide.sources import write_partitioned
 
 def reference_tables(
     version: str,
-    hotels: Sequence[str],
+    hotels: DataFrame,
     flags: DataFrame,
     bar_map: DataFrame,
     season_lines: DataFrame,
     inventory_fields: DataFrame,
     others: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """(version, htl_cd, name, line) of every table for every configured hotel.
+    """(version, htl_cd, name, line) of every table.
 
-    Each hotel gets a copy of the shared tables and of ``others`` (name to
-    lines), its own season lines, and the inventory fields with a default
-    line of its own if it has none.
+    Forecast configuration, season lines and inventory fields, with a default
+    line for hotels without one, are per hotel: each hotel of ``hotels`` has
+    its own lines. Flags, price model and ``others`` (name to lines) are
+    stored once per version, where every hotel finds them.
     """
-    def copies(name: str, lines: DataFrame) -> DataFrame:
-        return reference.publish_by_hotel(lines, hotels, version, name)
-
-    def own(name: str, lines: DataFrame) -> DataFrame:
-        return lines.where(F.col("htl_cd").isin(*hotels)).select(
-            F.lit(version).alias("version"), "htl_cd", F.lit(name).alias("name"), "line"
-        )
-
-    field_line = F.concat_ws("#", "htl_cd", "field").alias("line")
-    listed = flags.sparkSession.createDataFrame([(h,) for h in hotels], "htl_cd string")
-    defaults = (
-        listed.join(inventory_fields, "htl_cd", "left_anti")
-        .withColumn("field", F.lit(reference.DEFAULT_INVENTORY_FIELD))
-        .select("htl_cd", field_line)
-    )
-    parts = [
-        copies("is_predict", reference.flag_lines(flags)),
-        copies("predconf", reference.predconf_rows(flags)),
-        copies("price_model", reference.price_model(bar_map)),
-        own("season", season_lines),
-        copies("invt_field_config", inventory_fields.select(field_line)),
-        own("invt_field_config", defaults),
-    ]
-    parts += [copies(name, lines) for name, lines in (others or {}).items()]
+    fields = reference.inventory_field_defaults(inventory_fields, hotels)
+    own = {
+        "predconf": reference.predconf_rows(flags, "htl_cd"),
+        "season": season_lines,
+        "invt_field_config": fields.select("htl_cd", F.concat_ws("#", "htl_cd", "field").alias("line")),
+    }
+    shared = {"is_predict": reference.flag_lines(flags), "price_model": reference.price_model(bar_map), **(others or {})}
+    parts = [reference.publish_by_hotel(lines, hotels, version, name) for name, lines in own.items()]
+    parts += [reference.publish_shared(lines, version, name) for name, lines in shared.items()]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -56,11 +42,5 @@ def reference_tables(
 
 
 def publish_reference_tables(tables: DataFrame, root: str) -> None:
-    """Text files in ``<root>/version=…/htl_cd=…/name=…``."""
-    write_partitioned(tables, root, ["version", "htl_cd", "name"], fmt="text")
-
-
-def upload_reference_tables(tables: DataFrame, root: str, first_hotel: str | None = None) -> None:
-    """Text files in ``<root>/version=…/name=…/htl_cd=…``, shared tables once."""
-    kept = reference.publish_shared_first(tables, first_hotel)
-    write_partitioned(kept, root, ["version", "name", "htl_cd"], fmt="text")
+    """Text files in ``<root>/version=…/name=…/htl_cd=…``."""
+    write_partitioned(tables, root, ["version", "name", "htl_cd"], fmt="text")

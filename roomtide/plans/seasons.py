@@ -28,9 +28,17 @@ def season_table(
     segments: DataFrame, flags: DataFrame, train_start: date, train_end: date,
     start: date, end: date, template: Sequence[str], weeks: int = 2, seasons: int = 5,
 ) -> DataFrame:
-    """(htl_cd, line): own seasons, or the template for hotels with short history."""
-    own = season.season_lines(
+    """(htl_cd, line): own seasons, or the template for hotels with short history or without history in some bucket.
+
+    ``incomplete_hotels`` reports the latter.
+    """
+    complete, gaps = season.split_complete(
         season_runs(segments, flags, train_start, train_end, start, end, weeks, seasons)
     )
     short = season.short_history_hotels(segments, train_start, train_end)
-    return own.unionByName(season.fallback_lines(short, template))
+    return season.season_lines(complete).unionByName(season.fallback_lines(gaps.unionByName(short), template))
+
+
+def incomplete_hotels(runs: DataFrame) -> DataFrame:
+    """Hotels (htl_cd) with days whose bucket has no history."""
+    return season.split_complete(runs)[1]

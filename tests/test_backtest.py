@@ -2,6 +2,8 @@ from datetime import date
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from roomtide.operators.backtest import backtest_windows, hotel_history_span, hotel_units
 from roomtide.operators.ranking import with_row_index
 
@@ -46,9 +48,15 @@ def test_units_by_brute_force(spark, n, p):
 
 
 def test_row_index_over_many_ranges(spark):
-    out = with_row_index(spark.range(1000).selectExpr("id * 3 as k"), "k", ranges=7)
+    out = with_row_index(spark.range(1000).selectExpr("id * 3 as k"), "k", F.floor(F.col("k") / 500))
     assert all(r.k == r.row_index * 3 and r.row_total == 1000 for r in out.collect())
 
 
 def test_row_index_of_nothing(spark):
-    assert with_row_index(spark.range(0), "id").count() == 0
+    assert with_row_index(spark.range(0), "id", F.col("id")).count() == 0
+
+
+def test_units_are_planned_without_a_job(spark):
+    spark.sparkContext.setJobGroup("units", "units")
+    hotel_units(spark.range(50).selectExpr("cast(id as string) as htl_cd"), 7)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("units")) == 0

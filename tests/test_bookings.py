@@ -107,6 +107,14 @@ def test_both_ways_to_area_orders_agree(book, hotels, rows, dedupe):
     assert per_city == ({100: 2, 300: 2} if dedupe else {100: 2, 200: 2, 300: 2})
 
 
+def test_both_ways_agree_on_a_hotel_without_a_master(book, hotels, rows):
+    dictionary = hotels(area(1, None, 100), area(2, 1, 200))
+    source = book({"hotel_id": 1}, {"hotel_id": 2})
+    two_steps = area_orders(hotel_nights(source, dictionary), dictionary)
+    one_step = area_orders_from_bookings(source, dictionary)
+    assert rows(two_steps) == rows(one_step.select(*two_steps.columns)) != []
+
+
 def test_unknown_star_is_kept_as_a_group(book, hotels):
     dictionary = hotels(dict(hotel=1, masterhotelid=1, city=5))
     [first, second] = area_nights(book({}), dictionary).collect()

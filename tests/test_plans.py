@@ -8,7 +8,7 @@ from roomtide.operators import curves
 from roomtide.operators.area import area_nights
 from roomtide.plans.otb import PAIRS, run_daily
 from roomtide.plans.reference_tables import (
-    publish_reference_tables, reference_tables, upload_reference_tables,
+    publish_reference_tables, reference_tables,
 )
 from roomtide.plans.sql_list import SqlStatement, TableFile, open_tables, run_statements
 from roomtide.session import scratch_path
@@ -53,23 +53,18 @@ def test_reference_tables_per_hotel(spark, rows):
     seasons = spark.createDataFrame([("H1", "s1"), ("H2", "s2"), ("H9", "s9")], "htl_cd string, line string")
     fields = spark.createDataFrame([("H1", "tosell")], "htl_cd string, field string")
     others = {"specialday": spark.createDataFrame([("day1",), ("day2",)], "line string")}
-    tables = reference_tables("v1", ["H1", "H2"], flags, bar_map, seasons, fields, others)
+    hotels = spark.createDataFrame([("H1",), ("H2",)], "htl_cd string")
+    tables = reference_tables("v1", hotels, flags, bar_map, seasons, fields, others)
     assert rows(tables.where("htl_cd = 'H2'"), "name", "line") == [
-        ("invt_field_config", "H1#tosell"), ("invt_field_config", "H2#rooms"),
-        ("is_predict", "H1#A#Y"), ("is_predict", "H2#A#N"),
-        ("predconf", "#H1#A###Y###"), ("predconf", "#H2#A###N###"),
-        ("price_model", "1#H1#1#RT#0#50#"), ("season", "s2"),
-        ("specialday", "day1"), ("specialday", "day2"),
+        ("invt_field_config", "H2#rooms"), ("predconf", "#H2#A###N###"), ("season", "s2"),
     ]
-    assert rows(tables.where("htl_cd = 'H1' and name = 'invt_field_config'"), "line") == [("H1#tosell",)]
-
-    published, uploaded = scratch_path(spark, "published"), scratch_path(spark, "uploaded")
+    assert rows(tables.where("htl_cd = 'shared'"), "name", "line") == [
+        ("is_predict", "H1#A#Y"), ("is_predict", "H2#A#N"), ("price_model", "1#H1#1#RT#0#50#"), ("specialday", "day1"), ("specialday", "day2"),
+    ]
+    published = scratch_path(spark, "published")
     publish_reference_tables(tables, published)
-    assert rows(read_lines(spark, f"{published}/version=v1/htl_cd=H2/name=season")) == [("s2",)]
-    upload_reference_tables(tables, uploaded)
-    assert rows(read_lines(spark, f"{uploaded}/version=v1/name=specialday/htl_cd=H1")) == [("day1",), ("day2",)]
-    names = {(r.name, r.htl_cd) for r in spark.read.text(uploaded).select("name", "htl_cd").collect()}
-    assert {n for n, h in names if h == "H2"} == {"predconf", "season"}
+    assert rows(read_lines(spark, f"{published}/version=v1/name=season/htl_cd=H2")) == [("s2",)]
+    assert rows(read_lines(spark, f"{published}/version=v1/name=specialday/htl_cd=shared")) == [("day1",), ("day2",)]
 
 
 def test_sql_list_from_files(spark, tmp_path, rows):
@@ -79,23 +74,19 @@ def test_sql_list_from_files(spark, tmp_path, rows):
         return str(tmp_path / name)
 
     tables = open_tables(spark, [
-        TableFile("student", "id#name#age", put("student", "1#Ann#20\n2#Bo#15\n3#Cy#30\n")),
-        TableFile("course", "id#name#teacher#start_dt#end_dt", put("course", "7#Maths#Tom#2016-01-01#2016-01-31\n")),
-        TableFile("relation", "student_id#course_id", put("relation", "1#7\n2#7\n")),
+        TableFile("boat", "number#length", put("boat", "1#9\n2#14\n")),
+        TableFile("trip", "boat#day#guests", put("trip", "1#2020-05-01#4\n1#2020-05-09#3\n3#2020-05-02#1\n")),
     ])
     out = str(tmp_path / "out")
     results = run_statements(spark, tables, [
-        SqlStatement("late", 3, "select teacher, datediff(start_dt, end_dt) as period from course"),
+        SqlStatement("last", 8, "select max(day) as day from trip"),
         SqlStatement("off", 1, "select nonsense", enable=False),
-        SqlStatement("first", 2, """
-            select s.name, s.age - 10 as new_age, c.teacher from student s
-            left join relation r on s.id = r.student_id
-            inner join course c on r.course_id = c.id where s.age > 16 order by s.id""", out_path=out),
+        SqlStatement("busy", 4, "select length, sum(guests) as guests from trip join boat on boat = number group by length", out_path=out),
     ])
-    assert list(results) == ["first", "late"]
-    assert [tuple(r) for r in results["first"].collect()] == [("Ann", 10, "Tom")]
-    assert rows(results["late"]) == [("Tom", -30)]
-    assert rows(spark.read.text(out)) == [("Ann#10#Tom",)]
+    assert list(results) == ["busy", "last"]
+    assert rows(results["busy"].selectExpr("cast(length as int)", "cast(guests as int)")) == [(9, 7)]
+    assert rows(results["last"].selectExpr("cast(day as string)")) == [("2020-05-09",)]
+    assert [r[0].split("#")[0] for r in spark.read.text(out).collect()] == ["9"]
 
 
 def test_sql_list_stops_on_a_bad_statement(spark):

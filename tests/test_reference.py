@@ -29,26 +29,12 @@ def test_inventory_default_compares_whole_codes(spark, rows):
     assert rows(reference.inventory_field_defaults(fields, hotels)) == [("H1", "rooms"), ("H10", "tosell")]
 
 
-def test_published_folders(spark, rows):
-    content = spark.createDataFrame([("a",), ("b",)], "line string")
-    copies = reference.publish_by_hotel(content, ["H1", "H2"], "v1", "htlcd")
+def test_each_hotel_has_its_own_lines_and_shared_ones_are_stored_once(spark, rows):
+    content = spark.createDataFrame([("H1", "a"), ("H2", "b"), ("H2", "c"), ("H9", "z")], "htl_cd string, line string")
+    hotels = spark.createDataFrame([("H1",), ("H2",), ("H2",), ("H3",)], "htl_cd string")
+    tables = reference.publish_by_hotel(content, hotels, "v1", "seasons").unionByName(reference.publish_shared(content.where("line = 'a'"), "v1", "days"))
     path = scratch_path(spark, "published")
-    write_partitioned(copies, path, ["version", "htl_cd", "name"])
-    one = read_parquet(spark, f"{path}/version=v1/htl_cd=H2/name=htlcd")
-    assert rows(one) == [("a",), ("b",)]
-    assert copies.count() == 4
-
-
-def test_shared_tables_come_from_the_first_hotel_only(spark, rows):
-    published = spark.createDataFrame(
-        [(h, n, f"{h}{n}") for h in ("H1", "H2") for n in ("season", "predconf", "htlcd")]
-        + [("H2", "only_second", "x")],
-        "htl_cd string, name string, line string",
-    )
-    kept = reference.publish_shared_first(published)
-    expected = [
-        ("H1", "htlcd"), ("H1", "predconf"), ("H1", "season"), ("H2", "predconf"), ("H2", "season"),
-    ]
-    assert rows(kept, "htl_cd", "name") == expected
-    other = reference.publish_shared_first(published, first_hotel="H2")
-    assert ("H2", "only_second") in rows(other, "htl_cd", "name") and other.count() == 6
+    write_partitioned(tables, path, ["version", "name", "htl_cd"])
+    assert rows(read_parquet(spark, f"{path}/version=v1/name=seasons/htl_cd=H2"), "line") == [("b",), ("c",)]
+    assert rows(read_parquet(spark, f"{path}/version=v1/name=days/htl_cd=shared"), "line") == [("a",)]
+    assert tables.count() == 4
