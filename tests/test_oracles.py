@@ -3,6 +3,8 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from catalogue.oracles import all_oracles
+from catalogue.queries import all_queries
 from check import compare, oracle_connection
 
 SF = "/root/testdata/sf0.001"
@@ -13,13 +15,14 @@ def con():
     return oracle_connection(SF)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query_equals_oracle(spark, con, name):
     assert compare(spark, con, SF, name) is None
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(all_queries()) == set(all_oracles())
+    assert set(all_queries()) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
 def test_entry_runs(spark):

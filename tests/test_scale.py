@@ -3,8 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
 from catalogue import starschema as star
+from catalogue.queries import all_queries
 from roomtide.model import AREA_ORDERS, BOOKINGS
 from roomtide.operators import curves
 from roomtide.operators.area import area_nights
@@ -30,12 +30,10 @@ def settings(spark):
         spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_no_pairs_and_no_python_in_the_plan(spark, settings, plan, name):
     settings(autoBroadcastJoinThreshold="-1")
-    if name.startswith("op") or name == "pipeline":
-        pytest.skip("tested in tests/llm")
-    text = plan(queries()[name](spark, SF))
+    text = plan(all_queries()[name](spark, SF))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython", "MapInPandas"):
         assert bad not in text
 
