@@ -177,7 +177,9 @@ def _base64(run: str) -> str | None:
         raw = base64.b64decode(core + "=" * (-len(core) % 4))
     except (binascii.Error, ValueError):
         return None
-    while (inner := _unpacked(raw)) is not None:
+    met = {raw}
+    while (inner := _unpacked(raw)) is not None and inner not in met:  # some archives unpack to themselves
+        met.add(inner)
         raw = inner
     try:
         text = raw.decode()
