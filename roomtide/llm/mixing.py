@@ -78,8 +78,8 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = 12) -> D
     for name, target in targets.items():
         present = cells.groupBy(F.col(name).alias("value")).agg(F.sum("tokens").alias("t")).where("t > 0")
         shares = present.join(target.withColumnRenamed("value", "v"), F.col("value").eqNullSafe(F.col("v"))).select("value", F.col("share").cast("double").alias("share"))
-        whole = shares.agg(F.sum("share").alias("whole"))
-        wanted[name] = _stored(shares.join(F.broadcast(whole)).select("value", (F.col("share") / F.col("whole")).alias("share")), "targets")  # one row beside each
+        whole = shares.agg(F.sum("share")).first()[0]
+        wanted[name] = _stored(shares.select("value", (F.col("share") / F.lit(whole)).alias("share")), "targets")
     for _ in range(sweeps):
         for name, target in wanted.items():
             now = raked.groupBy(F.col(name).alias("__value")).agg(F.sum("weight").alias("__sum"))
@@ -91,17 +91,17 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = 12) -> D
 
 def margins(raked: DataFrame, dimension: str) -> DataFrame:
     """A dimension's values with their ``share`` of the raked weight."""
-    whole = raked.agg(F.sum("weight").alias("__whole"))
+    whole = raked.agg(F.sum("weight")).first()[0]
     sums = raked.groupBy(F.col(dimension).alias("value")).agg(F.sum("weight").alias("__sum"))
-    return sums.join(F.broadcast(whole)).select("value", (F.col("__sum") / F.col("__whole")).alias("share"))
+    return sums.select("value", (F.col("__sum") / F.lit(whole)).alias("share"))
 
 
 def probabilities(raked: DataFrame, dimensions: Sequence[str]) -> DataFrame:
     """Each cell's probability of keeping a document."""
     ratio = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0)
-    most = raked.agg(F.max(ratio).alias("__most"))
-    chance = F.when(F.col("__most") > 0, ratio / F.col("__most")).otherwise(0.0)
-    return raked.join(F.broadcast(most)).select(*dimensions, chance.alias("__chance"))
+    most = raked.agg(F.max(ratio)).first()[0]
+    chance = ratio / F.lit(most) if most else F.lit(0.0)
+    return raked.select(*dimensions, chance.alias("__chance"))
 
 
 def mix(
