@@ -40,6 +40,10 @@ from roomtide.llm.text import map_batches, one_column
 from roomtide.session import scratch_path
 
 
+#: Fixed value: the letter that byte-level vocabularies write for a space.
+SPACE = "\u0120"
+
+
 class LibraryEncoder:
     """Ids of whole texts by the tokenizers library.
 
@@ -61,11 +65,14 @@ class LibraryEncoder:
             and kind.get("use_regex") and not kind.get("add_prefix_space")
             and not any(x["single_word"] or x["lstrip"] or x["rstrip"] or x["normalized"] for x in added)
         )
-        self.width = 2 if max(self.library.get_vocab().values()) < 1 << 16 else 4
-        self.ids = PieceEncoder(self.whole, {x["content"]: x["id"] for x in added}) if simple else self.whole
+        vocab = self.library.get_vocab()
+        self.width = 2 if max(vocab.values()) < 1 << 16 else 4
+        spaced = np.zeros(max(vocab.values()) + 1, bool)
+        spaced[[i for token, i in vocab.items() if token[:1] == SPACE]] = True
+        self.ids = PieceEncoder(self.whole, {x["content"]: x["id"] for x in added}, spaced=spaced) if simple else self.whole
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
 
 
 @lru_cache(maxsize=2)
