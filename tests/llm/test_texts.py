@@ -50,6 +50,13 @@ def test_layers_map_back_to_the_text(wrapped):
     assert secret_scan.masked(f"é 😀 {wrapped} end", every) == "é 😀 [SECRET] end"
 
 
+def test_archives_that_unpack_to_each_other_end(monkeypatch):
+    one, other = SECRET.encode(), SECRET.encode() + b"!"
+    monkeypatch.setattr(secret_scan, "_unpacked", lambda raw: other if raw == one else one)
+    wrapped = base64.b64encode(one).decode()
+    assert secret_scan.scan(wrapped)[1] == [(0, len(wrapped), 0)]
+
+
 def test_base_finds_by_the_plain_patterns(spark, documents, odd, empty):
     def plain(t):
         found = [(m.start(), 0, m.end()) for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", t, re.I | re.A) if len(m[2]) >= 6]
