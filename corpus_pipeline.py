@@ -22,8 +22,8 @@ def good_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each component of near copies stays."""
-    return ngram_join.first_of_each(docs)
+    """The document with the smallest id of each component of near copies (five words, 80 percent) stays."""
+    return ngram_join.first_of_each(docs, width=5, percent=80)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

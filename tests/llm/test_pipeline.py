@@ -1,5 +1,6 @@
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
+from roomtide.llm import ngram_join
 from roomtide.llm.queries import llm_queries
 
 
@@ -13,3 +14,28 @@ def test_masking_and_encoding_stages(spark, odd):
     assert masked.columns == odd.columns and masked.count() == odd.count()
     rows = corpus_pipeline.token_ids(spark, masked, "").collect()
     assert len(rows) == odd.count() and all(r.same_text and len(r.ids) == r.n_tokens for r in rows)
+
+
+def test_near_copies_equal_brute_force_at_five_words_and_80_percent(spark, documents):
+    text = [f"w{k}" for k in range(200)]
+    changed = [f"x{k}" if k % 50 == 25 else w for k, w in enumerate(text)]
+    far = [f"y{k}" if k % 25 == 12 else w for k, w in enumerate(text)]
+    copies = [text, text + [f"z{k}" for k in range(30)], changed, far]
+    rows = [(r.doc_id, r.text) for r in documents.collect()]
+    least = max(i for i, _ in rows) + 1
+    rows += [(least + k, " ".join(w)) for k, w in enumerate(copies)]
+    sets = []
+    for _, t in rows:
+        w = ngram_join.words((t or "").encode())
+        sets.append({tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if w else set())
+    group = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if sets[a] and group[a] != group[b] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                group = [group[a] if g == group[b] else g for g in group]
+    first = {}
+    for (i, _), g in zip(rows, group):
+        first[g] = min(i, first.get(g, i))
+    kept = corpus_pipeline.one_of_each(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), "")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(first.values())
+    assert least in first.values() and not {least + 1, least + 2} & set(first.values()) and least + 3 in first.values()
