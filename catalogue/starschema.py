@@ -119,21 +119,20 @@ def short_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fixed_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hotel totals to be split over segments; some keys have none."""
+    """Hotel totals to be split over segments, of all lines; keys whose lines have no measure have a null total."""
     return (
-        table(spark, sf_dir, "lineitem").where("l_partkey % 3 <> 0")
-        .selectExpr(HOTEL, LIVE, ADVANCE, "cast(l_linenumber as double) as measure")
+        table(spark, sf_dir, "lineitem")
+        .selectExpr(HOTEL, LIVE, ADVANCE, "if(l_partkey % 3 <> 0, cast(l_linenumber as double), null) as measure")
         .groupBy("htl_cd", "live_dt", "adv_days")
         .agg(F.sum("measure").alias("rns"))
     )
 
 
 def weight_conf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Packed weight pairs; odd hotels have none."""
+    """Packed weight pairs of all hotels; those of odd hotels are null."""
     return (
-        table(spark, sf_dir, "lineitem").where("l_suppkey % 2 = 0")
-        .selectExpr(HOTEL, SEGMENT, ADVANCE).distinct()
-        .selectExpr("*", "concat('0.', adv_days % 10, ',0.', (adv_days + 3) % 10) as weights")
+        table(spark, sf_dir, "lineitem").selectExpr(HOTEL, SEGMENT, ADVANCE).distinct()
+        .selectExpr("*", "if(cast(htl_cd as bigint) % 2 = 0, concat('0.', adv_days % 10, ',0.', (adv_days + 3) % 10), null) as weights")
     )
 
 
@@ -160,15 +159,17 @@ def hotels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def inventory_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Configured inventory fields; every third hotel has none."""
-    return table(spark, sf_dir, "supplier").where("s_suppkey % 3 <> 0").selectExpr(
-        "cast(s_suppkey as string) as htl_cd", "if(s_suppkey % 2 = 0, 'rooms', 'tosell') as field"
+    """Configured inventory fields of all hotels; that of every third is null."""
+    return table(spark, sf_dir, "supplier").selectExpr(
+        "cast(s_suppkey as string) as htl_cd",
+        "case when s_suppkey % 3 = 0 then null when s_suppkey % 2 = 0 then 'rooms' else 'tosell' end as field",
     )
 
 
 def capacities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "supplier").where("s_suppkey % 7 <> 0").selectExpr(
-        "cast(s_suppkey as string) as htl_cd", "cast(s_suppkey % 30 + 20 as double) as capacity"
+    """Capacities of all hotels; that of every seventh is null."""
+    return table(spark, sf_dir, "supplier").selectExpr(
+        "cast(s_suppkey as string) as htl_cd", "if(s_suppkey % 7 <> 0, cast(s_suppkey % 30 + 20 as double), null) as capacity"
     )
 
 

@@ -51,9 +51,11 @@ def price_model(bar_map: DataFrame) -> DataFrame:
 def inventory_field_defaults(
     fields: DataFrame, hotels: DataFrame, default: str = DEFAULT_INVENTORY_FIELD
 ) -> DataFrame:
-    """(htl_cd, field) rows plus a default row for each hotel that has none."""
-    missing = hotels.select("htl_cd").distinct().join(fields, "htl_cd", "left_anti")
-    return fields.select("htl_cd", "field").unionByName(missing.withColumn("field", F.lit(default)))
+    """(htl_cd, field) rows plus a default row for each hotel, of either table, that has none or only nulls."""
+    known = fields.where("field is not null").select("htl_cd", "field")
+    named = hotels.select("htl_cd").unionByName(fields.where("field is null").select("htl_cd")).distinct()
+    missing = named.join(known, "htl_cd", "left_anti")
+    return known.unionByName(missing.withColumn("field", F.lit(default)))
 
 
 def publish_by_hotel(content: DataFrame, hotels: DataFrame, version: str, name: str) -> DataFrame:

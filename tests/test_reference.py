@@ -29,6 +29,12 @@ def test_inventory_default_compares_whole_codes(spark, rows):
     assert rows(reference.inventory_field_defaults(fields, hotels)) == [("H1", "rooms"), ("H10", "tosell")]
 
 
+def test_inventory_default_replaces_null_fields(spark, rows):
+    fields = spark.createDataFrame([("H1", None), ("H2", None), ("H2", "tosell"), ("H9", None)], "htl_cd string, field string")
+    hotels = spark.createDataFrame([("H1",), ("H2",), ("H3",)], "htl_cd string")
+    assert rows(reference.inventory_field_defaults(fields, hotels)) == [("H1", "rooms"), ("H2", "tosell"), ("H3", "rooms"), ("H9", "rooms")]
+
+
 def test_each_hotel_has_its_own_lines_and_shared_ones_are_stored_once(spark, rows):
     content = spark.createDataFrame([("H1", "a"), ("H2", "b"), ("H2", "c"), ("H9", "z")], "htl_cd string, line string")
     hotels = spark.createDataFrame([("H1",), ("H2",), ("H2",), ("H3",)], "htl_cd string")
