@@ -3,7 +3,8 @@
 Every text is the first item of a worklist. An item is scanned for secrets,
 and what can be unwrapped in it becomes new items: the text with its URL
 escapes decoded, with its Unicode escapes and character references decoded,
-and the text of each base64 run, decompressed if it is compressed. Each layer
+and the text of each base64 run, over line breaks too, decompressed if it is
+compressed: all members and streams of it, one after the other. Each layer
 keeps, for every character, the span of the original text it comes from, so
 a find in any layer is a span of the original text. A layer that was seen
 before (same text from the same place) is not scanned again; every layer is
@@ -16,9 +17,17 @@ Finds of the first layer are the base; those of deeper layers are added, a
 span that is found twice counts once. Spans are in code points, end exclusive.
 
 Null text counts as empty and has no spans. Rows are kept one by one,
-whatever their ids. Texts of any length are scanned whole. One compressed
-layer may unwrap to ``MOST_UNWRAPPED`` bytes, what lies beyond is not read:
-the bound against decompression bombs.
+whatever their ids. Texts of any length are scanned whole. A layer that unwraps
+to more than ``MOST_HELD`` bytes is read to its end as a stream, in chunks that
+end where no find and no run goes on; held are its head and the chunk at hand,
+which grows with the longest run. A damaged or cut archive counts as far as it
+can be read. An archive of more than ``MOST_HELD`` bytes counts as unpacking to
+itself if the first ``MOST_HELD`` bytes are the same.
+
+A wrapped run is a chain of lines of base64 signs. Lines of one width with a
+shorter one behind (and before) them, and the whole chain, are tried, the
+longest first; one that decodes to text stands for all its lines. A run whose
+archive ends with the last line goes before one with more behind the archive.
 """
 
 from __future__ import annotations
@@ -26,11 +35,14 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
+import codecs
 import hashlib
 import lzma
 import re
 import zlib
+from collections.abc import Iterable, Iterator
 from html import unescape
+from itertools import chain, groupby
 
 import pyarrow as pa
 import zstandard
@@ -38,7 +50,9 @@ from pyspark.sql import DataFrame
 
 from roomtide.llm.text import map_batches, one_column
 
-MOST_UNWRAPPED = 64 << 20
+MOST_HELD = 64 << 20
+ZLIB = type(zlib.decompressobj())
+CHUNK, STEP, SLICE = 4 << 20, 1 << 20, 1 << 16  # characters of a chunk; bytes of a step's output and input
 
 # The patterns of the base finds and their least lengths.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -50,6 +64,11 @@ URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"(?:\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#[xX]?[0-9A-Fa-f]{1,7};|&(?:quot|apos|amp|equals|colon|lowbar|sol|plus|period|dash|hyphen);)+")
 ONE_ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|(&[^;]+;)")
 BASE64 = re.compile(r"[A-Za-z0-9+/]{16,}={0,2}|[A-Za-z0-9_-]{16,}={0,2}")
+LINE = re.compile(r"[A-Za-z0-9+/_-]++={0,2}")
+BREAK = re.compile(r"[ \t]*+\r?\n[ \t]*+")
+BEFORE = re.compile(r"(?<![A-Za-z0-9+/_-])([A-Za-z0-9+/_-]{1,15})[ \t]*+\r?\n[ \t]*+\Z")
+#: A sign that ends every find and every run.
+APART = re.compile(r"""[^A-Za-z0-9+/_.=:"'%\\{}&#;\s-]""")
 
 Span = tuple[int, int, int]  # start, end, number of the kind
 
@@ -150,43 +169,222 @@ def _unicode(run: str) -> tuple[str, list[int]] | None:
     return ("".join("\ufffd" if 0xD800 <= ord(c) < 0xE000 else c for c in chars), widths) if chars else None
 
 
-def _unpacked(raw: bytes) -> bytes | None:
-    """The content if the bytes are compressed."""
+class _Long:
+    """Content of more than ``MOST_HELD`` bytes: its head, and all of it as a stream that can be read once."""
+
+    __slots__ = ("head", "pieces")
+
+    def __init__(self, head: bytes, pieces: Iterator[bytes]):
+        self.head, self.pieces = head, chain([head], pieces)
+
+
+def _decompressor(head: bytes):
+    """A new one for the kind of archive that starts so."""
+    if head[:2] == b"\x1f\x8b":
+        return zlib.decompressobj(31)
+    if head[:1] == b"\x78" and len(head) > 2 and int.from_bytes(head[:2], "big") % 31 == 0:
+        return zlib.decompressobj()
+    if head[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if head[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor()
+    if head[:4] == b"\x28\xb5\x2f\xfd":
+        return zstandard.ZstdDecompressor(max_window_size=1 << 31).decompressobj()
+    return None
+
+
+def _slices(pieces: Iterable[bytes]) -> Iterator[bytes]:
+    return (piece[k:k + SLICE] for piece in pieces for k in range(0, len(piece), SLICE))
+
+
+def _member(d, data: bytes, more: Iterator[bytes]):
+    """Yields the content of one member that starts with ``data``; returns the bytes behind it, None if it has no end."""
+    while True:
+        if hasattr(d, "needs_input"):
+            yield d.decompress(data, STEP)
+            while not d.eof and not d.needs_input:
+                yield d.decompress(b"", STEP)
+            data = d.unused_data if d.eof else b""
+        elif isinstance(d, ZLIB):
+            yield d.decompress(data, STEP)
+            data = d.unused_data if d.eof else d.unconsumed_tail
+        else:  # zstandard has no limit of its output: little input at a time
+            yield d.decompress(data[:1024])
+            data = (d.unused_data or b"") + data[1024:] if d.eof else data[1024:]
+        if d.eof:
+            return data
+        if not data and not (data := next(more, b"")):
+            if isinstance(d, ZLIB):
+                yield d.flush()
+            return None
+
+
+def _inflated(pieces: Iterable[bytes], clean: list) -> Iterator[bytes]:
+    """The content of all members; ``clean`` gets an entry if they and nothing else were the input."""
+    more, rest = _slices(pieces), b""
     try:
-        if raw[:2] == b"\x1f\x8b":
-            return zlib.decompressobj(31).decompress(raw, MOST_UNWRAPPED)
-        if raw[:1] == b"\x78" and len(raw) > 2 and int.from_bytes(raw[:2], "big") % 31 == 0:
-            return zlib.decompressobj().decompress(raw, MOST_UNWRAPPED)
-        if raw[:3] == b"BZh":
-            return bz2.BZ2Decompressor().decompress(raw, MOST_UNWRAPPED)
-        if raw[:6] == b"\xfd7zXZ\x00":
-            return lzma.LZMADecompressor().decompress(raw, MOST_UNWRAPPED)
-        if raw[:4] == b"\x28\xb5\x2f\xfd":
-            return zstandard.ZstdDecompressor().decompress(raw, max_output_size=MOST_UNWRAPPED)
+        while True:
+            while len(rest) < 6 and (piece := next(more, b"")):
+                rest = (rest + piece).lstrip(b"\0")  # streams may be padded
+            if not rest:
+                clean.append(True)
+                return
+            if rest[:1] != b"\0" and rest[1:4] == b"\x2a\x4d\x18" and rest[0] >> 4 == 5:  # a frame of zstandard to be skipped
+                while len(rest) < 8 and (piece := next(more, b"")):
+                    rest += piece
+                length = 8 + int.from_bytes(rest[4:8], "little")
+                while len(rest) < length and (piece := next(more, b"")):
+                    length, rest = length - len(rest), piece
+                rest = rest[length:]
+                continue
+            if (d := _decompressor(rest)) is None:
+                break
+            if (rest := (yield from _member(d, rest, more))) is None:
+                return
+            rest = rest.lstrip(b"\0")
     except (zlib.error, OSError, lzma.LZMAError, zstandard.ZstdError, EOFError, ValueError):
+        return
+    behind = rest + b"".join(more)
+    if _text(behind) is not None:
+        yield behind
+
+
+def _unpacked(raw: bytes | _Long) -> bytes | _Long | None:
+    """The content if it is compressed."""
+    head = raw if isinstance(raw, bytes) else raw.head
+    if _decompressor(head) is None or not any(_inflated([head], [])):
         return None
-    return None
+    clean: list = []
+    pieces = _inflated([raw] if isinstance(raw, bytes) else raw.pieces, clean)
+    held, size = [], 0
+    for piece in pieces:
+        held.append(piece)
+        size += len(piece)
+        if size > MOST_HELD:
+            return _Long(b"".join(held), pieces)
+    if not clean and isinstance(raw, bytes) and _text(raw) is not None:
+        return None  # a text that only starts like an archive
+    return b"".join(held)
+
+
+def _text(raw: bytes, cut: bool = False) -> str | None:
+    """The bytes as text, if they are; with ``cut`` the last character may be cut."""
+    try:
+        text = codecs.getincrementaldecoder("utf-8")().decode(raw, not cut)
+    except UnicodeDecodeError:
+        return None
+    return text if text and _shown(text) >= 0.9 * len(text) else None
 
 
-def _base64(run: str) -> str | None:
-    """Text of a base64 run, through any number of compressions; None if it isn't text."""
+def _shown(text: str) -> int:
+    return sum(c.isprintable() or c in "\n\r\t" for c in text)
+
+
+def _decoded(run: str) -> bytes | None:
     core = run.rstrip("=").replace("-", "+").replace("_", "/")
     if len(core) % 4 == 1:
         return None
     try:
-        raw = base64.b64decode(core + "=" * (-len(core) % 4))
+        return base64.b64decode(core + "=" * (-len(core) % 4))
     except (binascii.Error, ValueError):
         return None
-    met = {raw}
-    while (inner := _unpacked(raw)) is not None and inner not in met:  # some archives unpack to themselves
-        met.add(inner)
+
+
+def _base64(run: str) -> str | _Long | None:
+    """Text of a base64 run, through any number of compressions; None if it isn't text."""
+    if (raw := _decoded(run)) is None:
+        return None
+    digest = lambda x: hashlib.blake2b(x if isinstance(x, bytes) else x.head).digest()
+    met = {digest(raw)}
+    while (inner := _unpacked(raw)) is not None and digest(inner) not in met:  # some archives unpack to themselves
+        met.add(digest(inner))
         raw = inner
+    return _text(raw, len(met) > 1) if isinstance(raw, bytes) else raw
+
+
+def _last_apart(text: str) -> int | None:
+    """Behind the last sign that ends every find and run."""
+    for k in range(len(text) - 1, -1, -4096):
+        if found := [m.end() for m in APART.finditer(text, max(0, k - 4095), k + 1)]:
+            return found[-1]
+    return None
+
+
+def _kinds(content: _Long) -> set[int]:
+    """The kinds of the finds in all layers of a long content; none if it isn't text."""
+    decoder = codecs.getincrementaldecoder("utf-8")()
+    kinds: set[int] = set()
+    held, size, shown, total = [], 0, 0, 0
+
+    def scanned(text: str):
+        kinds.update(kind for _, _, kind in scan(text)[1])
+
     try:
-        text = raw.decode()
+        for piece in content.pieces:
+            for k in range(0, len(piece), STEP):
+                text = decoder.decode(piece[k:k + STEP])
+                total, shown = total + len(text), shown + _shown(text)
+                cut = _last_apart(text) if size + len(text) >= CHUNK else None
+                held.append(text if cut is None else text[:cut])
+                size += len(text)
+                if cut is not None:
+                    scanned("".join(held))
+                    held, size = [text[cut:]], len(text) - cut
     except UnicodeDecodeError:
-        return None
-    shown = sum(c.isprintable() or c in "\n\r\t" for c in text)
-    return text if text and shown >= 0.9 * len(text) else None
+        return set()
+    scanned("".join(held))
+    return kinds if total and shown >= 0.9 * total else set()
+
+
+def _wrapped(t: str, start: int) -> list[tuple[int, int]]:
+    """The lines of the run at ``start``, with a short one before it."""
+    first = LINE.match(t, start)
+    lines = [first.span()]
+    while t[lines[-1][1] - 1] != "=" and (gap := BREAK.match(t, lines[-1][1])) and (line := LINE.match(t, gap.end())) and not line[0].startswith("--"):
+        lines.append(line.span())
+    if m := BEFORE.search(t, max(0, start - 64), start):
+        lines.insert(0, m.span(1))
+    return lines
+
+
+def _joins(lines: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """First and last line of what may be one run, longest first."""
+    found, at = {(0, len(lines) - 1)}, 0
+    for width, same in groupby(b - a for a, b in lines):
+        i, j = at, at + sum(1 for _ in same) - 1
+        at = j + 1
+        if width >= 16:
+            short = lambda k: 0 <= k < len(lines) and lines[k][1] - lines[k][0] < width
+            found |= {(x, y) for x in ((i, i - 1) if short(i - 1) else (i,)) for y in ((j, j + 1) if short(j + 1) else (j,))}
+    return sorted(((i, j) for i, j in found if j > i), key=lambda x: (lines[x[0]][0] - lines[x[1]][1], x))
+
+
+def _clean(run: str) -> bool:
+    raw, clean = _decoded(run), []
+    if raw is None or _decompressor(raw) is None:
+        return raw is not None
+    for _ in _inflated([raw], clean):
+        pass
+    return bool(clean)
+
+
+def _base64_runs(t: str) -> Iterator[tuple[int, int, str | _Long]]:
+    """Start, end and content of every run that holds text, also over line breaks."""
+    upto, runs = 0, []  # end of the lines looked at; what was joined of them
+    for m in BASE64.finditer(t):
+        if m.start() >= upto and len(lines := _wrapped(t, m.start())) > 1:
+            upto, taken = lines[-1][1], []
+            joins = [(i, j, "".join(t[a:b] for a, b in lines[i:j + 1])) for i, j in _joins(lines)]
+            for clean in (True, False):
+                for i, j, run in joins:
+                    if all(j < x or i > y for x, y in taken) and _clean(run) == clean and (inner := _base64(run)) is not None:
+                        taken.append((i, j))
+                        yield lines[i][0], lines[j][1], inner
+            runs = [(lines[i][0], lines[j][1]) for i, j in taken]
+        elif m.start() >= upto:
+            runs = []
+        if not any(a <= m.start() < b for a, b in runs) and (inner := _base64(m[0])) is not None:
+            yield m.start(), m.end(), inner
 
 
 def scan(text: str) -> tuple[list[Span], list[Span]]:
@@ -209,9 +407,11 @@ def scan(text: str) -> tuple[list[Span], list[Span]]:
             add(_rewritten(layer, URL, _url))
         if "\\" in t or "&" in t:
             add(_rewritten(layer, ESCAPE, _unicode))
-        for m in BASE64.finditer(t):
-            if (inner := _base64(m[0])) is not None:
-                a, b = layer.span(m.start(), m.end())
+        for start, end, inner in _base64_runs(t):
+            a, b = layer.span(start, end)
+            if isinstance(inner, _Long):
+                every.update((a, b, kind) for kind in _kinds(inner))
+            else:
                 add(Layer(inner, _All(a), _All(b)))
 
     unwrap(Layer(text, range(len(text)), range(1, len(text) + 1)))

@@ -1,10 +1,13 @@
 import base64
+import bz2
 import gzip
+import lzma
 import re
 import zlib
 from urllib.parse import quote
 
 import pytest
+import zstandard
 
 from roomtide.llm import html_text, quality_classifier, quality_rules, secret_scan
 
@@ -50,6 +53,44 @@ def test_layers_map_back_to_the_text(wrapped):
     assert secret_scan.masked(f"é 😀 {wrapped} end", every) == "é 😀 [SECRET] end"
 
 
+def _many(compress, n=3):
+    return b"".join(compress(x) for x in [b"first member, " * 40, SECRET.encode(), b" last member"][:n])
+
+
+@pytest.mark.parametrize("compress", [gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress])
+def test_all_members_and_streams_are_read(compress):
+    wrapped = base64.b64encode(_many(compress)).decode()
+    assert (4, 4 + len(wrapped), 0) in secret_scan.scan(f"é 😀 {wrapped} end")[1]
+    halves = compress(SECRET[:12].encode()) + compress(SECRET[12:].encode())
+    wrapped = base64.b64encode(halves).decode()
+    assert secret_scan.scan(wrapped)[1] == [(0, len(wrapped), 0)]
+
+
+@pytest.mark.parametrize("compress", [gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress])
+def test_content_behind_the_held_bytes_is_read(monkeypatch, compress):
+    monkeypatch.setattr(secret_scan, "MOST_HELD", 1 << 16)
+    monkeypatch.setattr(secret_scan, "CHUNK", 1 << 14)
+    monkeypatch.setattr(secret_scan, "STEP", 1 << 12)
+    nested = base64.b64encode(gzip.compress(b"AKIA" + b"A" * 16)).decode()
+    long = "é, plain words. " * 20_000 + SECRET + ", " + "words, é " * 20_000 + nested
+    wrapped = base64.b64encode(compress(gzip.compress(long.encode()))).decode()
+    assert secret_scan.scan(f"x {wrapped}")[1] == [(2, 2 + len(wrapped), 0), (2, 2 + len(wrapped), 1)]
+    binary = base64.b64encode(compress(long.encode() + b"\xff\xfe")).decode()
+    assert secret_scan.scan(binary)[1] == []
+
+
+@pytest.mark.parametrize("newline", ["\n", "\r\n", "\n    "])
+@pytest.mark.parametrize("width", [76, 64, 30])
+@pytest.mark.parametrize("pack", [lambda x: x, gzip.compress, zstandard.compress])
+def test_base64_over_line_breaks(pack, width, newline):
+    noise = " ".join(f"w{k * 7919 % 1000}" for k in range(60))
+    coded = base64.b64encode(pack(f"{noise}, {SECRET}, {noise[:31]}".encode())).decode()
+    wrapped = newline.join(coded[k:k + width] for k in range(0, len(coded), width))
+    _, every = secret_scan.scan(f"é 😀 {wrapped}\nwith more words")
+    assert every == [(4, 4 + len(wrapped), 0)]
+    assert secret_scan.masked(f"é 😀 {wrapped}\nwith more words", every) == "é 😀 [SECRET]\nwith more words"
+
+
 def test_archives_that_unpack_to_each_other_end(monkeypatch):
     one, other = SECRET.encode(), SECRET.encode() + b"!"
     monkeypatch.setattr(secret_scan, "_unpacked", lambda raw: other if raw == one else one)
