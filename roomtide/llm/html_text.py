@@ -6,14 +6,18 @@ then weighed as a whole:
 
 - text ratio: the path's characters outside links over its number of blocks;
 - punctuation ratio: the same of sentence marks;
-- smoothing: a path also counts the ratios of the paths beside it under the same parent,
-  weighted by their share of the parent's text, so a short heading stands with its paragraphs;
-- fusion: the product of both smoothed ratios;
-- threshold: ``share`` of the best path's fused ratio; paths in ``article`` or ``main`` pass in any case.
+- units: an element with a class, id or role of its own, ``article`` and ``main`` start a unit, except paragraphs,
+  headings, lists and tables, which belong to the unit around them;
+- smoothing: a path also counts the ratios of its unit's paths, weighted by their share of the text; lines of lists
+  and tables and headings also those of all that lies in their unit and the one around it, below ``body``, so they
+  stand with their article whatever wraps them;
+- fusion: the product of both smoothed ratios and the share of the path's text outside links (a heading may be a link);
+- weights: a tenth outside ``article`` and ``main`` if the page has one with text, ``MARKED`` below a class, id or role
+  that names boilerplate and below ``form``;
+- threshold: ``share`` of the best path's weighted ratio. It decides all paths, in and outside of ``article``.
 
-Paths through elements that never hold main text (menus, footers, forms,
-scripts ...) or whose class, id or role says so have ratio zero. If a page
-has an ``article`` or ``main`` element with text, the other paths compete with a tenth of their ratio.
+Paths through elements that never hold main text (menus, footers, scripts ...) and hidden ones have ratio zero, as
+does inline text whose own class or id names boilerplate.
 
 A block ends at any block element's tag and at ``br``. Character references
 are decoded, white space inside a block becomes one space, and blocks are
@@ -41,7 +45,7 @@ INLINE = frozenset(
     "span strike strong sub sup time tt u var wbr img input".split()
 )
 NEVER = frozenset(
-    "head nav footer aside form menu dialog button select option fieldset datalist object applet audio video canvas map".split()
+    "head nav footer aside menu dialog button select option fieldset datalist object applet audio video canvas map".split()
 ) | RAW
 #: Words of a class, id or role that mark boilerplate.
 MARKS = frozenset(
@@ -51,6 +55,10 @@ MARKS = frozenset(
     "sidebar signup skip social sponsor sponsored subscribe tags teaser toolbar widget widgets complementary contentinfo "
     "alert alertdialog sidenav topbar toc".split()
 )
+MARKED = 0.05
+LINES = frozenset("li td th dt dd caption figcaption h1 h2 h3 h4 h5 h6".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+PARTS = LINES | frozenset("p ul ol dl table thead tbody tfoot tr blockquote pre figure".split())
 #: A start tag of the first closes open elements of the second, up to an element of the third.
 IMPLIED = {
     "li": ("li", "ul ol menu".split()), "dt": ("dt dd".split(), ["dl"]), "dd": ("dt dd".split(), ["dl"]),
@@ -64,34 +72,55 @@ MARK = re.compile(r"[.!?;:,。！？；：，、…]")
 WORDS = re.compile(r"[a-z]+|[0-9]+")
 
 
+class Unit(NamedTuple):
+    above: int
+    marked: bool
+    content: bool
+    root: bool
+
+
+class Open(NamedTuple):
+    """An open element, and what holds for the text in it."""
+    name: str
+    path: int = -1
+    unit: int = 0
+    dead: bool = False
+    content: bool = False
+    line: bool = False
+    heading: bool = False
+
+
 class Block(NamedTuple):
     path: int
-    parent: int
+    unit: int
     text: str
     linked: int
     dead: bool
     content: bool
+    line: bool
 
 
-def _label(name: str, attributes: str) -> tuple[str, bool]:
-    """The element's part of a path, and whether it is marked as boilerplate."""
+def _label(name: str, attributes: str) -> tuple[str, bool, bool]:
+    """The element's part of a path, whether it is marked as boilerplate, and whether it is hidden."""
     if not attributes or not attributes.strip(" /"):
-        return name, False
-    label, dead = [name], False
+        return name, False, False
+    label, marked, dead = [name], False, False
     for m in ATTRIBUTE.finditer(attributes):
         key, value = m[1].lower(), unescape(m[2] or m[3] or m[4] or "").lower()
         if key in ("class", "id", "role"):
             label.append(f"{key}={value}")
-            dead |= not MARKS.isdisjoint(WORDS.findall(value))
+            marked |= not MARKS.isdisjoint(WORDS.findall(value))
         elif key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and "display:none" in value.replace(" ", ""):
             dead = True
-    return " ".join(label), dead
+    return " ".join(label), marked, dead
 
 
-def blocks(html: str) -> list[Block]:
-    """Text blocks in page order."""
+def blocks(html: str) -> tuple[list[Block], list[Unit]]:
+    """Text blocks in page order, and the units they are in; a unit comes after the one above it."""
     found: list[Block] = []
-    stack: list[tuple[str, int, int, bool, bool]] = []  # name, path, its parent, dead, content
+    stack: list[Open] = []
+    units, starts = [Unit(-1, False, False, True)], {}  # starts: the unit of a path that starts one
+    page = Open("")
     numbers: dict[tuple[int, str], int] = {}  # of paths, by parent and label
     unclosed: set[str] = set()
     pieces: list[str] = []
@@ -110,8 +139,8 @@ def blocks(html: str) -> list[Block]:
         nonlocal linked
         text = " ".join("".join(pieces).split())
         if text:
-            _, path, parent, dead, content = stack[-1] if stack else ("", -1, -2, False, False)
-            found.append(Block(path, parent, text, linked, dead, content))
+            x = stack[-1] if stack else page
+            found.append(Block(x.path, x.unit, text, 0 if x.heading else linked, x.dead, x.content, x.line))
         pieces.clear()
         linked = 0
 
@@ -139,10 +168,10 @@ def blocks(html: str) -> list[Block]:
                 links = max(0, links - 1)
             elif name in INLINE:
                 pass
-            elif name in ("br", "p") and not any(x[0] == name for x in stack):
+            elif name in ("br", "p") and not any(x.name == name for x in stack):
                 flush()
             else:
-                k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
+                k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k].name == name), None)
                 if k is not None:
                     close(k)
             continue
@@ -158,7 +187,7 @@ def blocks(html: str) -> list[Block]:
         if name == "a":
             links += 1
         if name in INLINE:
-            if _label(name, attributes)[1] and name not in VOID and (over := end_of(name, at)):
+            if any(_label(name, attributes)[1:]) and name not in VOID and (over := end_of(name, at)):
                 at = over  # marked inline text
                 links -= name == "a" and links > 0
             continue
@@ -169,51 +198,77 @@ def blocks(html: str) -> list[Block]:
         if name in IMPLIED:
             shut, upto = IMPLIED[name]
             for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in upto:
+                if stack[k].name in upto:
                     break
-                if stack[k][0] in shut:
+                if stack[k].name in shut:
                     close(k)
                     break
-        if stack and stack[-1][0] == "p":
+        if stack and stack[-1].name == "p":
             close(len(stack) - 1)
-        label, marked = _label(name, attributes)
-        _, above, _, dead, content = stack[-1] if stack else ("", -1, -2, False, False)
-        content = content or name in ("article", "main")
-        dead = dead or marked and name not in ("html", "body") or name in NEVER or name == "header" and not content
-        stack.append((name, numbers.setdefault((above, label), len(numbers)), above, dead, content))
+        label, marked, hidden = _label(name, attributes)
+        above = stack[-1] if stack else page
+        root = name in ("html", "body")
+        marked = (marked or name == "form") and not root
+        content = above.content or name in ("article", "main")
+        dead = above.dead or hidden and not root or name in NEVER or name == "header" and not content
+        path = numbers.setdefault((above.path, label), len(numbers))
+        unit, own = above.unit, marked or name in ("article", "main") or label != name and name not in PARTS
+        if own:
+            if path not in starts:
+                starts[path] = len(units)
+                units.append(Unit(above.unit, marked or units[above.unit].marked, content, root))
+            unit = starts[path]
+        line = name in LINES or above.line and not own
+        stack.append(Open(name, path, unit, dead, content, line, name in HEADINGS or above.heading and not own))
     flush()
-    return found
+    return found, units
 
 
-def chosen(found: list[Block], share: float = 0.1) -> list[str]:
+def chosen(found: list[Block], units: list[Unit], share: float = 0.1) -> list[str]:
     """The texts of the blocks on content paths."""
-    paths: dict[int, list[float]] = {}
-    parents: dict[int, set[int]] = {}
+    paths: dict[int, list[float]] = {}  # blocks, characters outside links, marks, all characters
+    where: dict[int, Block] = {}
     for b in found:
         if not b.dead:
-            parents.setdefault(b.parent, set()).add(b.path)
-            x = paths.setdefault(b.path, [0, 0, 0, b.content])
+            where[b.path] = b
+            x = paths.setdefault(b.path, [0, 0, 0, 0])
             x[0] += 1
-            x[1] += max(0, len(b.text) - b.linked)
+            x[1] += len(b.text) * (1 - b.linked / (len(b.text) - b.text.count(" ")))
             x[2] += len(MARK.findall(b.text)) if b.linked * 2 < len(b.text) else 0
+            x[3] += len(b.text)
     if not paths:
         return []
-    some = any(x[3] and x[1] for x in paths.values())
-    ratio = {p: (x[1] / x[0], x[2] / x[0], x[1]) for p, x in paths.items()}
+    some = any(x[1] and where[p].content for p, x in paths.items())
+    ratio = {p: (x[1] / x[0], x[2] / x[0]) for p, x in paths.items()}
+    inside = [[0.0, 0.0, 0] for _ in units]
+    for p, (text, marks) in ratio.items():
+        x = inside[where[p].unit]
+        for k, v in enumerate((text * paths[p][1], marks * paths[p][1], paths[p][1])):
+            x[k] += v
+    below = [list(x) for x in inside]
+    for u in range(len(units) - 1, 0, -1):
+        above = units[u].above
+        if units[above].marked == units[u].marked and units[above].content == units[u].content:
+            below[above] = [a + b for a, b in zip(below[above], below[u])]
     fused = {}
-    for beside in parents.values():
-        total = sum(ratio[p][2] for p in beside) or 1
-        shared = [sum(ratio[p][k] * ratio[p][2] for p in beside) / total for k in (0, 1)]
-        for p in beside:
-            smooth = [max(ratio[p][k], shared[k]) for k in (0, 1)]
-            fused[p] = smooth[0] * (1 + smooth[1]) * (1 if not some or paths[p][3] else 0.1)
+    for p, own in ratio.items():
+        b, x = where[p], paths[p]
+        unit, above = units[b.unit], units[units[b.unit].above]
+        bases = [inside[b.unit]]
+        if b.line and not unit.root:
+            bases.append(below[b.unit])
+            if unit.above > 0 and not above.root and above.marked == unit.marked and above.content == unit.content:
+                bases.append(below[unit.above])
+        text, marks = (max(own[k], *(s[k] / (s[2] or 1) for s in bases)) for k in (0, 1))
+        weight = (0.1 if some and not b.content else 1) * (MARKED if unit.marked else 1)
+        fused[p] = text * (1 + marks) * (x[1] / x[3]) * weight
     best = max(fused.values())
-    content = {p for p, x in fused.items() if x >= share * best and x > 0 or paths[p][3]}
+    content = {p for p, x in fused.items() if x >= share * best and x > 0}
     return [b.text for b in found if b.path in content and not b.dead]
 
 
 def main_text(html: str | None) -> str:
-    return "\n".join(chosen(blocks(html or "")))
+    return "\n".join(chosen(*blocks(html or "")))
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

@@ -32,6 +32,23 @@ def test_page_shapes(html, text):
     assert html_text.main_text(html) == text
 
 
+LONG = "Some words of a long paragraph, and more of them, make a sentence of the article. " * 3
+
+
+@pytest.mark.parametrize("html, kept, gone", [
+    (f"<article><h1>A short title</h1><p>{LONG}</p><div class=zz9>Read more stories</div><ul class=q7><li><a href=x>a link</a><li><a href=y>a link</a></ul><p>{LONG}</p></article>", ["A short title"], ["Read more", "a link"]),
+    (f"<article><h1><a href=x>A linked title</a></h1><div class=body><p>{LONG}</p></div></article>", ["A linked title"], []),
+    (f"<div class=text><p>{LONG}</p><ul><li>fifteen letters</li><li>two of them</li></ul><table><tr><td>cell 1</td><td>cell 2</td></tr></table></div><div class=q>Legal</div>", ["fifteen letters", "two of them", "cell 1", "cell 2"], ["Legal"]),
+    (f"<div class=text><p>{LONG}</p><div class=wide><table><tr><td>cell 1</td></tr></table></div></div>", ["cell 1"], []),
+    (f"<div class='page sidebar left' id=search-page><p>{LONG}</p></div><div class=q>All pages, one.</div>", ["Some words"], []),
+    (f"<article><p>{LONG}</p><div class=comments><p>{LONG.replace('article', 'comment')}</p></div></article>", ["article"], ["comment"]),
+    (f"<form><p>{LONG}</p></form><div class=q>Legal</div>", ["Some words"], []),
+])
+def test_ratios_decide_all_paths(html, kept, gone):
+    text = html_text.main_text(html)
+    assert LONG.strip() in text and all(x in text for x in kept) and not any(x in text for x in gone)
+
+
 def test_page_rows_are_kept(spark):
     rows = [(1, None, None), (1, "u", "<p>x, y."), (None, "u", "<p>x, y."), (1, "u", "<p>x, y.")]
     df = spark.createDataFrame([(*r, "clash") for r in rows], "page_id bigint, url string, html string, text string")
