@@ -3,7 +3,7 @@
 Documents fall into cells by their source, language and topic (any columns).
 The tokens of the cells are raked: for one dimension after the other, every
 value's cells are scaled so that their sum meets the value's target, until all
-margins hold. A cell's weight over its tokens, scaled so that the largest is
+margins hold: until none is further from its target than ``TOLERANCE``. A cell's weight over its tokens, scaled so that the largest is
 1, is the probability of keeping each of its documents, so the expected
 tokens of the sample have the target margins. The choice for a document
 depends on its id and the seed alone.
@@ -12,7 +12,8 @@ Targets are shares by value. Values without a target get none of the sample;
 targets of values without documents are spread over the others. By default
 targets come from the data: a value's share to the power ``flatten``, so
 0 evens the values out and 1 leaves them. Cells whose margins contradict
-each other end as near as raking brings them; ``margins`` shows how near.
+each other end as near as raking brings them: when a sweep no longer narrows the
+largest gap, raking ends with a warning that names it.
 
 Only DataFrame functions are used. Null in a dimension is a value of its own.
 Null text has no tokens, and documents without tokens are kept with their
@@ -23,12 +24,17 @@ documents keep their names and values, whatever they are called.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from roomtide.session import scratch_path
 
+#: Largest gap between a margin and its target, both as shares, that counts as none; what a sweep must leave of the gap at most to go on.
+TOLERANCE, NARROWER = 1e-12, 0.9999
+
 
 def token_count(text: Column) -> Column:
     """Words: runs of anything but space and 0x09-0x0D."""
@@ -66,12 +72,13 @@ def flattened(cells: DataFrame, dimension: str, flatten: float) -> DataFrame:
     return cells.groupBy(F.col(dimension).alias("value")).agg(F.sum("tokens").alias("t")).where("t > 0").select("value", F.pow("t", F.lit(float(flatten))).alias("share"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = 12) -> DataFrame:
+def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int | None = None) -> DataFrame:
     """``cells`` (dimensions and ``tokens``) with ``weight``, scaled to the targets' shares.
 
     ``targets`` holds for each dimension a table of ``value`` and ``share``.
     Every step sums before it shuffles and joins one row for each value; a
-    sweep over all dimensions is stored, which cuts the lineage.
+    sweep over all dimensions is stored, which cuts the lineage. ``sweeps``
+    bounds their number; by default they go on while they narrow the gap.
     """
     raked = _stored(cells.withColumn("weight", F.col("tokens").cast("double")), "cells")
     wanted = {}
@@ -80,15 +87,34 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = 12) -> D
         shares = present.join(target.withColumnRenamed("value", "v"), F.col("value").eqNullSafe(F.col("v"))).select("value", F.col("share").cast("double").alias("share"))
         whole = shares.agg(F.sum("share")).first()[0]
         wanted[name] = _stored(shares.select("value", (F.col("share") / F.lit(whole)).alias("share")), "targets")
-    for _ in range(sweeps):
+    left, done = gap(raked, wanted), 0
+    while left > TOLERANCE and done != sweeps:
         for name, target in wanted.items():
             now = raked.groupBy(F.col(name).alias("__value")).agg(F.sum("weight").alias("__sum"))
             factors = now.join(target, F.col("__value").eqNullSafe(F.col("value")), "left").select("__value", F.when(F.col("__sum") > 0, F.coalesce("share", F.lit(0.0)) / F.col("__sum")).otherwise(0.0).alias("__factor"))
             raked = raked.join(factors, F.col(name).eqNullSafe(F.col("__value"))).withColumn("weight", F.col("weight") * F.col("__factor")).drop("__value", "__factor")
         raked = _stored(raked, "cells")
+        before, left, done = left, gap(raked, wanted), done + 1
+        if done > 1 and left > NARROWER * before:
+            break
+    if left > TOLERANCE:
+        warnings.warn(f"after {done} sweeps a margin is {left:.3g} off its target", stacklevel=2)
     return raked
 
 
+def gap(raked: DataFrame, shares: dict[str, DataFrame]) -> float:
+    """The largest gap between a margin and its target (``value``, ``share``) in all dimensions, 0 without weights."""
+    whole = raked.agg(F.sum("weight")).first()[0]
+    if not whole:
+        return 0.0
+    parts = []
+    for name, target in shares.items():
+        sums = raked.groupBy(F.col(name).alias("__value")).agg((F.sum("weight") / F.lit(whole)).alias("__share"))
+        both = sums.join(target, F.col("__value").eqNullSafe(F.col("value")), "full")
+        parts.append(both.agg(F.max(F.abs(F.coalesce("__share", F.lit(0.0)) - F.coalesce("share", F.lit(0.0)))).alias("gap")))
+    return reduce(DataFrame.unionByName, parts).agg(F.max("gap")).first()[0] or 0.0 if parts else 0.0
+
+
 def margins(raked: DataFrame, dimension: str) -> DataFrame:
     """A dimension's values with their ``share`` of the raked weight."""
     whole = raked.agg(F.sum("weight")).first()[0]
@@ -105,7 +131,7 @@ def probabilities(raked: DataFrame, dimensions: Sequence[str]) -> DataFrame:
 
 
 def mix(
-    docs: DataFrame, targets: dict[str, DataFrame] | None = None, flatten: float = 0.85, sweeps: int = 12, seed: int = 17,
+    docs: DataFrame, targets: dict[str, DataFrame] | None = None, flatten: float = 0.85, sweeps: int | None = None, seed: int = 17,
     doc_id: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang",
 ) -> DataFrame:
     """Every row of ``docs`` with ``__topic``, ``__tokens``, ``__chance`` and ``__kept``."""

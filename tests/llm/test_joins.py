@@ -142,6 +142,22 @@ def test_raking_meets_both_margins(spark):
     assert max(chances) == 1 and min(chances) > 0
 
 
+def test_raking_goes_on_until_the_margins_hold(spark):
+    cells = spark.createDataFrame([("a", "x", 10**6), ("a", "y", 10), ("b", "x", 10), ("b", "y", 10**6), ("c", "x", 1), ("c", "y", 1)], "s string, l string, tokens bigint")
+    wanted = {"s": {"a": 0.2, "b": 0.5, "c": 0.3}, "l": {"x": 0.6, "y": 0.4}}
+    targets = {k: spark.createDataFrame(list(v.items()), "value string, share double") for k, v in wanted.items()}
+    raked = mixing.rake(cells, targets)
+    assert all(abs(r.share - wanted[d][r.value]) < 1e-11 for d in wanted for r in mixing.margins(raked, d).collect())
+
+
+def test_raking_reports_targets_that_contradict(spark):
+    cells = spark.createDataFrame([("a", "x", 5), ("b", "y", 5)], "s string, l string, tokens bigint")
+    wanted = {"s": {"a": 0.2, "b": 0.8}, "l": {"x": 0.6, "y": 0.4}}
+    targets = {k: spark.createDataFrame(list(v.items()), "value string, share double") for k, v in wanted.items()}
+    with pytest.warns(UserWarning, match="0.4 off"):
+        mixing.rake(cells, targets)
+
+
 def test_mix_of_odd_rows(odd, empty, documents):
     rows = mixing.report(odd).collect()
     assert len(rows) == odd.count() and all(0 <= r.chance <= 1 for r in rows)
