@@ -59,5 +59,52 @@ select doc_id, n as n_shingles, (select min(b) from reach where a = doc_id) as c
 """
 
 
+FILL_MIDDLE = r"""
+with
+    drawn as (
+        select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') as u, sha256('7:' || doc_id) as h
+        from documents),
+    numbered as (
+        select doc_id, text, u, len(u)::bigint as n, ('0x' || h[1:8])::bigint % (len(u) + 1) as c1, ('0x' || h[9:16])::bigint % (len(u) + 1) as c2,
+            ('0x' || h[17:24])::bigint % 100 as pick, ('0x' || h[25:32])::bigint % 100 as kind
+        from drawn),
+    cut as (
+        select doc_id, text, n,
+            case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or pick >= 100 then 'plain' when kind < 50 then 'spm' else 'psm' end as form,
+            array_to_string(u[1:least(c1, c2)], '') as prefix, array_to_string(u[least(c1, c2) + 1:greatest(c1, c2)], '') as middle,
+            array_to_string(u[greatest(c1, c2) + 1:], '') as suffix
+        from numbered)
+select doc_id, n, form, case when form <> 'plain' then length(prefix) end::bigint as prefix_chars, case when form <> 'plain' then length(middle) end::bigint as middle_chars,
+    sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+    sha256(text) as restored_sha256
+from cut
+"""
+
+
+def vector_codes_sql(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    """Plain k-means on each part: every distance of every round."""
+    steps = [f"""
+        kept as (
+            select vec_id, label, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as x, len(embedding) // {parts} as w
+            from embeddings where len(embedding) > 0 and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)),
+        parts as materialized (select vec_id, label, p, x[p * w + 1:p * w + w] as v from kept, range({parts}) t(p)),
+        book0 as materialized (select p, (row_number() over (partition by p order by vec_id) - 1) as e, v from parts qualify e < {entries})"""]
+    distance = "list_sum(list_transform(range(1, len(a.v) + 1), lambda i: (a.v[i] - b.v[i]) * (a.v[i] - b.v[i])))::hugeint"
+    for r in range(rounds + 1):
+        steps.append(f"""
+        near{r} as materialized (select a.vec_id, a.label, a.p, any_value(a.v) as v, min({distance} * 256 + b.e) as best from parts a join book{r} b on a.p = b.p group by all)""")
+        if r < rounds:
+            steps.append(f"""
+        sums{r} as (select p, best % 256 as e, k, sum(v[k])::hugeint as s, count(*) as n from near{r}, range(1, len(v) + 1) t(k) group by all),
+        means{r} as (select p, e, list((s - ((s % n) + n) % n) // n order by k)::bigint[] as v from sums{r} group by p, e),
+        book{r + 1} as materialized (select b.p, b.e, coalesce(m.v, b.v) as v from book{r} b left join means{r} m on b.p = m.p and b.e = m.e)""")
+    return "with" + ",".join(steps) + f""",
+        coded as (select vec_id, label, string_agg(printf('%02x', (best % 256)::int), '' order by p) as code, sum(best // 256)::bigint as error from near{rounds} group by vec_id, label)
+        select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error,
+            (select sha256(string_agg(array_to_string(v, ','), ',' order by p, e)) from book{rounds}) as codebooks_sha256
+        from coded"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {"op1_mixing": mixing_sql(), "op5_ngram_join": NGRAM_JOIN}
+    return {"op1_mixing": mixing_sql(), "op5_ngram_join": NGRAM_JOIN, "op11_vector_codes": vector_codes_sql(), "op12_fill_middle": FILL_MIDDLE}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roomtide.llm import bpe, curve_search, html_text, mixing, ngram_join, quality_classifier, quality_rules, secret_scan, suffix_tree, token_files
+from roomtide.llm import bpe, curve_search, fill_middle, html_text, language_id, mixing, ngram_join, quality_classifier, quality_rules, secret_scan, suffix_tree, token_files, vector_codes
 from roomtide.session import scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -68,6 +68,19 @@ def round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(_table(spark, sf_dir, "embeddings"))
+
+
+def cut_in_three(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(_table(spark, sf_dir, "documents"))
+
+
+def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return language_id.identify(docs, language_id.learn(docs))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -78,5 +91,5 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": mix, "op2_token_files": tokens, "op3_html_text": pages, "op4_secrets": secrets, "op5_ngram_join": near_copies,
         "op6_quality_rules": rules, "op7_suffix_tree": language_model, "op8_quality_classifier": classified, "op9_curve_search": neighbours,
-        "op10_bpe": round_trip, "pipeline": pipeline,
+        "op10_bpe": round_trip, "op11_vector_codes": codes, "op12_fill_middle": cut_in_three, "op13_language_id": languages, "pipeline": pipeline,
     }

@@ -56,12 +56,28 @@ def held_out(column: str, folds: int):
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % folds == 0
 
 
+#: Bytes of a batch that a function gets at once, unless one row has more.
+SLICE = 1 << 20
+
+
+def slices(batches: Iterable[pa.RecordBatch], most: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of up to ``most`` bytes, or one row: what a task holds doesn't depend on the length of texts."""
+    for batch in batches:
+        waiting = [batch] if batch.num_rows else []
+        while waiting:
+            part = waiting.pop()
+            n = part.num_rows
+            if n > 1 and part.nbytes > most:
+                waiting += [part.slice(n // 2), part.slice(0, n // 2)]
+            else:
+                yield part
+
+
 def map_batches(df: DataFrame, function, schema: str) -> DataFrame:
-    """``function(batch)`` yields batches for each Arrow batch."""
+    """``function(batch)`` yields batches for each slice of the rows (see ``slices``)."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield from function(batch)
+        for part in slices(batches):
+            yield from function(part)
 
     return df.mapInArrow(run, schema)
 
