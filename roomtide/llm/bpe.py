@@ -25,20 +25,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from roomtide.llm.pieces import PieceEncoder
+from roomtide.llm.pieces import PATTERN, PieceEncoder, byte_letters
 from roomtide.llm.text import map_batches, one_column
 
-#: Fixed value: the pattern of byte-level pre-tokens.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-
-
-def byte_letters() -> dict[str, int]:
-    """The letter that vocabulary files write for each byte: itself if visible in Latin-1, else one from U+0100 on."""
-    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    hidden = [b for b in range(256) if b not in set(visible)]
-    return {chr(b): b for b in visible} | {chr(256 + k): b for k, b in enumerate(hidden)}
-
-
 class Codec:
     """Encoder and decoder of one vocabulary file (byte-level BPE)."""
 

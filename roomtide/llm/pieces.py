@@ -3,10 +3,9 @@
 The pattern of byte-level BPE always begins a token at a space that is
 followed by something other than white space. A text may therefore be cut
 before every such space, and the ids of the whole are those of the pieces in
-turn. Words repeat, so the ids of a piece are kept in a cache of bounded size.
-Where a call of the encoder is dear, a text's new pieces go to it together:
-a piece holds no space but the one in front, so its ids begin at the id whose
-string begins with a space.
+turn. Words repeat, so the ids of a piece are kept. The cache has two
+generations of bounded size: a full one becomes the old one, from which pieces
+that are met again move on, so what is common stays and what is rare goes.
 """
 
 from __future__ import annotations
@@ -14,12 +13,27 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-import numpy as np
 import regex
 
 WHITE = regex.compile(r"\s")
 STOPS = ".,;:!?"
 
+#: Fixed value: the pattern of byte-level pre-tokens.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def byte_letters() -> dict[str, int]:
+    """The letter that vocabulary files write for each byte: itself if visible in Latin-1, else one from U+0100 on."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in set(visible)]
+    return {chr(b): b for b in visible} | {chr(256 + k): b for k, b in enumerate(hidden)}
+
+
+def special_splitter(specials: dict[str, int]) -> Callable[[str], list[str]]:
+    """Cuts a text at special tokens, of which the longest is taken, and keeps them."""
+    longest_first = sorted(map(re.escape, specials), key=len, reverse=True)
+    return re.compile("(" + "|".join(longest_first) + ")").split if specials else lambda text: [text]
+
 
 class Irregular(Exception):
     """A space before white space or at the end: the text isn't cut."""
@@ -28,63 +42,43 @@ class Irregular(Exception):
 class _Cache(dict):
     def __init__(self, encode: Callable[[str], bytes], capacity: int):
         super().__init__()
-        self.encode, self.capacity = encode, capacity
+        self.encode, self.capacity, self.older = encode, capacity, {}
         self.stops = {c: encode(c) for c in STOPS}
 
     def __missing__(self, piece: str) -> bytes:
-        if not piece or WHITE.match(piece):
-            raise Irregular
-        if piece[-1] in STOPS and piece[:-1].isalpha():  # letters and one sign are a token each
-            ids = self[piece[:-1]] + self.stops[piece[-1]]
-        else:
-            ids = self.encode(" " + piece)
-        if len(self) >= self.capacity:
-            self.clear()
+        ids = self.older.get(piece)
+        if ids is None:
+            if not piece or WHITE.match(piece):
+                raise Irregular
+            if piece[-1] in STOPS and piece[:-1].isalpha():  # letters and one sign are a token each
+                ids = self[piece[:-1]] + self.stops[piece[-1]]
+            else:
+                ids = self.encode(" " + piece)
         if len(piece) < 64:
+            if len(self) >= self.capacity:
+                self.older = dict(self)
+                self.clear()
             self[piece] = ids
         return ids
 
 
 class PieceEncoder:
-    """``encode`` turns a text without special tokens into ids as little-endian unsigned 32-bit integers.
-
-    ``spaced`` tells for each id whether its string begins with a space; with it, new pieces are encoded together.
-    """
+    """Turns a text into ids as little-endian unsigned 32-bit integers; ``encode`` does so for a text without special tokens."""
 
-    def __init__(self, encode: Callable[[str], bytes], specials: dict[str, int], capacity: int = 1_000_000, spaced: np.ndarray | None = None):
-        self.encode, self.spaced = encode, spaced
+    def __init__(self, encode: Callable[[str], bytes], specials: dict[str, int], capacity: int = 250_000):
+        self.encode = encode
         self.cache = _Cache(encode, capacity)
         self.specials = {k: v.to_bytes(4, "little") for k, v in specials.items()}
-        longest_first = sorted(map(re.escape, specials), key=len, reverse=True)
-        self.split = re.compile("(" + "|".join(longest_first) + ")").split if specials else lambda text: [text]
+        self.split = special_splitter(specials)
 
     def plain(self, text: str) -> bytes:
         first, *rest = text.split(" ")
         try:
-            if self.spaced is not None:
-                self.learn(rest)
             tail = b"".join(map(self.cache.__getitem__, rest))
         except Irregular:
             return self.encode(text)
         return (self.encode(first) if first else b"") + tail
 
-    def learn(self, pieces: list[str]) -> None:
-        """Fill the cache with those of the pieces it lacks; what it doesn't take is encoded when it is met."""
-        cache = self.cache
-        new = {p for p in pieces if p not in cache}
-        if not all(new) or any(map(WHITE.match, new)):
-            raise Irregular
-        bare = {p[:-1] if p[-1] in cache.stops and p[:-1].isalpha() else p for p in new}
-        new = [p for p in bare if p not in cache and len(p) < 64]
-        if len(cache) + 2 * len(new) >= cache.capacity:
-            return
-        ids = np.frombuffer(self.encode("".join([" " + p for p in new])), "<u4")
-        begins = np.flatnonzero(self.spaced[ids])
-        if len(begins) == len(new):
-            data, bounds = ids.tobytes(), [*(4 * begins).tolist(), 4 * len(ids)]
-            for p, a, b in zip(new, bounds, bounds[1:]):
-                cache[p] = data[a:b]
-
     def __call__(self, text: str) -> bytes:
         parts = self.split(text)
         if len(parts) == 1:

@@ -30,7 +30,7 @@ def mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-files")
     token_files.write(_table(spark, sf_dir, "documents"), folder, tokenizer_path(), end_id=END_ID)
-    return token_files.read(spark, folder).drop("ids")
+    return token_files.read(spark, folder, ids=False)
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:

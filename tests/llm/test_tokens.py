@@ -28,7 +28,7 @@ def test_random_texts_equal_the_library(library):
         text = "".join(random.choices(parts, k=random.randint(0, 20)))
         expected = ids_of(library, text)
         assert np.frombuffer(coder.encode(text), "<u4").tolist() == expected
-        assert np.frombuffer(encoder.ids(text), "<u4").tolist() == expected
+        assert np.frombuffer(encoder.ids([text])[0], "<u4").tolist() == expected
         assert coder.decode(coder.encode(text)) == library.decode(expected, skip_special_tokens=False)
 
 
