@@ -16,11 +16,13 @@ from roomtide.plans.seasons import incomplete_hotels, season_runs, season_table
 from roomtide.plans.sql_list import SqlStatement, run_statements
 from roomtide.session import scratch_path
 from roomtide.sources import (
+    publish_version,
     read_delimited,
     read_lines,
     read_named_fields,
     read_parquet,
     read_snapshot,
+    read_version,
     write_delimited,
     write_parquet,
     write_partitioned,
@@ -121,8 +123,8 @@ def roundtrip_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stored_tables(spark: SparkSession, tables: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
-    write_partitioned(tables, path, ["version", "name", "htl_cd"])
-    return read_parquet(spark, path).selectExpr("version", "cast(htl_cd as string) as htl_cd", "name", "line")
+    publish_version(tables, path, "v1")
+    return read_version(spark, path, "v1")
 
 
 def publish_by_hotel(spark: SparkSession, sf_dir: str) -> DataFrame:

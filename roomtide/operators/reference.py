@@ -61,7 +61,7 @@ def inventory_field_defaults(
 def publish_by_hotel(content: DataFrame, hotels: DataFrame, version: str, name: str) -> DataFrame:
     """The lines of ``content`` (htl_cd, line) of every hotel in ``hotels``, each hotel its own.
 
-    Write the result with ``write_partitioned(by=["version", "name", "htl_cd"])``.
+    ``sources.publish_version`` stores the result.
     """
     own = content.join(hotels.select("htl_cd").distinct(), "htl_cd", "left_semi")
     return own.select(F.lit(version).alias("version"), "htl_cd", F.lit(name).alias("name"), "line")

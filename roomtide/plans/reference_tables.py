@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, functions as F
 
 from roomtide.operators import reference
-from roomtide.sources import write_partitioned
+from roomtide.sources import BUCKETS, publish_version, write_partitioned
 
 
 def reference_tables(
@@ -41,6 +41,14 @@ def reference_tables(
     return out
 
 
-def publish_reference_tables(tables: DataFrame, root: str) -> None:
-    """Text files in ``<root>/version=…/name=…/htl_cd=…``."""
+def publish_reference_tables(tables: DataFrame, root: str, version: str, buckets: int = BUCKETS) -> dict:
+    """Publish the tables of one version, all at once (see ``sources.versions``); returns the manifest."""
+    return publish_version(tables.where(F.col("version") == version), root, version, buckets)
+
+
+def export_hotel_folders(tables: DataFrame, root: str) -> None:
+    """Text files in ``<root>/version=…/name=…/htl_cd=…``, for readers that want a folder per hotel.
+
+    This writes a folder and a file for every hotel and table: for few hotels.
+    """
     write_partitioned(tables, root, ["version", "name", "htl_cd"], fmt="text")

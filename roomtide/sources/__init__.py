@@ -8,9 +8,11 @@ from roomtide.sources.readers import (
     read_snapshot,
     snapshot_key,
 )
+from roomtide.sources.versions import BUCKETS, manifest, prune, publish_version, read_version, versions
 from roomtide.sources.writers import write_delimited, write_parquet, write_partitioned
 
 __all__ = [
-    "dated_path", "read_delimited", "read_jdbc", "read_lines", "read_named_fields", "read_parquet",
-    "read_snapshot", "snapshot_key", "write_delimited", "write_parquet", "write_partitioned",
+    "BUCKETS", "dated_path", "manifest", "prune", "publish_version", "read_delimited", "read_jdbc", "read_lines",
+    "read_named_fields", "read_parquet", "read_snapshot", "read_version", "snapshot_key", "versions",
+    "write_delimited", "write_parquet", "write_partitioned",
 ]

@@ -7,12 +7,10 @@ from roomtide.model import curve_layout
 from roomtide.operators import curves
 from roomtide.operators.area import area_nights
 from roomtide.plans.otb import PAIRS, run_daily
-from roomtide.plans.reference_tables import (
-    publish_reference_tables, reference_tables,
-)
+from roomtide.plans.reference_tables import export_hotel_folders, publish_reference_tables, reference_tables
 from roomtide.plans.sql_list import SqlStatement, TableFile, open_tables, run_statements
 from roomtide.session import scratch_path
-from roomtide.sources import read_delimited, read_lines
+from roomtide.sources import read_delimited, read_lines, read_version
 
 SF = "/root/testdata/sf0.001"
 DIRECT = {
@@ -61,8 +59,12 @@ def test_reference_tables_per_hotel(spark, rows):
     assert rows(tables.where("htl_cd = 'shared'"), "name", "line") == [
         ("is_predict", "H1#A#Y"), ("is_predict", "H2#A#N"), ("price_model", "1#H1#1#RT#0#50#"), ("specialday", "day1"), ("specialday", "day2"),
     ]
+    root = scratch_path(spark, "versions")
+    publish_reference_tables(tables, root, "v1")
+    assert rows(read_version(spark, root, "v1")) == rows(tables.select("version", "htl_cd", "name", "line"))
+    assert rows(read_version(spark, root, "v1", "season", "H2"), "line") == [("s2",)]
     published = scratch_path(spark, "published")
-    publish_reference_tables(tables, published)
+    export_hotel_folders(tables, published)
     assert rows(read_lines(spark, f"{published}/version=v1/name=season/htl_cd=H2")) == [("s2",)]
     assert rows(read_lines(spark, f"{published}/version=v1/name=specialday/htl_cd=shared")) == [("day1",), ("day2",)]
 
