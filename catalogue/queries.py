@@ -12,7 +12,7 @@ from roomtide.functions import as_compact, as_dashed, parse_day
 from roomtide.model import AREA_ORDERS, HOTEL_DICTIONARY, curve_layout
 from roomtide.operators import area, backtest, curves, forecast, nights, reference, season
 from roomtide.plans.reference_tables import reference_tables as all_tables
-from roomtide.plans.seasons import incomplete_hotels, season_runs, season_table
+from roomtide.plans.seasons import season_runs, season_table, store_history
 from roomtide.plans.sql_list import SqlStatement, run_statements
 from roomtide.session import scratch_path
 from roomtide.sources import (
@@ -249,10 +249,12 @@ def _flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reference.segment_flags(star.market_segments(spark, sf_dir))
 
 
+def _history(spark: SparkSession, sf_dir: str) -> season.History:
+    return store_history(star.segment_daily(spark, sf_dir), scratch_path(spark, "history"))
+
+
 def _weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return season.weekly_mean(
-        star.segment_daily(spark, sf_dir), _flags(spark, sf_dir), TRAIN_START, TRAIN_END, WEEKS
-    )
+    return season.weekly_mean(_history(spark, sf_dir), _flags(spark, sf_dir), TRAIN_START, TRAIN_END, WEEKS)
 
 
 def season_weekly_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -271,23 +273,23 @@ def season_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def season_runs_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return season_runs(
-        star.segment_daily(spark, sf_dir), _flags(spark, sf_dir), TRAIN_START, TRAIN_END,
+        _history(spark, sf_dir), _flags(spark, sf_dir), TRAIN_START, TRAIN_END,
         CALENDAR_START, CALENDAR_END, WEEKS, SEASONS,
     )
 
 
 def season_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    short = season.short_history_hotels(star.segment_daily(spark, sf_dir), TRAIN_START, TRAIN_END)
+    short = season.short_history_hotels(_history(spark, sf_dir), TRAIN_START, TRAIN_END)
     return season.fallback_lines(short, TEMPLATE)
 
 
 def seasons_without_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return incomplete_hotels(season_runs_query(spark, sf_dir))
+    return season.incomplete_hotels(season_runs_query(spark, sf_dir))
 
 
 def season_table_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return season_table(
-        star.segment_daily(spark, sf_dir), _flags(spark, sf_dir), TRAIN_START, TRAIN_END,
+        _history(spark, sf_dir), _flags(spark, sf_dir), TRAIN_START, TRAIN_END,
         CALENDAR_START, CALENDAR_END, TEMPLATE, WEEKS, SEASONS,
     )
 

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from roomtide.functions import equal_width_band
 from roomtide.model import SEGMENT_DAILY
 from roomtide.operators import season
-from roomtide.plans.seasons import season_runs, season_table
+from roomtide.plans.seasons import open_history, season_runs, season_table, store_history
+from roomtide.session import scratch_path
 
 FLAGS = "htl_cd string, seg_cd string, is_pred string"
 
@@ -70,7 +71,7 @@ def test_whole_season_table_by_brute_force(spark, segments, rows):
         else:
             expected.append(["H1", s, day, day])
         day += timedelta(days=1)
-    got = season_runs(segments(*data), flags, first, train_end, start, end, weeks, bands)
+    got = season_runs(season.history_of(segments(*data)), flags, first, train_end, start, end, weeks, bands)
     assert rows(got, "htl_cd", "season_id", "start_dt", "end_dt") == sorted(map(tuple, expected), key=repr)
 
 
@@ -80,7 +81,7 @@ def test_short_history_takes_the_template(spark, segments, rows):
     data += every_day("H10", date(2015, 1, 2), train_end, lambda day: 5)
     flags = spark.createDataFrame([], FLAGS)
     got = season_table(
-        segments(*data), flags, train_start, train_end, date(2016, 1, 1), date(2016, 1, 31),
+        season.history_of(segments(*data)), flags, train_start, train_end, date(2016, 1, 1), date(2016, 1, 31),
         ["V_HTL#1####a#b", "V_HTL#2####c#d"],
     )
     assert rows(got) == [
@@ -92,9 +93,10 @@ def test_short_history_takes_the_template(spark, segments, rows):
 def test_excluded_segments_count_as_history_but_not_as_demand(spark, segments):
     data = [("H1", "X", date(2015, 1, 1), 9)] + every_day("H1", date(2015, 2, 1), date(2016, 1, 1), lambda d: 1)
     flags = spark.createDataFrame([("H1", "X", "N")], FLAGS)
-    weekly = season.weekly_mean(segments(*data), flags, date(2014, 1, 1), date(2016, 1, 1), 2)
+    history = season.history_of(segments(*data))
+    weekly = season.weekly_mean(history, flags, date(2014, 1, 1), date(2016, 1, 1), 2)
     assert {r.mean_rns for r in weekly.collect()} == {1.0}
-    assert season.short_history_hotels(segments(*data), date(2014, 1, 1), date(2016, 1, 1)).count() == 0
+    assert season.short_history_hotels(history, date(2014, 1, 1), date(2016, 1, 1)).count() == 0
 
 
 def test_runs_split_on_change_and_keep_single_days(spark, rows, d):
@@ -115,3 +117,49 @@ def test_bucket_without_history_has_no_season(spark):
     banded = spark.createDataFrame([("H", 0, 1.0, 2)], "htl_cd string, bucket int, mean_rns double, season_id int")
     dated = season.calendar(banded, date(2016, 1, 4), date(2016, 1, 12), 2).collect()
     assert [r.season_id for r in sorted(dated, key=lambda r: r.live_dt)] == [2] * 7 + [None] * 2
+
+
+def test_season_table_equals_its_runs(spark, segments, rows):
+    """Random demand with holes: complete hotels have the lines of their runs, all others the template."""
+    import random
+
+    random.seed(3)
+    first, train_end = date(2014, 6, 1), date(2016, 3, 31)
+    data = []
+    for h in range(12):
+        begin = first + timedelta(days=80 * h)
+        data += [(f"H{h}", s, day, random.randint(0, 9)) for i in range((train_end - begin).days + 20) for day in [begin + timedelta(days=i)]
+                 for s in "AX" if random.random() < (0.3 if h % 2 else 0.03)]
+    data += [("OnlyX", "X", first + timedelta(days=i), 4) for i in range(600)] + [("Late", "A", date(2017, 1, 1), 1)]
+    flags = spark.createDataFrame([(f"H{h}", "X", "N") for h in range(0, 12, 3)] + [("OnlyX", "X", "N")], FLAGS)
+    history, args = season.history_of(segments(*data)), (flags, date(2014, 9, 1), train_end, date(2015, 12, 28), date(2017, 3, 3))
+    found = season_table(history, *args, ["V_HTL#t"], 3, 4)
+    runs = season_runs(history, *args, 3, 4)
+    with_gap = {r.htl_cd for r in season.incomplete_hotels(runs).collect()}
+    own = [r for r in rows(season.season_lines(runs)) if r[0] not in with_gap]
+    hotels = {r.htl_cd for r in history.first.collect()}
+    assert with_gap and own and rows(found) == sorted(own + [(h, f"{h}#t") for h in hotels - {r[0] for r in own}], key=repr)
+
+
+def test_a_stored_history_is_read_by_its_months(spark, segments, rows, plan):
+    path = scratch_path(spark, "history")
+    data = [(f"H{i % 5}", "A", date(2015, 1, 1) + timedelta(days=i), i % 7) for i in range(900)]
+    history = store_history(segments(*data, ("H0", "A", None, 5)), path)
+    flags = spark.createDataFrame([("H4", "A", "N")], FLAGS)
+    dates = (date(2015, 2, 10), date(2016, 3, 31), date(2016, 1, 1), date(2016, 12, 31))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        table = season_table(history, flags, *dates, ["V_HTL#t"])
+        text = table._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert ">= 201502)" in text.replace("\n", " ") and "<= 201603)" in text
+    assert any("month#" in part.split("PushedFilters")[0] for part in text.split("PartitionFilters: ")[1:])
+    assert "GreaterThanOrEqual(live_dt,2015-02-10)" in text and "LessThanOrEqual(live_dt,2016-03-31)" in text
+    assert text.count("Scan ") <= 3 and text.count("Exchange hashpartitioning") <= 7
+    assert rows(table) == rows(season_table(season.history_of(segments(*data)), flags, *dates, ["V_HTL#t"]))
+    # a month that comes again replaces itself alone
+    store_history(segments(("H9", "A", date(2015, 1, 3), 1)), path)
+    again = open_history(spark, path)
+    assert again.days.where("month = 201501").count() == 1 and again.days.count() == 900 - 31 + 1
+    assert rows(again.first.where("htl_cd in ('H9', 'H0')"), "htl_cd", "first_dt") == [("H0", date(2015, 2, 5)), ("H9", date(2015, 1, 3))]
