@@ -64,7 +64,7 @@ class LibraryEncoder:
     full. The ids are those of the whole text.
     """
 
-    def __init__(self, path: str, capacity: int = 300_000):
+    def __init__(self, path: str, capacity: int = 600_000):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
