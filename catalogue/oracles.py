@@ -97,6 +97,33 @@ pickup as (
     )
 
 
+def _text(*columns: str) -> str:
+    return ", ".join(f"cast({c} as varchar) as {c}" for c in columns)
+
+
+def _daily_job() -> str:
+    """All curves of all pairs, by stay date; the running total of a stay date adds a day's sum once for itself and each smaller day."""
+    steps, parts = [_area().replace("area as (", "area as materialized (")], []
+    for pair, dims in DIM_PAIRS.items():
+        names = ", ".join(dims)
+        same = " and ".join(f"b.{c} = c.{c}" for c in [*dims, "live_dt", "adv_days"])
+        steps += [
+            _raw(f"booked_{pair}", names, "order_dt", "true"), _raw(f"valid_{pair}", names, "order_dt", "cancel_dt is null"),
+            _raw(f"cancel_{pair}", names, "cancel_dt", "cancel_dt is not null"),
+            f""",
+pickup_{pair} as (
+  select b.* replace (b.rns - coalesce(c.rns, 0.0) as rns, b.rev - coalesce(c.rev, 0.0) as rev) from booked_{pair} b left join cancel_{pair} c on {same})
+""",
+        ]
+        for name in (f"cancel_{pair}", f"valid_{pair}", f"pickup_{pair}"):
+            for acc, times in (("", "1"), ("_acc", "(adv_days - lo + 1)")):
+                parts.append(f"""
+select '{name}{acc}' as curve, cast({dims[0]} as varchar) as dim1, cast({dims[1]} as varchar) as dim2, live_dt,
+       count(*) as days, max(adv_days) as last_day, {_half_up(f'sum(rns * {times})')} as rns, {_half_up(f'sum(rev * {times})')} as rev
+from (select *, min(adv_days) over (partition by {names}, live_dt) as lo from {name}) group by all""")
+    return "with " + "".join(steps) + " union all ".join(parts)
+
+
 def _curve_oracles() -> dict[str, str]:
     out = {}
     for pair, dims in DIM_PAIRS.items():
@@ -117,7 +144,16 @@ def _curve_oracles() -> dict[str, str]:
             out[f"{name}_{pair}"] = head + plain + name
             out[f"{name}_{pair}_acc"] = head + running % name + plain + "running"
     out["cumulative_city_star"] = out["valid_city_star_acc"]
-    out["roundtrip_delimited"] = out["valid_city_star"]
+    out["roundtrip_delimited"] = (
+        "with " + _curves(DIM_PAIRS["city_star"])
+        + f" select {_text('city', 'star')}, cast(null as varchar) as remark, live_dt, adv_days, {MEASURES} from valid"
+    )
+    out["file_to_file_curves"] = (
+        "with " + _curves(DIM_PAIRS["zone_star"]) + f"""
+        select {_text('zone', 'star')}, live_dt, adv_days, {_half_up('sum(rns) over w')} as rns, {_half_up('sum(rev) over w')} as rev
+        from pickup window w as (partition by zone, star, live_dt order by adv_days desc rows between unbounded preceding and current row)"""
+    )
+    out["daily_job"] = _daily_job()
     return out
 
 
@@ -227,6 +263,11 @@ tagged as (
   from days left join special on live_dt = day)
 """
 
+# What a hotel's field names: rooms by default.
+CAPS = """select cast(s_suppkey as varchar) as htl_cd,
+    cast(case when s_suppkey%3 <> 0 and s_suppkey%2 = 1 then s_suppkey%25+10 when s_suppkey%7 <> 0 then s_suppkey%30+20 end as double) as cap from supplier"""
+
+# The columns of an advance-day matrix.
 _COLUMNS = [*range(16), 22, 29, 36, 43, 57, 71, 85, 119, 147, 175, 203, 231, 259, 287, 315, 343, 365]
 
 
@@ -276,11 +317,13 @@ def all_oracles() -> dict[str, str]:
     keys = "htl_cd, seg_cd, live_dt, adv_days"
     tag = "coalesce('H' || code, 'S' || season || {part}) as tag"
     out = {
-        "scan_delimited": area,
+        "scan_delimited": f"with {_area()} select {_text('city', 'zone', 'star', 'location')}, price_level, order_dt, live_dt, cancel_dt, {MEASURES} from area",
+        "overwritten_text": "select cast(c_custkey as varchar) as custkey, c_mktsegment as segment from customer",
+        "repartitioned_text": "select cast(o_orderkey as varchar) as orderkey, o_orderpriority as priority, 3 as files from orders",
         "scan_hotel_dict": """
-            select s_suppkey as hotel, s_name as hotelname, s_suppkey%5 as star,
-                   cast(s_nationkey as bigint) as city, cast(s_nationkey as bigint)*10 + s_suppkey%3 as zone,
-                   s_suppkey%7 as location, s_suppkey - s_suppkey%2 as masterhotelid,
+            select s_suppkey || '' as hotel, s_name as hotelname, s_suppkey%5 || '' as star,
+                   s_nationkey || '' as city, cast(s_nationkey as bigint)*10 + s_suppkey%3 || '' as zone,
+                   s_suppkey%7 || '' as location, s_suppkey - s_suppkey%2 || '' as masterhotelid,
                    '2016-01-01 00:00:00' as updatetime
             from supplier""",
         "scan_parquet": """
@@ -357,6 +400,7 @@ def all_oracles() -> dict[str, str]:
         "day_tags_weekend": f"with {TAGS} select htl_cd, live_dt, "
         + tag.format(part="case when dow in (5,6,7) then '-E' else '-D' end") + " from tagged",
         "day_tags_season": f"with {TAGS} select htl_cd, live_dt, " + tag.format(part="''") + " from tagged",
+        "day_tags_same": "select distinct cast(l_suppkey as varchar) as htl_cd, cast(l_shipdate as date) as live_dt, 'S' as tag from lineitem",
         "tag_history_mean": f"""
             with {TAGS}, tags as (select htl_cd, live_dt, {tag.format(part="'-W' || dow")} from tagged),
             per_day as (
@@ -389,8 +433,7 @@ def all_oracles() -> dict[str, str]:
             with {FORECASTS}, totals as (
               select htl_cd, live_dt, adv_days, sum(rns) as total from actual group by all),
             caps as (
-              select cast(s_suppkey as varchar) as htl_cd, cast(s_suppkey%30+20 as double) as cap
-              from supplier where s_suppkey%7 <> 0)
+              {CAPS})
             select {keys}, {_half_up("case when total > cap then rns * (cap / total) else rns end")} as rns
             from actual join totals using (htl_cd, live_dt, adv_days) left join caps using (htl_cd)""",
         "proportional_split": f"""
@@ -409,8 +452,14 @@ def all_oracles() -> dict[str, str]:
               select {_KEYS}, round(sum(l_extendedprice) / sum(l_quantity), 2) as price
               from lineitem group by all)
             select htl_cd, live_dt, {_half_up('sum(rns)')} as rns,
-                   {_half_up('sum(rns * price)')} as rev
-            from segments join prices using (htl_cd, seg_cd) group by all""",
+                   {_half_up('sum(rns * price)')} as rev, {_half_up('sum(rns) / any_value(cap)')} as occupancy
+            from segments join prices using (htl_cd, seg_cd) left join ({CAPS}) using (htl_cd) group by htl_cd, live_dt""",
+        "stored_forecast_gaps": """
+            with spans(dir, start, n) as (values ('long', date '1998-01-01', 31), ('short', date '1999-03-05', 365), ('actual', date '2001-12-01', 60)),
+            expected as (
+              select dir, cast(s_suppkey as varchar) as htl_cd, start + cast(k as integer) as live_dt
+              from supplier, spans, range(365) t(k) where k < n)
+            select e.* from expected e anti join lineitem on htl_cd = cast(l_suppkey as varchar) and live_dt = cast(l_shipdate as date)""",
         "forecast_gaps": """
             with expected as (
               select cast(s_suppkey as varchar) as htl_cd, date '1998-01-01' + cast(k as integer) as live_dt

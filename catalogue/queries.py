@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -11,6 +12,8 @@ from catalogue import starschema as star
 from roomtide.functions import as_compact, as_dashed, parse_day
 from roomtide.model import AREA_ORDERS, HOTEL_DICTIONARY, curve_layout
 from roomtide.operators import area, backtest, curves, forecast, nights, reference, season
+from roomtide.plans.curve_jobs import cumulative_curve, daily_curve, read_curve
+from roomtide.plans.otb import run_daily
 from roomtide.plans.reference_tables import reference_tables as all_tables
 from roomtide.plans.seasons import season_runs, season_table, store_history
 from roomtide.plans.sql_list import SqlStatement, run_statements
@@ -36,6 +39,7 @@ TRAIN_START, TRAIN_END = date(1995, 1, 1), date(1996, 1, 12)
 CALENDAR_START, CALENDAR_END = date(1996, 1, 1), date(1997, 12, 31)
 WEEKS, SEASONS = 2, 5
 AS_OF = date(2001, 7, 1)
+# Fixed value: the mark that stands for the hotel's code in template lines.
 TEMPLATE = ["V_HTL#1####1996-01-01#1996-06-30", "V_HTL#2####1996-07-01#1997-12-31"]
 
 
@@ -106,13 +110,30 @@ def reference_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_lines(spark, path)
 
 
+def overwritten_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A target written twice holds the second content alone; building the first one anew touches nothing."""
+    path = scratch_path(spark, "twice")
+    write_delimited(star.table(spark, sf_dir, "part").select("p_partkey", "p_name"), path)
+    write_delimited(star.table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"), path)
+    return read_named_fields(spark, path, ["custkey", "segment"])
+
+
+def repartitioned_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders written as three files."""
+    path = scratch_path(spark, "three")
+    write_delimited(star.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority"), path, partitions=3)
+    rows = read_named_fields(spark, path, ["orderkey", "priority"])
+    files = rows.select("_metadata.file_path").distinct().agg(F.count("*").cast("int").alias("n"))
+    return rows.withColumn("files", files.scalar())
+
+
 def roundtrip_delimited(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A curve through the gzip text sink and back."""
+    """A curve, its remark included, through the gzip text sink and back."""
     dims = star.DIM_PAIRS["city_star"]
     path = scratch_path(spark, "curve-text")
     curve = rounded(curves.valid_curve(_area_rows(spark, sf_dir, False), dims))
     write_delimited(curves.curve_rows(curve, dims), path, compression="gzip")
-    return read_delimited(spark, path, curve_layout(dims)).drop("remark")
+    return read_delimited(spark, path, curve_layout(dims))
 
 
 def roundtrip_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -218,6 +239,31 @@ def _net_query(dims: list[str]) -> Query:
     return run
 
 
+def daily_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 18 curves of the daily job, read back from its text files and added up by stay date."""
+    root = scratch_path(spark, "daily")
+    paths = run_daily(spark, star.bookings(spark, sf_dir), star.hotel_dictionary(spark, sf_dir), root, "now", AS_OF, BEFORE_ALL, partitions=4)
+    parts = []
+    for pair, dims in star.DIM_PAIRS.items():
+        for name in [f"{m}_{pair}{acc}" for m in ("cancel", "valid", "pickup") for acc in ("", "_acc")]:
+            curve = read_curve(spark, paths[name], dims)
+            parts.append(
+                curve.groupBy(F.lit(name).alias("curve"), F.col(dims[0]).alias("dim1"), F.col(dims[1]).alias("dim2"), "live_dt")
+                .agg(F.count("*").alias("days"), F.max("adv_days").alias("last_day"), F.sum("rns").alias("rns"), F.sum("rev").alias("rev"))
+            )
+    return rounded(reduce(DataFrame.unionByName, parts))
+
+
+def file_to_file_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Area text to cancel, pickup and cumulative pickup, each job reading the files of those before."""
+    root, dims = scratch_path(spark, "jobs"), star.DIM_PAIRS["zone_star"]
+    write_delimited(_area_totals(spark, sf_dir).select(*AREA_ORDERS.names), f"{root}/area")
+    daily_curve(spark, "cancel", dims, f"{root}/area", f"{root}/cancel")
+    daily_curve(spark, "pickup", dims, f"{root}/area", f"{root}/pickup", cancel_dir=f"{root}/cancel")
+    cumulative_curve(spark, dims, f"{root}/pickup", f"{root}/acc")
+    return rounded(read_curve(spark, f"{root}/acc", dims))
+
+
 def _rerun_query(dims: list[str]) -> Query:
     """Running totals over a finished curve, as a separate step."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -392,6 +438,10 @@ def day_tags_season(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tagged(spark, sf_dir, "noWeekday")
 
 
+def day_tags_same(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _tagged(spark, sf_dir, "sameTag")
+
+
 def tag_history_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(
         forecast.tag_history_mean(
@@ -420,9 +470,13 @@ def blend_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _capacity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forecast.hotel_capacity(star.inventory(spark, sf_dir), star.inventory_fields(spark, sf_dir))
+
+
 def capacity_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(
-        forecast.capacity_cap(star.actuals(spark, sf_dir), star.capacities(spark, sf_dir))
+        forecast.capacity_cap(star.actuals(spark, sf_dir), _capacity(spark, sf_dir))
     )
 
 
@@ -433,8 +487,19 @@ def proportional_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def forecast_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    matrix = forecast.pickup_matrix(star.segment_daily(spark, sf_dir))
-    return rounded(forecast.forecast_sum(matrix, star.segment_prices(spark, sf_dir)))
+    matrix = forecast.pickup_matrix(star.segment_daily(spark, sf_dir), dealt_by=["htl_cd", "seg_cd"])
+    return rounded(forecast.forecast_sum(matrix, star.segment_prices(spark, sf_dir), _capacity(spark, sf_dir)))
+
+
+def stored_forecast_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates that three stored forecasts lack, each over its own span."""
+    root = scratch_path(spark, "forecasts")
+    stored = {"long": star.long_forecast, "short": star.short_forecast, "actual": star.actuals}
+    for name, rows in stored.items():
+        write_parquet(rows(spark, sf_dir), f"{root}/{name}")
+    spans = {f"{root}/{name}": span for name, span in zip(stored, ((date(1998, 1, 1), 31), (date(1999, 3, 5), 365), (date(2001, 12, 1), 60)))}
+    gaps = forecast.stored_forecast_gaps(spark.read.parquet(*spans), star.hotels(spark, sf_dir), spans)
+    return gaps.withColumn("dir", F.element_at(F.split("dir", "/"), -1))
 
 
 def forecast_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -446,14 +511,15 @@ def forecast_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     plain = [
         scan_delimited, scan_hotel_dict, scan_parquet, reference_passthrough, roundtrip_delimited,
+        overwritten_text, repartitioned_text, daily_job, file_to_file_curves,
         roundtrip_parquet, publish_by_hotel, publish_shared_first, reference_tables, scalar_dates,
         stay_nights, hotel_nights, area_orders, area_orders_from_nights, area_orders_fanout,
         event_sums, season_weekly_mean, season_bands, season_calendar, season_fallback,
         segment_flags, predconf_rows, price_model, inventory_field_defaults,
         hotel_history_span, backtest_windows, hotel_units, backtest_plan,
-        fit_total, pickup_matrix, day_tags, day_tags_weekend, day_tags_season, tag_history_mean,
+        fit_total, pickup_matrix, day_tags, day_tags_weekend, day_tags_season, day_tags_same, tag_history_mean,
         weighted_combine, blend_weights, capacity_cap, proportional_split,
-        forecast_sum, forecast_gaps,
+        forecast_sum, forecast_gaps, stored_forecast_gaps,
     ]
     out: dict[str, Query] = {f.__name__: f for f in plain}
     out["read_snapshot"] = read_snapshot_query

@@ -166,10 +166,11 @@ def inventory_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def capacities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Capacities of all hotels; that of every seventh is null."""
+def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inventory columns of all hotels; ``rooms`` of every seventh is null."""
     return table(spark, sf_dir, "supplier").selectExpr(
-        "cast(s_suppkey as string) as htl_cd", "if(s_suppkey % 7 <> 0, cast(s_suppkey % 30 + 20 as double), null) as capacity"
+        "cast(s_suppkey as string) as htl_cd", "if(s_suppkey % 7 <> 0, cast(s_suppkey % 30 + 20 as double), null) as rooms",
+        "cast(s_suppkey % 25 + 10 as double) as tosell",
     )
 
 

@@ -42,17 +42,16 @@ def backtest_windows(
     )
 
 
-def hotel_units(hotels: DataFrame, units: int, prefix: int = 3) -> DataFrame:
+def hotel_units(hotels: DataFrame, units: int) -> DataFrame:
     """Spread hotels, in code order, over at most ``units`` work units.
 
     Units are equal blocks of the list; the hotels left over at its end go
-    one each to the first units. Codes are counted by their first ``prefix``
-    characters.
+    one each to the first units. A hotel without a code has no unit.
     """
     p = F.least(F.lit(units), F.col("row_total"))
     block = F.expr("row_total div p")
     return (
-        with_row_index(hotels.select("htl_cd").distinct(), "htl_cd", F.substring("htl_cd", 1, prefix))
+        with_row_index(hotels.select("htl_cd").where("htl_cd is not null").distinct(), "htl_cd")
         .withColumn("p", p)
         .withColumn("block", block)
         .select(

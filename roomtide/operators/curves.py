@@ -49,12 +49,13 @@ def _fill_gaps(sparse: DataFrame, dims: list[str], fillers: dict[str, Column]) -
     """Add the advance days missing between the smallest and largest one.
 
     Each row knows the next larger day present and emits itself plus the
-    days up to it. ``fillers`` gives the measures of the added days.
+    days up to it. ``fillers`` gives the values of the added days, for each
+    column that stays.
     """
     w = _by_day_desc(dims)
     larger = F.lag("adv_days").over(w)
     marked = sparse.select(
-        *dims, "live_dt", "adv_days", *MEASURES,
+        *dims, "live_dt", "adv_days", *fillers,
         *[filler.alias(f"fill_{m}") for m, filler in fillers.items()],
         F.coalesce(larger - 1, F.col("adv_days")).alias("last_day"),
     )
@@ -63,7 +64,7 @@ def _fill_gaps(sparse: DataFrame, dims: list[str], fillers: dict[str, Column]) -
         "*", F.explode_outer(F.sequence("adv_days", "last_day")).alias("day")
     ).select(
         *dims, "live_dt", F.col("day").alias("adv_days"),
-        *[F.when(own, F.col(m)).otherwise(F.col(f"fill_{m}")).alias(m) for m in MEASURES],
+        *[F.when(own, F.col(m)).otherwise(F.col(f"fill_{m}")).alias(m) for m in fillers],
     )
 
 
@@ -87,6 +88,17 @@ def densify_cumulative(sparse: DataFrame, dims: list[str]) -> DataFrame:
     return _fill_gaps(running, dims, {m: F.lag(m).over(before) for m in MEASURES})
 
 
+def densify_both(sparse: DataFrame, dims: list[str]) -> DataFrame:
+    """``densify`` and, as ``acc_rns`` and ``acc_rev``, ``densify_cumulative``, in one window pass."""
+    w = _by_day_desc(dims).rowsBetween(Window.unboundedPreceding, 0)
+    running = sparse.select(
+        *dims, "live_dt", "adv_days", *MEASURES, *[F.sum(m).over(w).alias(f"acc_{m}") for m in MEASURES]
+    )
+    before = _by_day_desc(dims)
+    fillers = {m: F.lit(0.0) for m in MEASURES} | {f"acc_{m}": F.lag(f"acc_{m}").over(before) for m in MEASURES}
+    return _fill_gaps(running, dims, fillers)
+
+
 def booking_curve(area: DataFrame, dims: list[str]) -> DataFrame:
     """All orders, later cancelled ones included, by days from order to stay."""
     return densify(_sparse(area, dims, "order_dt"), dims)

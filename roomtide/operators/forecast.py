@@ -6,17 +6,21 @@ configurations; the rules are this library's own definitions.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from roomtide.functions import packed_pair
+from roomtide.operators.intervals import best_covering
+from roomtide.operators.reference import DEFAULT_INVENTORY_FIELD
 
 # The label of the summed segment, the matrix columns, the share of
 # the larger determinant term below which a weight fit counts as singular.
 FIT_TOTAL = "FIT_TOTAL"
 MATRIX_COLUMNS = [*range(16), 22, 29, 36, 43, 57, 71, 85, 119, 147, 175, 203, 231, 259, 287, 315, 343, 365]
+MATRIX_KEYS = ["htl_cd", "seg_cd", "live_dt"]
 SINGULAR_SHARE = 1e-9
 
 
@@ -31,25 +35,26 @@ def fit_total(segments: DataFrame, flags: DataFrame) -> DataFrame:
     )
 
 
-def pickup_matrix(segments: DataFrame, columns: Sequence[int] = MATRIX_COLUMNS) -> DataFrame:
+def pickup_matrix(segments: DataFrame, columns: Sequence[int] = MATRIX_COLUMNS, dealt_by: Sequence[str] = MATRIX_KEYS) -> DataFrame:
     """One row per (hotel, segment, stay date), room nights in advance-day columns.
 
     A day belongs to the first column not smaller than it; days beyond the
-    last column go to ``d_over``. Sums per column are shuffled as narrow
-    rows and spread into columns only after the last exchange: wide partial
-    sums would be shuffled mostly empty.
+    last column go to ``d_over``. The narrow input rows are dealt once, by
+    ``dealt_by``, some or all of the keys; the wide sums are made behind that
+    exchange and need no other. Daily sums have few rows per key, so nothing
+    is gained by adding them up before. A step keyed by (hotel, segment), as
+    ``forecast_sum`` is, reuses the exchange if the matrix is dealt by that.
     """
-    keys = ["htl_cd", "seg_cd", "live_dt"]
     position = F.coalesce(
         *[F.when(F.col("adv_days") <= c, F.lit(i)) for i, c in enumerate(columns)], F.lit(len(columns))
     )
-    narrow = segments.groupBy(*keys, position.alias("position")).agg(F.sum("rns").alias("rns"))
     names = [f"d_{c}" for c in columns] + ["d_over"]
     cells = [
         F.sum(F.when(F.col("position") == i, F.col("rns")).otherwise(0.0)).alias(name)
         for i, name in enumerate(names)
     ]
-    return narrow.repartition(*keys).groupBy(*keys).agg(*cells)
+    narrow = segments.select(*MATRIX_KEYS, position.alias("position"), "rns")
+    return narrow.repartition(*dealt_by).groupBy(*MATRIX_KEYS).agg(*cells)
 
 
 def day_tags(
@@ -62,13 +67,25 @@ def day_tags(
     """Add ``tag`` to rows with (htl_cd, live_dt): special day code, else season and weekday part.
 
     ``mode`` is ``weekday``, ``weekendOrNot`` or ``noWeekday``, or ``sameTag``
-    for one tag on all days; weekdays are 1 (Monday) to 7. Dates and season runs meet by an equi join on hotel and
-    month; the few runs touching a month are folded into one array, which the
-    date is looked up in. Of overlapping runs the latest start wins;
-    a run that ends before it starts covers no day.
+    for one tag on all days; weekdays are 1 (Monday) to 7. Of overlapping runs
+    that hold a date the latest start wins, then the latest end; a run that
+    ends before it starts covers no day. Distinct (hotel, date) pairs are
+    looked up, in blocks of days (see ``intervals``), and joined to the rows.
     """
     if mode == "sameTag":
         return days.withColumn("tag", F.lit("S"))
+    tags = date_tags(days.select("htl_cd", "live_dt").distinct(), season_runs, special_days, mode, weekend)
+    found = tags.select(F.col("htl_cd").alias("of_hotel"), F.col("live_dt").alias("of_day"), "tag")
+    same = days["htl_cd"].eqNullSafe(found["of_hotel"]) & days["live_dt"].eqNullSafe(found["of_day"])
+    return days.join(found, same, "left").select(*[days[c] for c in days.columns], "tag")
+
+
+def date_tags(
+    dates: DataFrame, season_runs: DataFrame, special_days: DataFrame, mode: str = "weekday", weekend: Sequence[int] = (5, 6, 7)
+) -> DataFrame:
+    """(htl_cd, live_dt, tag) of distinct (hotel, date) pairs."""
+    if mode == "sameTag":
+        return dates.withColumn("tag", F.lit("S"))
     weekday = F.weekday("live_dt") + 1
     part = {
         "weekday": F.concat(F.lit("-W"), weekday.cast("string")),
@@ -76,26 +93,15 @@ def day_tags(
         "noWeekday": F.lit(""),
     }[mode]
     codes = special_days.groupBy(F.col("day").alias("live_dt")).agg(F.min("day_code").alias("day_code"))
-    months = F.sequence(F.trunc("start_dt", "MM"), F.trunc("end_dt", "MM"), F.expr("interval 1 month"))
-    seasons = (
-        season_runs.where("end_dt >= start_dt").withColumn("month", F.explode(months))
-        .groupBy("htl_cd", "month")
-        .agg(F.collect_list(F.struct("start_dt", "end_dt", "season_id")).alias("seasons"))
-    )
-    covering = F.filter("seasons", lambda s: F.col("live_dt").between(s["start_dt"], s["end_dt"]))
-    season = F.coalesce(F.array_max(covering)["season_id"].cast("string"), F.lit("0"))
+    best = F.struct("start_dt", "end_dt", "season_id")
+    seasons = best_covering(dates, "live_dt", season_runs, "start_dt", "end_dt", best, ["htl_cd"])
+    season = F.coalesce(F.col("best.season_id").cast("string"), F.lit("0"))
     return (
-        days.withColumn("month", F.trunc("live_dt", "MM"))
-        .join(seasons, ["htl_cd", "month"], "left")
-        .join(codes, "live_dt", "left")
-        .withColumn(
-            "tag",
-            F.coalesce(
-                F.concat(F.lit("H"), F.col("day_code").cast("string")),
-                F.concat(F.lit("S"), season, part),
-            ),
+        dates.join(seasons, ["htl_cd", "live_dt"], "left").join(codes, "live_dt", "left")
+        .select(
+            "htl_cd", "live_dt",
+            F.coalesce(F.concat(F.lit("H"), F.col("day_code").cast("string")), F.concat(F.lit("S"), season, part)).alias("tag"),
         )
-        .select(*days.columns, "tag")
     )
 
 
@@ -110,7 +116,7 @@ def tag_history_mean(
 ) -> DataFrame:
     """Mean room nights per (hotel, segment, tag, advance day) over dates in [start, end].
 
-    Sums per date come first, so fewer rows are tagged.
+    Sums per date come first; each (hotel, date) is tagged once.
     """
     daily = (
         segments.where(F.col("live_dt").between(F.lit(start), F.lit(end)))
@@ -175,8 +181,25 @@ def blend_weights(
     )
 
 
+def hotel_capacity(inventory: DataFrame, fields: DataFrame, default: str = DEFAULT_INVENTORY_FIELD) -> DataFrame:
+    """(htl_cd, capacity) out of the inventory column that a hotel's field names.
+
+    ``inventory`` has a column for each field, ``fields`` is (htl_cd, field).
+    A hotel without a field has ``default``; a field that is no column of the
+    inventory is an error, for its hotel would go uncapped.
+    """
+    columns = [c for c in inventory.columns if c != "htl_cd"]
+    named = fields.groupBy("htl_cd").agg(F.min("field").alias("field"))
+    value = F.create_map(*[x for c in columns for x in (F.lit(c), F.col(c).cast("double"))])
+    field = F.coalesce("field", F.lit(default))
+    unknown = F.raise_error(F.concat(F.lit("no inventory column "), field, F.lit(" for hotel "), F.col("htl_cd")))
+    return inventory.join(named, "htl_cd", "left").select(
+        "htl_cd", F.when(field.isin(*columns), F.element_at(value, field)).otherwise(unknown.cast("double")).alias("capacity")
+    )
+
+
 def capacity_cap(forecast: DataFrame, capacity: DataFrame) -> DataFrame:
-    """Scale a (hotel, stay date, advance day)'s segments down to the hotel's capacity.
+    """Scale a (hotel, stay date, advance day)'s segments down to the hotel's capacity (see ``hotel_capacity``).
 
     Hotels without a known capacity stay as they are. The total is a
     window over the few segments of one key.
@@ -212,16 +235,18 @@ def proportional_split(forecast: DataFrame, fixed_totals: DataFrame) -> DataFram
 
 
 def forecast_sum(
-    matrix: DataFrame, price: DataFrame, columns: Sequence[int] = MATRIX_COLUMNS
+    matrix: DataFrame, price: DataFrame, capacity: DataFrame, columns: Sequence[int] = MATRIX_COLUMNS
 ) -> DataFrame:
-    """Room nights and revenue per (hotel, stay date) from a matrix and segment prices.
+    """Room nights, revenue and occupancy per (hotel, stay date) from a matrix, segment prices and hotel capacities.
 
     Cells of one matrix row share a price, so they are added up inside the
-    row instead of being unpivoted and shuffled.
+    row instead of being unpivoted and shuffled. The price join needs no
+    exchange of a matrix dealt by (hotel, segment). Occupancy is room nights
+    by capacity, null for a hotel without one or with 0.
     """
     cells = [F.col(f"d_{c}") for c in columns] + [F.col("d_over")]
     row_total = sum(cells[1:], cells[0])
-    return (
+    sums = (
         matrix.select("htl_cd", "seg_cd", "live_dt", row_total.alias("row_rns"))
         .join(price.select("htl_cd", "seg_cd", "price"), ["htl_cd", "seg_cd"], "left")
         .groupBy("htl_cd", "live_dt")
@@ -230,6 +255,12 @@ def forecast_sum(
             F.sum(F.col("row_rns") * F.coalesce("price", F.lit(0.0))).alias("rev"),
         )
     )
+    occupancy = F.when(F.col("capacity") != 0, F.col("rns") / F.col("capacity"))
+    return sums.join(capacity.select("htl_cd", "capacity"), "htl_cd", "left").select("htl_cd", "live_dt", "rns", "rev", occupancy.alias("occupancy"))
+
+
+def _expected(hotels: DataFrame, start: Column, days: Column, *keep: str) -> DataFrame:
+    return hotels.select(*keep, "htl_cd", F.explode(F.sequence(start, F.date_add(start, days - 1))).alias("live_dt"))
 
 
 def forecast_gaps(forecast: DataFrame, hotels: DataFrame, start: date, days: int) -> DataFrame:
@@ -238,9 +269,23 @@ def forecast_gaps(forecast: DataFrame, hotels: DataFrame, start: date, days: int
     Forecast rows are reduced to distinct pairs on the map side before they
     are shuffled to the anti join.
     """
-    expected = hotels.select("htl_cd").distinct().select(
-        "htl_cd",
-        F.explode(F.sequence(F.lit(start), F.date_add(F.lit(start), days - 1))).alias("live_dt"),
-    )
+    expected = _expected(hotels.select("htl_cd").distinct(), F.lit(start), F.lit(days))
     present = forecast.select("htl_cd", "live_dt").distinct()
     return expected.join(present, ["htl_cd", "live_dt"], "left_anti")
+
+
+def stored_forecast_gaps(stored: DataFrame, hotels: DataFrame, spans: Mapping[str, tuple[date, int]]) -> DataFrame:
+    """(dir, htl_cd, live_dt) that several stored forecasts should have and don't.
+
+    ``stored`` reads the files of all folders at once; ``spans`` has the first
+    date and the number of expected dates of each folder. A row belongs to
+    the longest of the folders that its file lies below. A folder without any
+    file lacks every date. All folders take one scan and one anti join.
+    """
+    file = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    below = [(d, f"{re.sub('^[a-zA-Z][a-zA-Z0-9+.-]*:/*', '/', d.rstrip('/'))}/") for d in spans]
+    folder = F.coalesce(*[F.when(F.contains(file, F.lit(path)), F.lit(d)) for d, path in sorted(below, key=lambda x: -len(x[1]))], F.lit(None).cast("string"))
+    present = stored.select(folder.alias("dir"), "htl_cd", "live_dt").distinct()
+    checks = F.array(*[F.struct(F.lit(d).alias("dir"), F.lit(start).alias("start"), F.lit(days).alias("days")) for d, (start, days) in spans.items()])
+    each = hotels.select("htl_cd").distinct().select("htl_cd", F.explode(checks).alias("c")).select("c.*", "htl_cd").where("days > 0")
+    return _expected(each, F.col("start"), F.col("days"), "dir").join(present, ["dir", "htl_cd", "live_dt"], "left_anti")

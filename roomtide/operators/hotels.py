@@ -20,12 +20,17 @@ def master_hotels(dictionary: DataFrame) -> DataFrame:
     Of several rows for a child the latest ``updatetime`` wins, then the
     smallest master.
     """
-    newest = F.max(F.struct("updatetime", (-F.col("masterhotelid")).alias("neg")))
-    return (
-        dictionary.groupBy(F.col("hotel").alias("hotel_id"))
-        .agg(newest.alias("pick"))
-        .select("hotel_id", (-F.col("pick.neg")).alias("hotel_id_m"))
-    )
+    return _latest_then_smallest(dictionary.select(F.col("hotel").alias("hotel_id"), "updatetime", "masterhotelid"), "hotel_id", ["updatetime"])
+
+
+def _latest_then_smallest(rows: DataFrame, key: str, newest: list[str]) -> DataFrame:
+    """(key, hotel_id_m): the master of the largest ``newest``, of several the smallest.
+
+    Two small sums instead of one, because only numbers could be ordered
+    downwards inside an upward order, and ids may be text.
+    """
+    smallest = rows.groupBy(key, *newest).agg(F.min("masterhotelid").alias("hotel_id_m"))
+    return smallest.groupBy(key).agg(F.max(F.struct(*newest, "hotel_id_m")).alias("pick")).select(key, "pick.hotel_id_m")
 
 
 def master_areas(dictionary: DataFrame, dedupe: bool = True) -> DataFrame:
@@ -39,15 +44,11 @@ def master_areas(dictionary: DataFrame, dedupe: bool = True) -> DataFrame:
     key = F.col("masterhotelid").alias("hotel_id_m")
     if not dedupe:
         return dictionary.select(key, *AREA_COLUMNS)
-    best = F.max_by(
-        F.struct(*AREA_COLUMNS),
-        F.struct(
-            (F.col("hotel") == F.col("masterhotelid")).alias("own"),
-            F.col("updatetime"),
-            (-F.col("hotel")).alias("neg"),
-        ),
-    )
-    return dictionary.groupBy(key).agg(best.alias("area")).select("hotel_id_m", "area.*")
+    own = F.coalesce(F.col("hotel") == F.col("masterhotelid"), F.lit(False))
+    child = F.struct(F.col("hotel").isNull().alias("unnamed"), "hotel", *AREA_COLUMNS)
+    smallest = dictionary.groupBy(key, own.alias("own"), "updatetime").agg(F.min(child).alias("child"))
+    best = smallest.groupBy("hotel_id_m").agg(F.max_by("child", F.struct("own", "updatetime")).alias("child"))
+    return best.select("hotel_id_m", *[f"child.{c}" for c in AREA_COLUMNS])
 
 
 def hotel_areas(dictionary: DataFrame, dedupe: bool = True) -> DataFrame:
@@ -59,20 +60,14 @@ def hotel_areas(dictionary: DataFrame, dedupe: bool = True) -> DataFrame:
     """
     def entry(hotel: str, is_child: bool) -> Column:
         when = F.col("updatetime") if is_child else F.lit(None).cast("string")
-        return F.struct(
-            F.col(hotel).alias("hotel_id"),
-            F.struct(
-                F.lit(is_child).alias("is_child"), when.alias("updatetime"),
-                (-F.col("masterhotelid")).alias("neg"),
-            ).alias("rank"),
-        )
+        return F.struct(F.col(hotel).alias("hotel_id"), F.lit(is_child).alias("is_child"), when.alias("updatetime"), "masterhotelid")
 
     entries = dictionary.select(
         F.inline(F.array(entry("hotel", True), entry("masterhotelid", False)))
     )
-    masters = entries.groupBy("hotel_id").agg(F.max("rank").alias("pick"))
+    masters = _latest_then_smallest(entries, "hotel_id", ["is_child", "updatetime"])
     # a hotel without a master stands for itself, as in with_master
-    own = F.coalesce(-F.col("pick.neg"), "hotel_id").alias("hotel_id_m")
+    own = F.coalesce("hotel_id_m", "hotel_id").alias("hotel_id_m")
     return masters.where("hotel_id is not null").select("hotel_id", own).join(
         master_areas(dictionary, dedupe), "hotel_id_m"
     )

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -17,6 +20,8 @@ PAIRS = {
     "city_zone": ["city", "zone"],
     "zone_star": ["zone", "star"],
 }
+#: What event sums hold beside their keys.
+SUMS = [f"{kind}{m}" for kind in ("booked", "valid", "gone") for m in ("", *(f"_{x}" for x in curves.MEASURES))]
 PARTS = {
     "cancel": curves.cancel_part,
     "valid": curves.valid_part,
@@ -36,12 +41,16 @@ def run_daily(
     pairs: dict[str, list[str]] = PAIRS,
     compression: str = "gzip",
     partitions: int | None = None,
+    buckets: int | None = None,
 ) -> dict[str, str]:
     """Write every table to ``<root>/<table>/<yyyyMMdd>``; return the paths by table.
 
     Each stored table is the input of the next step, so nothing is computed
     twice and a lost executor costs one step at most. All curves come from
-    one pass over the area totals, stored as event sums by dimension pair.
+    one pass over the area totals, stored as event sums by dimension pair
+    (see ``pair_sums``). A measure of a pair, daily and cumulative, is
+    one window pass over those without an exchange; the two text files are
+    cut from what it stored.
     """
     paths: dict[str, str] = {}
 
@@ -60,12 +69,34 @@ def run_daily(
     sums = read_parquet(spark, paths["event_sums"])
 
     for pair, dims in pairs.items():
-        of_pair = sums.where(F.col("pair") == pair)
-        for measure, part in PARTS.items():
-            sparse = part(of_pair, dims)
-            for name, curve in (
-                (f"{measure}_{pair}", curves.densify(sparse, dims)),
-                (f"{measure}_{pair}_acc", curves.densify_cumulative(sparse, dims)),
-            ):
-                write_delimited(curves.curve_rows(curve, dims), target(name), partitions=partitions)
+        with pair_sums(sums.where(F.col("pair") == pair), dims, target(f"event_sums_{pair}"), buckets) as of_pair:
+            for measure, part in PARTS.items():
+                both = target(f"{measure}_{pair}_both")
+                write_parquet(curves.densify_both(part(of_pair, dims), dims), both)
+                stored = read_parquet(spark, both)
+                running = stored.select(*dims, "live_dt", "adv_days", *[F.col(f"acc_{m}").alias(m) for m in curves.MEASURES])
+                write_delimited(curves.curve_rows(stored, dims), target(f"{measure}_{pair}"), partitions=partitions)
+                write_delimited(curves.curve_rows(running, dims), target(f"{measure}_{pair}_acc"), partitions=partitions)
     return paths
+
+
+@contextmanager
+def pair_sums(sums: DataFrame, dims: list[str], path: str, buckets: int | None = None) -> Iterator[DataFrame]:
+    """A pair's event sums, stored in buckets of (dims, stay date), as a DataFrame that windows need not deal again.
+
+    Only a table of the session's catalogue knows its buckets, so the files
+    are one while the curves are made. ``buckets`` is the session's number of
+    shuffle partitions unless given; a bucket is one file, sorted.
+    """
+    spark = sums.sparkSession
+    keys = [*dims, "live_dt"]
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"event_sums_{uuid.uuid4().hex}"
+    (
+        sums.select(*keys, "adv_days", *SUMS).repartition(n, *keys)
+        .write.mode("overwrite").bucketBy(n, *keys).sortBy(*keys, "adv_days").option("path", path).saveAsTable(table)
+    )
+    try:
+        yield spark.table(table)
+    finally:
+        spark.sql(f"drop table {table}")  # the files stay

@@ -2,10 +2,8 @@ from datetime import date
 
 import pytest
 
-from pyspark.sql import functions as F
-
 from roomtide.operators.backtest import backtest_windows, hotel_history_span, hotel_units
-from roomtide.operators.ranking import with_row_index
+from roomtide.operators.ranking import with_range, with_row_index
 
 
 def test_windows(spark, d, rows):
@@ -48,12 +46,21 @@ def test_units_by_brute_force(spark, n, p):
 
 
 def test_row_index_over_many_ranges(spark):
-    out = with_row_index(spark.range(1000).selectExpr("id * 3 as k"), "k", F.floor(F.col("k") / 500))
+    out = with_row_index(spark.range(1000).selectExpr("id * 3 as k"), "k", 16)
     assert all(r.k == r.row_index * 3 and r.row_total == 1000 for r in out.collect())
 
 
 def test_row_index_of_nothing(spark):
-    assert with_row_index(spark.range(0), "id", F.col("id")).count() == 0
+    assert with_row_index(spark.range(0), "id").count() == 0
+
+
+@pytest.mark.parametrize("code", ["concat('HTL', lpad(id, 6, '0'))", "cast(id as string)", "concat('a common beginning of every code ', id % 7, '/', id)"])
+def test_codes_with_a_common_beginning_spread_over_all_ranges(spark, code):
+    codes = spark.range(8000).selectExpr(f"{code} as htl_cd")
+    sizes = [r["count"] for r in with_range(codes, "htl_cd", 64).groupBy("__range").count().collect()]
+    assert 60 <= len(sizes) <= 65 and max(sizes) < 8000 * 0.15
+    found = {r.htl_cd: r.unit_no for r in hotel_units(codes.unionByName(codes).unionByName(codes.limit(1).selectExpr("cast(null as string) as htl_cd")), 7).collect()}
+    assert found == units_of(sorted(r.htl_cd for r in codes.collect()), 7)
 
 
 def test_units_are_planned_without_a_job(spark):

@@ -1,12 +1,16 @@
 """Stay nights, hotel lookups, hotel nights and area totals."""
 
 import pytest
+from pyspark.sql import types as T
 
-from roomtide.model import BOOKINGS, HOTEL_DICTIONARY
+from roomtide.model import bookings_layout, hotel_dictionary_layout
 from roomtide.operators.area import area_nights, area_orders, area_orders_from_bookings
 from roomtide.operators.hotels import hotel_areas, master_areas, with_master
 from roomtide.operators.nights import hotel_nights, stay_nights
 
+BOOKINGS = bookings_layout(T.LongType())
+HOTEL_DICTIONARY = hotel_dictionary_layout(T.LongType())
+
 
 @pytest.fixture
 def book(spark, d):

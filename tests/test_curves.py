@@ -5,10 +5,13 @@ from collections import defaultdict
 from datetime import timedelta
 
 import pytest
+from pyspark.sql import types as T
 
-from roomtide.model import AREA_ORDERS
+from roomtide.model import area_orders_layout
 from roomtide.operators import curves
 
+AREA_ORDERS = area_orders_layout(T.LongType())
+
 DIMS = ["city", "star"]
 
 

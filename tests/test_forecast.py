@@ -80,6 +80,38 @@ def test_tags_by_brute_force(spark, d):
     assert {r.live_dt: r.tag for r in got.collect()} == expected
 
 
+def test_tags_among_ten_thousand_overlapping_runs(spark, d):
+    """All of one hotel and month, nested, touching, open-ended and upside down."""
+    rng = random.Random(8)
+    base = d("2016-01-01").toordinal()
+    runs = [("H", i, date.fromordinal(base + rng.randrange(31)), date.fromordinal(base + rng.randrange(31))) for i in range(10_000)]
+    runs += [("H", 20_000, date(1900, 1, 1), date(9999, 12, 31)), ("Q", 1, date(1960, 3, 1), date(1970, 1, 2))]
+    days = [date.fromordinal(base + i) for i in range(-5, 40)]
+    data = [("H", x) for x in days] * 2 + [("Q", date(1960, 2, 29)), ("Q", date(1960, 3, 1)), ("Q", date(1970, 1, 2)), ("Q", date(1970, 1, 3)), (None, base and days[0]), ("H", None)]
+    got = forecast.day_tags(
+        spark.createDataFrame(data, "htl_cd string, live_dt date"),
+        spark.createDataFrame(runs, "htl_cd string, season_id int, start_dt date, end_dt date"),
+        spark.createDataFrame([], "day date, day_code int"), "noWeekday",
+    )
+    def tag(h, x):
+        held = [r[2:] + (r[1],) for r in runs if r[0] == h and x and r[2] <= x <= r[3]]
+        return f"S{max(held)[2] if held else 0}"
+    expected = [(h, x, tag(h, x)) for h, x in data]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(expected, key=repr)
+
+
+def test_blocks_hold_exactly_the_days(spark):
+    from roomtide.operators import intervals
+    from pyspark.sql import functions as F
+
+    rng = random.Random(2)
+    cases = [(s, s + rng.choice([0, 1, 14, 15, 16, 17, 255, 256, 300, 5000])) for s in [rng.randrange(-3000, 30000) for _ in range(60)]]
+    df = spark.createDataFrame(cases, "a int, b int").select("a", "b", intervals.blocks(F.date_from_unix_date("a"), F.date_from_unix_date("b")).alias("x"))
+    for r in df.collect():
+        days = [x for level, block in r.x for x in range(block << 4 * level, block + 1 << 4 * level)]
+        assert sorted(days) == list(range(r.a, r.b + 1)) and len(r.x) <= 30 * 3 + 8
+
+
 def test_tag_history_mean(spark, d, segments, rows):
     runs = spark.createDataFrame([], "htl_cd string, season_id int, start_dt date, end_dt date")
     special = spark.createDataFrame([], "day date, day_code int")
@@ -134,7 +166,52 @@ def test_proportional_split(keyed, rows):
 def test_forecast_sum(spark, segments, rows):
     matrix = forecast.pickup_matrix(segments(("H", "A", "N", 1, 2), ("H", "A", "N", 900, 3), ("H", "B", "N", 1, 7)))
     price = spark.createDataFrame([("H", "A", 10.0)], "htl_cd string, seg_cd string, price double")
-    assert rows(forecast.forecast_sum(matrix, price), "rns", "rev") == [(12.0, 50.0)]
+    for capacity, occupancy in ((24.0, 0.5), (0.0, None), (None, None)):
+        inventory = spark.createDataFrame([("H", capacity), ("Q", 1.0)], "htl_cd string, capacity double")
+        assert rows(forecast.forecast_sum(matrix, price, inventory), "rns", "rev", "occupancy") == [(12.0, 50.0, occupancy)]
+
+
+def test_matrix_and_sum_reuse_one_dealing(spark, segments):
+    """One exchange of the fact rows for a matrix; a sum needs one more, for its own key."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stored = segments(("H", "A", "N", 1, 2))
+        price = spark.createDataFrame([], "htl_cd string, seg_cd string, price double")
+        capacity = spark.createDataFrame([], "htl_cd string, capacity double")
+        exchanges = lambda df: [x.split("(")[1].split(", ")[:-2] for x in df._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange" in x]
+        assert len(exchanges(forecast.pickup_matrix(stored))) == 1
+        dealt = forecast.pickup_matrix(stored, dealt_by=["htl_cd", "seg_cd"])
+        # the fact, the prices, the sums by date, then sums and capacities by hotel
+        assert len(exchanges(forecast.forecast_sum(dealt, price, capacity))) == 5
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_each_hotel_is_capped_by_its_own_column(spark, rows):
+    inventory = spark.createDataFrame([("A", 10, 7), ("B", 20, 8), ("C", 30, 9), ("D", None, 5)], "htl_cd string, rooms int, tosell int")
+    fields = spark.createDataFrame([("A", "tosell"), ("B", "rooms"), ("D", None), ("Z", "rooms")], "htl_cd string, field string")
+    assert rows(forecast.hotel_capacity(inventory, fields)) == [("A", 7.0), ("B", 20.0), ("C", 30.0), ("D", None)]
+    assert rows(forecast.hotel_capacity(inventory, fields, "tosell").where("htl_cd > 'B'")) == [("C", 9.0), ("D", 5.0)]
+    wrong = fields.unionByName(spark.createDataFrame([("C", "beds")], "htl_cd string, field string"))
+    with pytest.raises(Exception, match="no inventory column beds for hotel C"):
+        forecast.hotel_capacity(inventory, wrong).collect()
+
+
+def test_gaps_of_several_stored_forecasts(spark, tmp_path, rows, d):
+    day = "htl_cd string, live_dt date"
+    for name, data in {"sum": [("H", "2016-01-04"), ("H", "2016-01-04")], "a/sum": [("Q", "2016-01-05"), (None, "2016-01-04")], "a b+c%": []}.items():
+        spark.createDataFrame([(h, d(x)) for h, x in data], day).write.parquet(str(tmp_path / name))
+    hotels = spark.createDataFrame([("H",), ("Q",), ("Q",)], "htl_cd string")
+    spans = {str(tmp_path / "sum"): (DAY, 1), f"file:{tmp_path}/a/sum/": (DAY, 2), str(tmp_path / "a b+c%"): (date(2016, 2, 28), 3), "/nowhere": (DAY, 0)}
+    stored = spark.read.schema(day).parquet(*[p for p in spans if p != "/nowhere"])
+    got = forecast.stored_forecast_gaps(stored, hotels, spans)
+    names = {p: n for n, p in zip("xyz", spans)}
+    assert sorted((names[r.dir], r.htl_cd, str(r.live_dt)) for r in got.collect()) == [
+        ("x", "Q", "2016-01-04"), ("y", "H", "2016-01-04"), ("y", "H", "2016-01-05"), ("y", "Q", "2016-01-04"),
+        *(("z", h, x) for h in "HQ" for x in ("2016-02-28", "2016-02-29", "2016-03-01")),
+    ]
+    plan = forecast.stored_forecast_gaps(stored, hotels, spans)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
 
 
 def test_forecast_gaps(spark, keyed, rows, d):

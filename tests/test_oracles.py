@@ -23,7 +23,7 @@ def test_query_equals_oracle(spark, con, name):
 
 @pytest.mark.parametrize("mapped, source, keys, value", [
     (star.fixed_totals, "lineitem", [star.HOTEL, star.LIVE, star.ADVANCE], "rns"), (star.weight_conf, "lineitem", [star.HOTEL, star.SEGMENT, star.ADVANCE], "weights"),
-    (star.inventory_fields, "supplier", ["s_suppkey"], "field"), (star.capacities, "supplier", ["s_suppkey"], "capacity"),
+    (star.inventory_fields, "supplier", ["s_suppkey"], "field"), (star.inventory, "supplier", ["s_suppkey"], "rooms"),
 ])
 def test_mapped_tables_hold_whole_tables(spark, mapped, source, keys, value):
     found = mapped(spark, SF)

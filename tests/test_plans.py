@@ -1,12 +1,13 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F, types as T
 
 from catalogue import starschema as star
-from roomtide.model import curve_layout
+from roomtide.model import AREA_ORDERS, BOOKINGS, HOTEL_DICTIONARY, curve_layout
 from roomtide.operators import curves
 from roomtide.operators.area import area_nights
-from roomtide.plans.otb import PAIRS, run_daily
+from roomtide.plans.otb import PAIRS, PARTS, pair_sums, run_daily
 from roomtide.plans.reference_tables import export_hotel_folders, publish_reference_tables, reference_tables
 from roomtide.plans.sql_list import SqlStatement, TableFile, open_tables, run_statements
 from roomtide.session import scratch_path
@@ -26,13 +27,13 @@ def test_daily_job_writes_every_curve(spark):
     paths = run_daily(
         spark, bookings, dictionary, scratch_path(spark, "otb"), "now", as_of=date(2001, 7, 2), min_live_dt=first
     )
-    assert len(paths) == 4 + 18 and all(p.endswith("/20010701") for p in paths.values())
+    assert len(paths) == 4 + 3 + 9 + 18 and all(p.endswith("/20010701") for p in paths.values())
     area = area_nights(bookings, dictionary, first)
     for pair in ("city_star", "zone_star"):
         for name, curve in DIRECT.items():
             measure, _, acc = name.partition("_")
             stored = read_delimited(
-                spark, paths[f"{measure}_{pair}" + (f"_{acc}" if acc else "")], curve_layout(PAIRS[pair])
+                spark, paths[f"{measure}_{pair}" + (f"_{acc}" if acc else "")], curve_layout(PAIRS[pair], T.LongType())
             ).drop("remark")
             direct = curve(area, PAIRS[pair])
             key = lambda r: tuple(r)[:4]
@@ -43,6 +44,51 @@ def test_daily_job_writes_every_curve(spark):
             )
 
 
+def test_curves_of_stored_sums_need_no_exchange(spark):
+    area = area_nights(star.bookings(spark, SF), star.hotel_dictionary(spark, SF), date(2000, 6, 1))
+    sums = curves.event_sums(area, PAIRS)
+    for pair, dims in PAIRS.items():
+        path = scratch_path(spark, "sums")
+        with pair_sums(sums.where(F.col("pair") == pair), dims, path, 3) as of_pair:
+            for part in PARTS.values():
+                both = curves.densify_both(part(of_pair, dims), dims)
+                text = both._jdf.queryExecution().executedPlan().toString()
+                assert "Exchange" not in text and "Bucketed: true" in text
+            daily = curves.densify(curves.pickup_part(of_pair, dims), dims).collect()
+            running = curves.densify_cumulative(curves.pickup_part(of_pair, dims), dims).collect()
+            whole = both.collect()
+        assert sorted(map(tuple, daily), key=repr) == sorted((tuple(r)[:-2] for r in whole), key=repr)
+        assert sorted(map(tuple, running), key=repr) == sorted((tuple(r)[:4] + tuple(r)[-2:] for r in whole), key=repr)
+        assert spark.read.parquet(path).count() == of_pair_count(sums, pair) and not [t for t in spark.catalog.listTables() if t.name.startswith("event_sums_")]
+
+
+def of_pair_count(sums, pair):
+    return sums.where(F.col("pair") == pair).count()
+
+
+def test_text_ids_survive_a_daily_job(spark, tmp_path, rows):
+    """Codes with letters and leading zeros, from the bookings' text file to the curves' text files."""
+    def put(name, text):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "part-00000").write_text(text)
+        return str(tmp_path / name)
+
+    bookings = put("bookings", "0001#007#done#2020-02-01#2020-02-03#2020-02-05##1#1#2.0#90.0\n0002#B-9#done#2020-02-02#2020-02-03#2020-02-04#2020-02-03#1#1#1.0#40.0\n")
+    line = ["", "", "", "name", "", "", "", "", "", "", "", "", "", "", "", "", "", "", "", "2020-01-01"]
+    hotels = []
+    for hotel, master, city, zone, star_id in (("007", "007", "A12", "00", "05"), ("B-9", "007", "x", "y", "z")):
+        row = list(line)
+        row[0], row[2], row[4], row[5], row[7], row[13] = hotel, "L1", star_id, city, zone, master
+        hotels.append("\t".join(row))
+    dictionary = put("dictionary", "\n".join(hotels) + "\n")
+    paths = run_daily(
+        spark, read_delimited(spark, bookings, BOOKINGS), read_delimited(spark, dictionary, HOTEL_DICTIONARY, "\t"), str(tmp_path / "out"), "20200301",
+    )
+    assert rows(read_lines(spark, paths["valid_city_star"])) == [("A12#05##2020-02-03#2#1.0#45.0",), ("A12#05##2020-02-04#3#1.0#45.0",)]
+    assert rows(read_delimited(spark, paths["area_orders_text"], AREA_ORDERS).where("cancel_dt is not null"), "city", "zone", "star", "location", "cancel_dt")[0] == ("A12", "00", "05", "L1", date(2020, 2, 3))
+    assert rows(read_lines(spark, paths["cancel_zone_star_acc"])) == [("00#05##2020-02-03#0#1.0#40.0",)]
+
+
 def test_reference_tables_per_hotel(spark, rows):
     flags = spark.createDataFrame([("H1", "A", "Y"), ("H2", "A", "N")], "htl_cd string, seg_cd string, is_pred string")
     bar_map = spark.createDataFrame(
@@ -91,6 +137,27 @@ def test_sql_list_from_files(spark, tmp_path, rows):
     assert [r[0].split("#")[0] for r in spark.read.text(out).collect()] == ["9"]
 
 
+def test_sql_list_leaves_the_callers_views_alone(spark, rows):
+    spark.range(3).createOrReplaceTempView("boat")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        tables = {"boat": spark.createDataFrame([("x", 1), ("y", 2)], "name string, length int"), "odd name": spark.range(1)}
+        statements = [
+            SqlStatement("sum", 2, "with boat2 as (select * from boat where name <> '{}') select sum(length) as s from boat2"),
+            SqlStatement("view", 1, "create temporary view long_boat as select name from boat where length > 1"),
+            SqlStatement("long", 3, "select * from long_boat cross join `odd name`"),
+            SqlStatement("conf", 4, "set spark.sql.shuffle.partitions"),
+        ]
+        found = run_statements(spark, tables, statements)
+        assert rows(found["sum"]) == [(3,)] and rows(found["long"], "name") == [("y",)] and found["conf"].first().value == "3"
+        assert spark.table("boat").count() == 3
+        assert not spark.catalog.tableExists("long_boat") and not spark.catalog.tableExists("`odd name`")
+        assert not [t for t in spark.catalog.listTables("global_temp") if t.name.startswith("sql_list_")]
+    finally:
+        spark.catalog.dropTempView("boat")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 def test_sql_list_stops_on_a_bad_statement(spark):
     with pytest.raises(Exception):
         run_statements(spark, {"t": spark.range(1)}, [SqlStatement("bad", 1, "select x from t")])

@@ -1,16 +1,19 @@
 """Plans and hot keys: what must hold when the tables are large."""
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from catalogue import starschema as star
 from catalogue.queries import all_queries
-from roomtide.model import AREA_ORDERS, BOOKINGS
+from roomtide.model import area_orders_layout, bookings_layout
 from roomtide.operators import curves
 from roomtide.operators.area import area_nights
 from roomtide.operators.nights import hotel_nights
 from roomtide.session import scratch_path
 
+AREA_ORDERS = area_orders_layout(T.LongType())
+BOOKINGS = bookings_layout(T.LongType())
+
 SF = "/root/testdata/sf0.001"
 
 

@@ -2,15 +2,17 @@ import gzip
 from datetime import date
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
-from roomtide.model import AREA_ORDERS, text_layout
+from roomtide.model import area_orders_layout, text_layout
 from roomtide.session import scratch_path
 from roomtide.sources import (
     dated_path, read_delimited, read_jdbc, read_lines, read_named_fields, read_parquet, read_snapshot, snapshot_key,
     write_delimited, write_parquet, write_partitioned,
 )
 
+AREA_ORDERS = area_orders_layout(T.LongType())
+
 LINE = "41#7003#3#5#2#2019-04-02#2019-05-17#2019-04-20#2.0#80.25"
 VALID = "52#611#4#90#3#2019-06-08#2019-06-30##3.0#512.5"
 
