@@ -42,11 +42,12 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from roomtide.llm.components import smallest_nodes
-from roomtide.llm.text import WordHashes, map_batches, mixed, one_column, signed, text_bytes, words
+from roomtide.llm.text import WordHashes, map_batches, mixed, one_column, signed, slices, text_bytes, words
 from roomtide.session import scratch_path
 
 _HASHES = WordHashes()
 BLOCK = 1 << 14
+SEEN = 100_000
 SHARED = 2
 
 
@@ -138,7 +139,7 @@ class Join:
 
         def run(batches):
             counts = np.zeros(size, np.uint32)
-            for batch in batches:
+            for batch in slices(batches):
                 rows = []
                 for t in text_bytes(batch.column(1)):
                     found = words(t)
@@ -191,17 +192,19 @@ class Join:
         width, percent = self.width, self.percent
 
         def run(batches):
-            seen: set[tuple[int, int]] = set()
-            for batch in batches:
+            # repeats in a task go as far as its memory of classes reaches; other tasks repeat them anyway
+            seen: set[int] = set()
+            for batch in slices(batches):
                 codes, k1, k2, place = [], [], [], []
                 for t in text_bytes(batch.column(1)):
                     found = words(t)
                     key = class_key(found)
-                    if not found or key in seen:
+                    whole = (key[0] << 64) ^ key[1]
+                    if not found or whole in seen:
                         continue
-                    if len(seen) >= 1_000_000:
+                    if len(seen) >= SEEN:
                         seen.clear()
-                    seen.add(key)
+                    seen.add(whole)
                     c = steps.value.codes(shingle_hashes(found, width))
                     p = prefix_length(len(c), percent)
                     codes.append(signed(c[:p]))
@@ -310,12 +313,18 @@ class Join:
 
 def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 3, percent: int = 90, counters: int = 1 << 22) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of every row."""
-    rows, links = Join(docs, doc_id, text, width, percent, counters).run()
-    roots = smallest_nodes(links).select(F.col("node").alias("key"), "root")
-    labelled = rows.join(roots, "key", "left").select("doc_id", "n", F.coalesce("root", "key").alias("label"))
-    least = labelled.where("n > 0").groupBy("label").agg(F.min("doc_id").alias("least"))
-    return labelled.join(least, "label", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("least")).alias("component_id")
+    join = Join(docs, doc_id, text, width, percent, counters)
+    rows, links = join.run()
+    # ids by class, then by component: copies are added up before anything is joined, and what is
+    # joined is stored before, so that a class or component with many rows is a skewed join and no more
+    classes = join._stored(rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("least")), "classes-least")
+    roots = join._stored(smallest_nodes(links).select(F.col("node").alias("key"), "root"), "roots")
+    members = roots.unionByName(roots.select(F.col("root").alias("key"), "root").distinct())
+    least = join._stored(members.join(classes, "key").groupBy("root").agg(F.min("least").alias("of_root")), "roots-least")
+    linked = join._stored(members.join(least, "root").select("key", "of_root"), "members-least")
+    answers = join._stored(classes.join(linked, "key", "left").select("key", F.coalesce("of_root", "least").alias("component")), "components")
+    return rows.join(answers, "key", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component")).alias("component_id")
     )
 
 
