@@ -51,8 +51,7 @@ def rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
-    return suffix_tree.score(docs, suffix_tree.train(docs.select("doc_id", "text")))
+    return suffix_tree.score(_table(spark, sf_dir, "documents"))
 
 
 def classified(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,328 +1,280 @@
 """Language model scores by a probabilistic suffix tree.
 
-Symbols are the bytes of the text with A-Z in lower case: the 62 commonest
-of the training texts, one symbol for all others (a byte among them has its
-share of them), and the end. A text is preceded by ends. A context is what
-the last 0 to ``DEPTH`` symbols were.
-
-A context is a state of the tree if it was seen in at least ``least_share`` of
-the training positions and its next symbols diverge from those of the context
-without its oldest symbol: count * Kullback-Leibler divergence (in nats)
-reaches ``divergence``. With a context all its suffixes are states. So there
-are at most ``DEPTH`` / ``least_share`` + 1 states: the bound of what the
-driver holds and broadcasts, while the counts behind it grow with the corpus.
-A state's distribution is smoothed with ``strength`` symbols of its parent's,
-the root's with 0.1 of each symbol. Every position is scored in the state of
-its longest suffix.
-
-Beside it stands a word model: the log10 probability of the words and one end
-by their counts in the training texts. Its counts are joined to the texts by
-the words of blocks of documents: a word is asked for once for each block.
+Symbols are the bytes of the text with A-Z in lower case, and the end, for
+which stands 0xFF, a byte that UTF-8 doesn't have. A text is preceded by ends.
+A context is what the last 0 to ``DEPTH`` symbols were; with the next symbol
+it is a gram, a number of up to 64 bits.
+
+A context is a state of the tree if it was seen ``least_count`` times and its
+next symbols diverge from those of the context without its oldest symbol:
+count * Kullback-Leibler divergence (in nats) reaches ``divergence``. With a
+context all its suffixes are states. Both bounds are absolute, so the tree
+grows with the corpus. A state's distribution is smoothed with its parent's,
+which weighs as much as the state has distinct next symbols, the root's with
+0.1 of each symbol. A symbol is scored in the state of its longest suffix.
+
+Counts, states and distributions are tables dealt by gram; no task and no
+broadcast holds the tree. Rows are taken in blocks of texts. A block asks once
+for every distinct gram and word that it holds; the answers come back to the
+block and meet its texts, which are read a second time. Each block's texts are
+checked to be those that asked: an input that changes between the reads ends
+the job. A gram or word that every block holds is a join key with a row of a
+few bytes from each block.
+
+Beside the tree stands a word model: the log10 probability of the words and
+one end by their counts in the training texts. Words are known by 64-bit
+hashes: among ten million distinct words, the chance that any two share one is
+3 in a million; their counts would be added.
 
 Null text counts as empty: one end, scored as such. A null id counts as held
-out. Rows are kept one by one, whatever their ids. Without training texts
-the states are the root alone and all word counts are 0. Texts are of any length.
+out. Rows are kept one by one, whatever their ids; repeated rows get equal
+scores. Without training texts the states are the root alone, all symbols are
+equally likely and all word counts are 0. Texts are of any length: a block
+has at least one. An empty table gives an empty table. Only the columns named
+are read, so other columns can't clash.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from roomtide.llm.text import LOWER, WordHashes, held_out, one_column, signed, text_bytes
+from roomtide.llm.text import LOWER, WordHashes, held_out, one_column, signed, slices, text_bytes
 from roomtide.session import scratch_path
 
-DEPTH, SYMBOLS, END, OTHER = 5, 64, 0, 1
-DIRECT = 4  # symbols of context that one table of all contexts covers; deeper states are reached from there
-BLOCK_BYTES, BLOCK_ROWS = 12 << 20, 1 << 15
+DEPTH, END = 5, 0xFF
+BLOCK_BYTES, BLOCK_ROWS = 32 << 20, 1 << 17
+GRAM, WORD, CHECK = 0, 1, 2
 END_WORD = xxhash.xxh3_64_intdigest(b" ")
 _HASHES = WordHashes()
 
 
-class Alphabet:
-    def __init__(self, counts: np.ndarray):
-        common = np.argsort(-counts, kind="stable")[:SYMBOLS - 2]
-        self.of_byte = np.full(256, OTHER, np.uint8)
-        self.of_byte[common] = np.arange(2, SYMBOLS)
-        rest = np.where(self.of_byte == OTHER, counts + 0.1, 0.0)
-        self.log_share = np.where(self.of_byte == OTHER, np.log10(np.maximum(rest, 1e-300) / rest.sum()), 0.0)
-
-    def joined(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Symbols of all texts, each between ``DEPTH`` ends; the raw bytes; where each text starts."""
-        gap = bytes(DEPTH)
-        raw = np.frombuffer(gap + b"".join([t + gap for t in texts]), np.uint8)
-        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
-        starts = DEPTH + np.concatenate([[0], np.cumsum(lengths[:-1] + DEPTH)]) if len(texts) else np.empty(0, np.int64)
-        symbols = self.of_byte[raw]
-        for k in range(DEPTH):
-            symbols[k] = END
-            symbols[starts + lengths + k] = END
-        return symbols, raw, np.stack([starts, starts + lengths], axis=1) if len(texts) else np.empty((0, 2), np.int64)
-
-
-def grams(symbols: np.ndarray) -> np.ndarray:
-    """Context and next symbol in one number, from position ``DEPTH`` on."""
-    code = np.zeros(len(symbols) - DEPTH, np.int64)
+def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The grams of all texts one after another, and where each text's begin: one for each byte and one for the end."""
+    gap = bytes([END]) * DEPTH
+    raw = np.frombuffer(gap + b"".join([t + gap for t in texts]), np.uint8)
+    code = np.zeros(len(raw) - DEPTH, np.int64)
     for k in range(DEPTH + 1):
-        code = (code << 6) | symbols[k:len(symbols) - DEPTH + k]
-    return code
+        code = (code << 8) | raw[k:len(raw) - DEPTH + k]
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    begins = np.concatenate([[0], np.cumsum(lengths + DEPTH)])[:-1]
+    edges = np.zeros(len(code) + 1, np.int8)
+    edges[begins] = 1
+    edges[begins + lengths + 1] -= 1  # a text of DEPTH - 1 more ends is followed by the next one
+    real = np.cumsum(edges[:-1], dtype=np.int8) > 0
+    return code[real], np.concatenate([[0], np.cumsum(lengths + 1)])[:-1]
 
 
-class Tree:
-    """The states as contexts by depth, and the log10 distribution of each."""
+def suffix(code: Column, depth: int) -> Column:
+    """The gram with a context of ``depth`` symbols."""
+    return code.bitwiseAND(F.lit((1 << 8 * (depth + 1)) - 1))
 
-    def __init__(self, nodes: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]], root: np.ndarray, strength: float):
-        """``nodes`` by depth: context, symbol and count of the retained contexts; ``root``: counts of the symbols."""
-        tables = [((root + 0.1) / (root + 0.1).sum())[None, :]]
-        self.contexts = [np.zeros(1, np.int64)]
-        for depth in range(1, DEPTH + 1):
-            context, symbol, count = nodes.get(depth, (np.empty(0, np.int64),) * 3)
-            own, at = np.unique(context, return_inverse=True)
-            matrix = np.zeros((len(own), SYMBOLS))
-            matrix[at, symbol] = count
-            above = tables[-1][np.searchsorted(self.contexts[-1], own & (SYMBOLS ** (depth - 1) - 1))]
-            tables.append((matrix + strength * above) / (matrix.sum(axis=1, keepdims=True) + strength))
-            self.contexts.append(own)
-        self.logs = np.log10(np.concatenate(tables)).astype(np.float32)
-
-    def states(self) -> tuple[np.ndarray, list[np.ndarray]]:
-        """The state of the longest suffix up to ``DIRECT`` symbols for each such context, and the
-        steps from a state to the one with an older symbol in front (0: none), a table for each further depth."""
-        table, first, steps = np.zeros(SYMBOLS**DIRECT, np.int32), 1, []
+
+def context(code: Column) -> Column:
+    return F.shiftright(code, 8)
+
+
+def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys and the sums of their counts."""
+    key, n = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(key, kind="stable")
+    key, n = key[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
+    return key[first], np.add.reduceat(n, first) if len(key) else n
+
+
+def in_blocks(batches: Iterable[pa.RecordBatch], text: int) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """The slices of a partition with the number of their block, which only their order and sizes decide."""
+    from pyspark import TaskContext
+
+    block, size, rows = TaskContext.get().partitionId() << 24, 0, 0
+    for part in slices(batches):
+        if size and (size + part.nbytes > BLOCK_BYTES or rows + part.num_rows > BLOCK_ROWS):
+            block, size, rows = block + 1, 0, 0
+        size, rows = size + part.nbytes, rows + part.num_rows
+        yield block, part
+
+
+def checksum(texts: list[bytes]) -> int:
+    """Of a block's texts, whatever their order."""
+    return sum(zlib.crc32(t) + 1 for t in texts)
+
+
+class Tree:
+    """Tables in the shared folder: by depth ``counts`` (code, n) and ``states`` (context, total, types); ``words`` (key, n)."""
+
+    def __init__(self, asked: DataFrame, least_count: int, divergence: float):
+        self.spark = asked.sparkSession
+        #: every gram and word that any block asks for, with its count in the training texts (0 if it isn't there)
+        sums = self._stored(asked.where(F.col("kind") != CHECK).groupBy("kind", "key").agg(F.sum("learned").alias("n")), "counts")
+        self.words = sums.where(F.col("kind") == WORD).select("key", "n")
+        row = self.words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.when(F.col("n") > 0, 1)).alias("v")).first()
+        self.tokens, self.distinct = row.n, row.v
+        self.counts = [sums.where(F.col("kind") == GRAM).select(F.col("key").alias("code"), "n")]
+        for depth in range(DEPTH - 1, -1, -1):
+            shorter = self.counts[0].groupBy(suffix(F.col("code"), depth).alias("code")).agg(F.sum("n").alias("n"))
+            self.counts.insert(0, self._stored(shorter, f"grams{depth}"))
+        self.states: list[DataFrame | None] = [None] * (DEPTH + 1)
+        kept = None
+        for depth in range(DEPTH, 0, -1):
+            kept = self.states[depth] = self._stored(self._states(depth, kept, least_count, divergence), f"states{depth}")
+
+    def _stored(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
+
+    def _totals(self, depth: int) -> DataFrame:
+        seen = self.counts[depth].where("n > 0")
+        return seen.groupBy(context(F.col("code")).alias("context")).agg(F.sum("n").alias("total"), F.count("*").alias("types"))
+
+    def _states(self, depth: int, longer: DataFrame | None, least_count: int, divergence: float) -> DataFrame:
+        """(context, total, types) of the states of a depth: those that diverge, and the suffixes of longer ones."""
+        totals = self._totals(depth)
+        above = self.counts[depth - 1].where("n > 0").withColumn("up", context(F.col("code")))
+        above = above.join(self._totals(depth - 1), above["up"] == F.col("context")).select(F.col("code").alias("up_code"), (F.col("n") / F.col("total")).alias("q"))
+        own = self.counts[depth].where("n > 0").select("n", context(F.col("code")).alias("of"), suffix(F.col("code"), depth - 1).alias("up_code"))
+        rows = own.join(totals.where(F.col("total") >= least_count), own["of"] == F.col("context")).join(above, "up_code")
+        gain = rows.groupBy("context", "total", "types").agg(F.sum(F.col("n") * F.log(F.col("n") / F.col("total") / F.col("q"))).alias("gain"))
+        found = gain.where(F.col("gain") >= divergence).select("context")
+        if longer is not None:
+            found = found.unionByName(longer.select(suffix(F.col("context"), depth - 1).alias("context"))).distinct()
+        return totals.join(found, "context", "left_semi")
+
+    def logs(self) -> DataFrame:
+        """(key, value): log10 of the symbol's probability behind its context, for every gram that was asked for."""
+        n = self.counts[0].agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        chance = self.counts[0].select("code", ((F.col("n") + 0.1) / (n + 0.1 * 256)).alias("p"))
         for depth in range(1, DEPTH + 1):
-            own = self.contexts[depth]
-            numbers = first + np.arange(len(own), dtype=np.int32)
-            if depth <= DIRECT:
-                table.reshape(-1, SYMBOLS**depth)[:, own] = numbers
-            else:
-                step = np.zeros((len(self.logs), SYMBOLS), np.int32)
-                above = self.contexts[depth - 1]
-                step[first - len(above) + np.searchsorted(above, own & (SYMBOLS ** (depth - 1) - 1)), own >> (6 * (depth - 1))] = numbers
-                steps.append(step)
-            first += len(own)
-        return table, steps
+            own = self.counts[depth].select("code", "n", context(F.col("code")).alias("context"), suffix(F.col("code"), depth - 1).alias("up_code"))
+            both = own.join(self.states[depth], "context", "left").join(chance.select(F.col("code").alias("up_code"), "p"), "up_code")
+            smoothed = (F.col("n") + F.col("types") * F.col("p")) / (F.col("total") + F.col("types"))
+            chance = self._stored(both.select("code", F.coalesce(smoothed, F.col("p")).alias("p")), f"chances{depth}")
+        return chance.select(F.col("code").alias("key"), F.log10("p").alias("value"))
+
+
+def ask(rows: DataFrame) -> DataFrame:
+    """(block, kind, key, learned) for the rows ``doc_id``, ``text``, ``held_out``: each distinct gram and word of a block
+    with its count in the block's training texts, and a row to check the block by."""
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        number, count, check = None, 0, 0
+
+        def answer():
+            for kind, parts in held.items():
+                key, n = summed(*zip(*parts))
+                for at in range(0, len(key), 1 << 17):
+                    yield batch(kind, key[at:at + (1 << 17)], n[at:at + (1 << 17)])
+            yield batch(CHECK, np.array([check], np.int64), np.array([count], np.int64))
+
+        def batch(kind: int, key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            m = len(key)
+            return pa.RecordBatch.from_arrays([pa.array(np.full(m, number, np.int64)), pa.array(np.full(m, kind, np.int8)), pa.array(key), pa.array(n)], names=["block", "kind", "key", "learned"])
+
+        for block, part in in_blocks(batches, 1):
+            if block != number:
+                if number is not None:
+                    yield from answer()
+                number, count, check, held = block, 0, 0, {GRAM: [], WORD: []}
+            low = [t.translate(LOWER) for t in text_bytes(part.column(1))]
+            count, check = count + len(low), check + checksum(low)
+            for learned in (True, False):
+                some = [t for t, out in zip(low, part.column(2).to_pylist()) if out != learned]
+                if some:
+                    words = np.append(_HASHES.of(b" ".join(some).split()), np.full(len(some), END_WORD, np.uint64))
+                    for kind, found in ((GRAM, grams(some)[0]), (WORD, signed(words))):
+                        key, n = np.unique(found, return_counts=True)
+                        held[kind].append((key, n if learned else np.zeros(len(n), np.int64)))
+            if len(held[GRAM]) > 16:
+                held = {kind: [summed(*zip(*parts))] for kind, parts in held.items()}
+        if number is not None:
+            yield from answer()
+
+    return rows.mapInArrow(asked, "block bigint, kind tinyint, key bigint, learned bigint")
 
 
 class Scorer:
-    def __init__(self, alphabet: Alphabet, tree: Tree):
-        self.alphabet, self.logs = alphabet, tree.logs
-        self.table, self.steps = tree.states()
-
-    def scores(self, texts: list[bytes]) -> np.ndarray:
-        symbols, raw, spans = self.alphabet.joined(texts)
-        code = grams(symbols)
-        state = self.table[(code >> 6) & (SYMBOLS**DIRECT - 1)]
-        for k, step in enumerate(self.steps):
-            longer = step[state, (code >> (6 * (DIRECT + 1 + k))) & 63]
-            state = np.where(longer > 0, longer, state)
-        logs = self.logs[state, code & 63].astype(np.float64)
-        logs += self.alphabet.log_share[raw[DEPTH:]] * (symbols[DEPTH:] == OTHER)
-        total = np.concatenate([[0.0], np.cumsum(logs)])
-        return total[spans[:, 1] + 1 - DEPTH] - total[spans[:, 0] - DEPTH]
-
-
-_scorers: dict[int, Scorer] = {}
-
-
-def _scorer(model) -> Scorer:
-    """One for each worker process and broadcast."""
-    key = id(model)
-    if key not in _scorers:
-        _scorers.clear()
-        _scorers[key] = Scorer(*model.value)
-    return _scorers[key]
-
-
-def _slices(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
-    """The batches in parts of some megabytes of text, or one text."""
-    for batch in batches:
-        sizes = np.array([len(x) for x in text_bytes(batch.column(column))])
-        at = 0
-        while at < batch.num_rows:
-            n = max(1, int(np.searchsorted(np.cumsum(sizes[at:]), 2 << 20)))
-            yield batch.slice(at, n)
-            at += n
-
-
-def train(docs: DataFrame, folds: int = 10, least_share: float = 1e-5, divergence: float = 20.0, strength: float = 4.0) -> tuple[Alphabet, Tree]:
-    """The alphabet and tree of the texts that aren't held out; ``docs`` has ``doc_id`` and ``text``."""
-    texts = docs.where(~held_out("doc_id", folds)).select("text")
-
-    def counted(batches):
-        counts = np.zeros(256, np.int64)
-        for batch in batches:
-            for t in text_bytes(batch.column(0)):
-                counts += np.bincount(np.frombuffer(t.translate(LOWER), np.uint8), minlength=256)
-        yield pa.RecordBatch.from_arrays([pa.array(range(256), pa.int32()), pa.array(counts)], names=["byte", "n"])
-
-    bytes_seen = texts.mapInArrow(counted, "byte int, n bigint").groupBy("byte").agg(F.sum("n").alias("n")).collect()
-    counts = np.zeros(256)
-    for r in bytes_seen:
-        counts[r["byte"]] = r["n"]
-    alphabet = Alphabet(counts)
-
-    def gathered(batches):
-        code, n = np.empty(0, np.int64), np.empty(0, np.int64)
-        waiting, size = [], 0
-
-        def merged():
-            every = np.concatenate([code, *(c for c, _ in waiting)])
-            weight = np.concatenate([n, *(w for _, w in waiting)])
-            order = np.argsort(every, kind="stable")
-            every, weight = every[order], weight[order]
-            first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.empty(0, np.int64)
-            return (every[first], np.add.reduceat(weight, first)) if len(every) else (every, weight)
-
-        for part in _slices(batches, 0):
-            found = [t.translate(LOWER) for t in text_bytes(part.column(0))]
-            symbols, _, spans = alphabet.joined(found)
-            codes = grams(symbols)
-            real = np.ones(len(codes), bool)
-            for k in range(1, DEPTH):  # the ends that only separate texts
-                real[np.minimum(spans[:, 1] - DEPTH + k, len(codes) - 1)] &= spans[:, 1] - DEPTH + k >= len(codes)
-            waiting.append(np.unique(codes[real], return_counts=True))
-            size += len(waiting[-1][0])
-            if size > 2_000_000:
-                code, n = merged()
-                waiting, size = [], 0
-                if len(code) > 4_000_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], names=["code", "n"])
-                    code, n = code[:0], n[:0]
-        code, n = merged()
-        if len(code):
-            yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], names=["code", "n"])
-
+    """A block's answers: sorted grams with their logs, sorted words with their counts."""
+
+    def __init__(self, answers: pa.Table, tokens: int, distinct: int):
+        kind, key, value = (answers.column(c).to_numpy() for c in ("kind", "key", "value"))
+        self.of = {}
+        for k in (GRAM, WORD):
+            mine = kind == k
+            order = np.argsort(key[mine], kind="stable")
+            self.of[k] = key[mine][order], value[mine][order]
+        words, counts = self.of[WORD]
+        self.of[WORD] = words, np.log10((counts + 0.1) / (tokens + 0.1 * (distinct + 1))), counts > 0
+
+    def found(self, kind: int, keys: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.of[kind][0], keys)
+        if len(keys) and (at.max() >= len(self.of[kind][0]) or (self.of[kind][0][at] != keys).any()):
+            raise ValueError("a block holds what it didn't ask for: the input changed between two reads")
+        return at
+
+    def scores(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Per text: the log10 probability, words and end, how many are known, and their log10 probability."""
+        codes, begins = grams(texts)
+        score = np.add.reduceat(self.of[GRAM][1][self.found(GRAM, codes)], begins)
+        words = [t.split() for t in texts]
+        lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        starts = np.cumsum(lengths) - lengths
+        keys = np.full(int(lengths.sum()), END_WORD, np.uint64)
+        inside = np.ones(len(keys), bool)
+        inside[starts + lengths - 1] = False
+        keys[inside] = _HASHES.of([w for found in words for w in found])
+        at = self.found(WORD, signed(keys))
+        _, logs, known = self.of[WORD]
+        return score, lengths, np.add.reduceat(known[at].astype(np.int64), starts), np.add.reduceat(logs[at], starts)
+
+
+def score(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: int = 10, least_count: int = 2, divergence: float = 3.0
+) -> DataFrame:
+    """``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score`` of every row.
+
+    The rows that aren't held out are learned from.
+    """
     spark = docs.sparkSession
-    path = scratch_path(spark, "grams")
-    texts.mapInArrow(gathered, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n")).write.parquet(path)
-    whole = spark.read.parquet(path)
-    positions = whole.agg(F.sum("n")).first()[0] or 0
-
-    root = np.zeros(SYMBOLS)
-    for r in whole.groupBy(F.col("code").bitwiseAND(63).cast("int").alias("s")).agg(F.sum("n").alias("n")).collect():
-        root[r["s"]] = r["n"]
-    nodes, below = {}, None
-    for depth in range(DEPTH, 0, -1):
-        def at(d: int) -> DataFrame:
-            short = whole.groupBy(F.col("code").bitwiseAND(SYMBOLS ** (d + 1) - 1).alias("code")).agg(F.sum("n").alias("n"))
-            return short.select(F.shiftright("code", 6).alias("context"), F.col("code").bitwiseAND(63).cast("int").alias("s"), "n")
-
-        own, above = at(depth), at(depth - 1)
-        totals = own.groupBy("context").agg(F.sum("n").alias("total")).where(F.col("total") >= max(1, least_share * positions))
-        above_totals = above.groupBy("context").agg(F.sum("n").alias("up_total"))
-        up = above.join(above_totals, "context").select(F.col("context").alias("up_context"), F.col("s").alias("up_s"), (F.col("n") / F.col("up_total")).alias("q"))
-        rows = own.join(totals, "context").withColumn("up", F.col("context").bitwiseAND(SYMBOLS ** (depth - 1) - 1))
-        gain = rows.join(up, (F.col("up") == F.col("up_context")) & (F.col("s") == F.col("up_s")))
-        states = gain.groupBy("context").agg(F.sum(F.col("n") * F.log(F.col("n") / F.col("total") / F.col("q"))).alias("g")).where(F.col("g") >= divergence).select("context")
-        if below is not None:  # suffixes of states are states
-            states = states.unionByName(below.select(F.col("context").bitwiseAND(SYMBOLS**depth - 1).alias("context"))).distinct()
-        kept_path = scratch_path(spark, "states")
-        own.join(states, "context").write.parquet(kept_path)
-        below = spark.read.parquet(kept_path).select("context").distinct()
-        table = spark.read.parquet(kept_path).toArrow()
-        nodes[depth] = tuple(table.column(c).to_numpy().astype(np.int64) for c in ("context", "s", "n"))
-    return alphabet, Tree(nodes, root, strength)
-
-
-def score(docs: DataFrame, model: tuple[Alphabet, Tree], doc_id: str = "doc_id", text: str = "text", folds: int = 10) -> DataFrame:
-    """``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score`` of every row."""
-    spark = docs.sparkSession
-    known = spark.sparkContext.broadcast(model)
     rows = one_column(docs, doc_id=doc_id, text=text).withColumn("held_out", held_out("doc_id", folds))
     id_type = docs.schema[doc_id].dataType.simpleString()
-
-    def blocks(batches):
-        from pyspark import TaskContext
-
-        part, number = TaskContext.get().partitionId(), 0
-        scorer = _scorer(known)
-        ids, held, lengths, scores, hashes, ordinals, times = [], [], [], [], [], [], []
-        size = 0
-
-        def block():
-            of = (part << 24) + number
-            n = sum(map(len, ids))
-            yield batch_of(n, of, ordinal=pa.array(range(n), pa.int32()), doc_id=pa.concat_arrays(ids), held_out=pa.concat_arrays(held), n_tokens=pa.array(np.concatenate(lengths)), score=pa.array(np.concatenate(scores)))
-            h, o, t = np.concatenate(hashes), np.concatenate(ordinals), np.concatenate(times)
-            order = np.argsort(h, kind="stable")
-            h, o, t = h[order], o[order], t[order]
-            first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-            learned = np.where(~pa.concat_arrays(held).to_numpy(zero_copy_only=False)[o], t, 0)
-            sums = np.add.reduceat(learned, first)
-            # an entry is the document's number and how often, up to 255; what is more comes in further entries
-            parts = (t + 254) // 255
-            starts = np.cumsum(parts) - parts
-            entry = np.zeros(int(parts.sum()), [("o", "<u2"), ("t", "u1")])
-            entry["o"], entry["t"] = np.repeat(o, parts), 255
-            entry["t"][starts + parts - 1] = t - 255 * (parts - 1)
-            ends = np.concatenate([starts[first], [len(entry)]]).astype(np.int32) * 3
-            postings = pa.BinaryArray.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(entry.tobytes())])
-            for at in range(0, len(first), 50_000):
-                some = slice(at, at + 50_000)
-                m = len(first[some])
-                yield batch_of(m, of, word=pa.array(signed(h[first[some]])), learned=pa.array(sums[some]), postings=postings.slice(at, m))
-
-        def batch_of(n: int, of: int, **columns):
-            return pa.RecordBatch.from_arrays([pa.array(np.full(n, of, np.int64)), *(columns.get(c, pa.nulls(n, k)) for c, k in kinds.items())], names=["block", *kinds])
-
-        kinds = None
-        for part_batch in _slices(batches, 1):
-            kinds = kinds or {"ordinal": pa.int32(), "doc_id": part_batch.column(0).type, "held_out": pa.bool_(), "n_tokens": pa.int64(), "score": pa.float64(), "word": pa.int64(), "learned": pa.int64(), "postings": pa.binary()}
-            if size >= BLOCK_BYTES or sum(map(len, ids)) + part_batch.num_rows > BLOCK_ROWS:
-                yield from block()
-                ids, held, lengths, scores, hashes, ordinals, times = [], [], [], [], [], [], []
-                number, size = number + 1, 0
-            low = [t.translate(LOWER) for t in text_bytes(part_batch.column(1))]
-            base = sum(map(len, ids))
-            ids.append(part_batch.column(0))
-            held.append(part_batch.column(2))
-            scores.append(scorer.scores(low))
-            counts = np.empty(len(low), np.int64)
-            for k, t in enumerate(low):
-                found = t.split()
-                counts[k] = len(found) + 1
-                h, n = np.unique(_HASHES.of(found), return_counts=True)
-                hashes.append(np.append(h, np.uint64(END_WORD)))
-                times.append(np.append(n, 1))
-                ordinals.append(np.full(len(h) + 1, base + k, np.uint16))
-            lengths.append(counts)
-            size += sum(map(len, low))
-        if ids:
-            yield from block()
-
-    kinds = f"block bigint, ordinal int, doc_id {id_type}, held_out boolean, n_tokens bigint, score double, word bigint, learned bigint, postings binary"
-    path = scratch_path(spark, "blocks")
-    rows.mapInArrow(blocks, kinds).write.parquet(path)
-    stored = spark.read.parquet(path)
-    asked = stored.where("word is not null").select("block", "word", "learned", "postings")
-    counts_path = scratch_path(spark, "words")
-    asked.groupBy("word").agg(F.sum("learned").alias("c")).write.parquet(counts_path)
-    counts = spark.read.parquet(counts_path)
-    whole = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).first()
-
-    weighed = asked.join(counts, "word").select("block", "c", "postings", *(F.lit(None).cast(k).alias(c) for c, k in (("ordinal", "int"), ("doc_id", id_type), ("held_out", "boolean"), ("n_tokens", "bigint"), ("score", "double"))))
-    heads = stored.where("ordinal is not null").select("block", F.lit(None).cast("bigint").alias("c"), F.lit(None).cast("binary").alias("postings"), "ordinal", "doc_id", "held_out", "n_tokens", "score")
-    total, distinct = whole["n"], whole["v"]
-
-    def folded(table: pa.Table) -> pa.Table:
-        head = table.filter(pa.compute.is_valid(table.column("ordinal"))).sort_by("ordinal")
-        asked = table.filter(pa.compute.is_valid(table.column("c")))
-        c = asked.column("c").to_numpy()
-        data = asked.column("postings").to_pylist()
-        entry = np.frombuffer(b"".join(data), [("o", "<u2"), ("t", "u1")])
-        each = np.repeat(np.arange(len(data)), np.fromiter(map(len, data), np.int64, len(data)) // 3)
-        logs = np.log10((c + 0.1) / (total + 0.1 * (distinct + 1)))
-        n = head.num_rows
-        base = np.bincount(entry["o"], logs[each] * entry["t"], n)
-        seen = np.bincount(entry["o"], np.where(c[each] > 0, entry["t"], 0), n).astype(np.int64)
-        return pa.table({
-            "doc_id": head.column("doc_id"), "held_out": head.column("held_out"), "n_tokens": head.column("n_tokens"), "n_known": pa.array(seen),
-            "train_tokens": pa.array(np.full(n, total, np.int64)), "base_score": pa.array(base), "score": head.column("score"),
-        })
-
-    return heads.unionByName(weighed).groupBy("block").applyInArrow(folded, f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
+    path = scratch_path(spark, "asked")
+    ask(rows).write.option("compression", "zstd").parquet(path)
+    asked = spark.read.parquet(path)
+    tree = Tree(asked, least_count, divergence)
+    total, distinct = tree.tokens, tree.distinct
+
+    values = {GRAM: tree.logs(), WORD: tree.words.select("key", F.col("n").cast("double").alias("value"))}
+    answers = [asked.where(F.col("kind") == kind).select("block", "kind", "key").join(value, "key").select("block", "kind", "key", "value") for kind, value in values.items()]
+    checks = asked.where(F.col("kind") == CHECK).select("block", "kind", "key", F.col("learned").cast("double").alias("value"))
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, part in in_blocks(batches, 1):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(part.num_rows, block, np.int64)), *part.columns], names=["of", "doc_id", "text", "held_out"])
+
+    texts = rows.mapInArrow(numbered, f"of bigint, doc_id {id_type}, text string, held_out boolean")
+
+    def folded(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        check = answers.filter(pa.compute.equal(answers.column("kind"), CHECK))
+        scorer = Scorer(answers, total, distinct)
+        out, seen = [], 0
+        for part in slices(texts.to_batches()):
+            low = [t.translate(LOWER) for t in text_bytes(part.column("text"))]
+            seen += checksum(low)
+            found, n_tokens, n_known, base = scorer.scores(low)
+            out.append((part.column("doc_id"), part.column("held_out"), *map(pa.array, (n_tokens, n_known, np.full(len(low), total, np.int64), base, found))))
+        if check.column("key").to_pylist() != [seen] or check.column("value").to_pylist() != [texts.num_rows]:
+            raise ValueError("a block lacks texts that asked: the input changed between two reads")
+        names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+        return pa.table([pa.chunked_array(c) for c in zip(*out)], names=names)
+
+    every = answers[0].unionByName(answers[1]).unionByName(checks)
+    return texts.groupBy("of").cogroup(every.groupBy("block")).applyInArrow(
+        folded, f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
+    )

@@ -1,12 +1,9 @@
-import math
-import zlib
-from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from roomtide.llm import components, curve_search, mixing, ngram_join, suffix_tree
+from roomtide.llm import components, curve_search, mixing, ngram_join
 
 
 def brute_components(rows, percent=90):
@@ -99,38 +96,6 @@ def test_search_of_odd_vectors(spark):
     assert curve_search.nearest(df.where("false"), "true").count() == 0
 
 
-def test_word_model_equals_counting(spark, documents, odd):
-    for df in (documents, odd):
-        rows = [(r.doc_id, [*ngram_join.words((r.text or "").encode()), None]) for r in df.collect()]
-        held = lambda i: i is None or zlib.crc32(str(i).encode()) % 10 == 0
-        c = Counter(w for i, ws in rows if not held(i) for w in ws)
-        n = sum(c.values())
-        expected = sorted((held(i), len(ws), sum(c[w] > 0 for w in ws), n, round(sum(math.log10((c[w] + 0.1) / (n + 0.1 * (len(c) + 1))) for w in ws), 6)) for i, ws in rows)
-        model = suffix_tree.train(df.select("doc_id", "text"))
-        got = suffix_tree.score(df, model).collect()
-        assert sorted((r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got) == expected
-        assert all(r.score < 0 and math.isfinite(r.score) for r in got)
-
-
-def test_tree_scores_by_longest_suffix(spark):
-    df = spark.createDataFrame([(i, "abab" * 50) for i in range(2, 9)], "doc_id bigint, text string")
-    alphabet, tree = suffix_tree.train(df)
-    known = suffix_tree.Scorer(alphabet, tree)
-    a, b = alphabet.of_byte[ord("a")], alphabet.of_byte[ord("b")]
-    state = known.table[(int(a) << 6 | int(b)) & 0xFFFFFF] if len(tree.contexts[2]) else known.table[int(b)]
-    assert 10 ** tree.logs[state, a] > 0.9
-    total = 10 ** tree.logs
-    assert np.allclose(total.sum(axis=1), 1, atol=1e-3)
-    assert known.scores([b"abab"])[0] > known.scores([b"bbaa"])[0] > known.scores([b"zzzz"])[0]
-
-
-def test_suffix_tree_without_training_texts(spark, empty):
-    model = suffix_tree.train(empty.select("doc_id", "text"))
-    assert suffix_tree.score(empty, model).count() == 0
-    rows = suffix_tree.score(spark.createDataFrame([(None, "a b")], "doc_id bigint, text string"), model).collect()
-    assert rows[0].n_known == 0 and rows[0].train_tokens == 0 and rows[0].n_tokens == 3
-
-
 def test_raking_meets_both_margins(spark):
     cells = spark.createDataFrame([("a", "x", 90), ("a", "y", 10), ("b", "x", 30), ("b", "y", 70), (None, "x", 20), (None, "y", 5)], "s string, l string, tokens bigint")
     wanted = {"s": {"a": 0.2, "b": 0.5, None: 0.3}, "l": {"x": 0.6, "y": 0.4}}
