@@ -225,7 +225,7 @@ class Join:
             for t in text_bytes(batch.column(1)):
                 found = words(t)
                 k1, k2 = class_key(found)
-                bit = k1 % (len(wanted.value) * 8)
+                bit = k1 % (len(wanted.value) * 8)  # as in ``_held``
                 if found and wanted.value[bit >> 3] >> (bit & 7) & 1:
                     rows.append((k1, k2, steps.value.codes(shingle_hashes(found, width)).tobytes()))
             if rows:
@@ -235,7 +235,7 @@ class Join:
         return self._stored(found.groupBy("k1", "k2").agg(F.first("codes").alias("codes")).select(F.struct("k1", "k2").alias("key"), "codes"), "sets")
 
     def _bits(self, keys: DataFrame, size: int = 1 << 22) -> np.ndarray:
-        """A bit table of fixed size of the classes' keys; more keys only make it let more through."""
+        """A bit table of fixed size of the one column's numbers; more of them only make it let more through."""
         def run(batches):
             table = np.zeros(size, np.uint8)
             some = False
@@ -251,10 +251,21 @@ class Join:
             return pa.table({"block": table.column("block")[:1], "bits": pa.array([total.tobytes()], pa.binary())})
 
         whole = np.zeros(size, np.uint8)
-        for r in keys.select("k1").coalesce(16).mapInArrow(run, "block int, bits binary").groupBy("block").applyInArrow(merged, "block int, bits binary").toLocalIterator():
+        for r in keys.coalesce(16).mapInArrow(run, "block int, bits binary").groupBy("block").applyInArrow(merged, "block int, bits binary").toLocalIterator():
             whole[r["block"]:r["block"] + BLOCK] = np.frombuffer(bytes(r["bits"]), np.uint8)
         return whole
 
+    def _held(self, rows: DataFrame, column: str, numbers: DataFrame) -> DataFrame:
+        """The rows whose number may be among ``numbers``: what a join would drop needn't be shuffled for it."""
+        wanted, at = self.spark.sparkContext.broadcast(self._bits(numbers)), rows.columns.index(column)
+
+        def run(batches):
+            for batch in batches:
+                k = batch.column(at).to_numpy() % (8 * len(wanted.value))
+                yield batch.filter(pa.array((wanted.value[k >> 3] >> (k & 7) & 1).astype(bool)))
+
+        return rows.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields))
+
     def _passing(self, met: DataFrame, shared: int) -> DataFrame:
         """The pairs of ``x`` and ``y`` (struct n, pos, key) that pass the filters and meet on ``shared`` codes, each once.
 
@@ -289,12 +300,13 @@ class Join:
         rows, sums = self.classes()
         steps = self.spark.sparkContext.broadcast(self.order(sums))
         prefix = self._stored(self.prefixes(steps), "prefixes")
-        row = prefix.select("code", F.struct(F.shiftrightunsigned("place", 32).alias("n"), F.col("place").bitwiseAND((1 << 32) - 1).alias("pos"), F.struct("k1", "k2").alias("key")).alias("y"))
+        row_of = lambda rows: rows.select("code", F.struct(F.shiftrightunsigned("place", 32).alias("n"), F.col("place").bitwiseAND((1 << 32) - 1).alias("pos"), F.struct("k1", "k2").alias("key")).alias("y"))
         # a code with one class leads nowhere; of the others, the member where it comes first
-        firsts = row.groupBy("code").agg(
+        firsts = row_of(prefix).groupBy("code").agg(
             F.min(F.struct("y.pos", "y.n", "y.key")).alias("x"), F.max(F.struct("y.pos", "y.n", "y.key")).alias("z")
         ).where("x.key != z.key").select("code", F.struct("x.n", "x.pos", "x.key").alias("x"))
-        met = self._stored(row.join(firsts, "code"), "met")
+        firsts = self._stored(firsts, "firsts")
+        met = self._stored(row_of(self._held(prefix, "code", firsts.select("code"))).join(firsts, "code"), "met")
         links = self._verified(self._passing(met, 2), steps)
 
         roots = smallest_nodes(links)
