@@ -3,8 +3,12 @@
 Every text is the first item of a worklist. An item is scanned for secrets,
 and what can be unwrapped in it becomes new items: the text with its URL
 escapes decoded, with its Unicode escapes and character references decoded,
-and the text of each base64 run, over line breaks too, decompressed if it is
-compressed: all members and streams of it, one after the other. Each layer
+and the text of each base64 run (plain or URL-safe signs), over line breaks
+too, decompressed if it is compressed: all members and streams of it, one
+after the other. What isn't text in UTF-8 counts with its readable parts of 12
+signs and more, one byte or two each: UTF-16, other encodings, members of an
+archive. Escapes of escapes lose all levels but the last in one step, so deep
+nesting takes few layers. Each layer
 keeps, for every character, the span of the original text it comes from, so
 a find in any layer is a span of the original text. A layer that was seen
 before (same text from the same place) is not scanned again; every layer is
@@ -16,7 +20,10 @@ name such as password or token, a sign and a value of 6 or more characters),
 Finds of the first layer are the base; those of deeper layers are added, a
 span that is found twice counts once. Spans are in code points, end exclusive.
 
-Null text counts as empty and has no spans. Rows are kept one by one,
+Of finds of a kind that begin at the same place in different layers, each
+different end is a span. Null text counts as empty and has no spans. An empty
+table gives an empty table; ``mask_secrets`` keeps every column, whatever its
+name, and ``find_secrets`` reads only those named. Rows are kept one by one,
 whatever their ids. Texts of any length are scanned whole. A layer that unwraps
 to more than ``MOST_HELD`` bytes is read to its end as a stream, in chunks that
 end where no find and no run goes on; held are its head and the chunk at hand,
@@ -63,7 +70,12 @@ KINDS = ("assign", "access", "hex")
 URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"(?:\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#[xX]?[0-9A-Fa-f]{1,7};|&(?:quot|apos|amp|equals|colon|lowbar|sol|plus|period|dash|hyphen);)+")
 ONE_ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|(&[^;]+;)")
-BASE64 = re.compile(r"[A-Za-z0-9+/]{16,}={0,2}|[A-Za-z0-9_-]{16,}={0,2}")
+#: One level of nested escapes: what only stands for the sign in front of the next level.
+NESTED = re.compile(r"%(?:25){2,}(?=[0-9A-Fa-f]{2})|\\(?:u005[cC]){2,}(?=u[0-9A-Fa-f]{4})|&(?:amp;){2,}(?=#?\w{1,8};)")
+BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+PLAIN64 = re.compile(r"[A-Za-z0-9+/]{16,}={0,2}")
+#: Readable parts of other bytes, long enough for the shortest find: plain, and with a zero byte behind or before each sign.
+READABLE = re.compile(rb"[\t\n\r\x20-\x7e]{12,}|(?:[\t\n\r\x20-\x7e]\x00){12,}|(?:\x00[\t\n\r\x20-\x7e]){12,}")
 LINE = re.compile(r"[A-Za-z0-9+/_-]++={0,2}")
 BREAK = re.compile(r"[ \t]*+\r?\n[ \t]*+")
 BEFORE = re.compile(r"(?<![A-Za-z0-9+/_-])([A-Za-z0-9+/_-]{1,15})[ \t]*+\r?\n[ \t]*+\Z")
@@ -276,6 +288,12 @@ def _text(raw: bytes, cut: bool = False) -> str | None:
     return text if text and _shown(text) >= 0.9 * len(text) else None
 
 
+def _readable(raw: bytes) -> str | None:
+    """The readable parts of bytes that aren't text in UTF-8: other encodings, members of archives, binary files."""
+    parts = [m.replace(b"\x00", b"").decode("ascii") for m in READABLE.findall(raw)]
+    return "\n\n".join(parts) or None
+
+
 def _shown(text: str) -> int:
     return sum(c.isprintable() or c in "\n\r\t" for c in text)
 
@@ -290,8 +308,8 @@ def _decoded(run: str) -> bytes | None:
         return None
 
 
-def _base64(run: str) -> str | _Long | None:
-    """Text of a base64 run, through any number of compressions; None if it isn't text."""
+def _base64(run: str, loose: bool = True) -> str | _Long | None:
+    """Text of a base64 run, or if ``loose`` its readable parts, through any number of compressions; None if there is none."""
     if (raw := _decoded(run)) is None:
         return None
     digest = lambda x: hashlib.blake2b(x if isinstance(x, bytes) else x.head).digest()
@@ -299,7 +317,7 @@ def _base64(run: str) -> str | _Long | None:
     while (inner := _unpacked(raw)) is not None and digest(inner) not in met:  # some archives unpack to themselves
         met.add(digest(inner))
         raw = inner
-    return _text(raw, len(met) > 1) if isinstance(raw, bytes) else raw
+    return _text(raw, len(met) > 1) or (_readable(raw) if loose else None) if isinstance(raw, bytes) else raw
 
 
 def _last_apart(text: str) -> int | None:
@@ -311,29 +329,27 @@ def _last_apart(text: str) -> int | None:
 
 
 def _kinds(content: _Long) -> set[int]:
-    """The kinds of the finds in all layers of a long content; none if it isn't text."""
-    decoder = codecs.getincrementaldecoder("utf-8")()
+    """The kinds of the finds in all layers of a long content; bytes that aren't text are signs that end a find."""
+    head = content.head[:1 << 16]
+    wide = [n for n, part in (("utf-16-le", head[1::2]), ("utf-16-be", head[::2])) if 2 * part.count(0) > len(part)]
+    decoder = codecs.getincrementaldecoder(wide[0] if wide else "utf-8")("replace")
     kinds: set[int] = set()
-    held, size, shown, total = [], 0, 0, 0
+    held, size = [], 0
 
     def scanned(text: str):
         kinds.update(kind for _, _, kind in scan(text)[1])
 
-    try:
-        for piece in content.pieces:
-            for k in range(0, len(piece), STEP):
-                text = decoder.decode(piece[k:k + STEP])
-                total, shown = total + len(text), shown + _shown(text)
-                cut = _last_apart(text) if size + len(text) >= CHUNK else None
-                held.append(text if cut is None else text[:cut])
-                size += len(text)
-                if cut is not None:
-                    scanned("".join(held))
-                    held, size = [text[cut:]], len(text) - cut
-    except UnicodeDecodeError:
-        return set()
+    for piece in content.pieces:
+        for k in range(0, len(piece), STEP):
+            text = decoder.decode(piece[k:k + STEP])
+            cut = _last_apart(text) if size + len(text) >= CHUNK else None
+            held.append(text if cut is None else text[:cut])
+            size += len(text)
+            if cut is not None:
+                scanned("".join(held))
+                held, size = [text[cut:]], len(text) - cut
     scanned("".join(held))
-    return kinds if total and shown >= 0.9 * total else set()
+    return kinds
 
 
 def _wrapped(t: str, start: int) -> list[tuple[int, int]]:
@@ -375,16 +391,21 @@ def _base64_runs(t: str) -> Iterator[tuple[int, int, str | _Long]]:
         if m.start() >= upto and len(lines := _wrapped(t, m.start())) > 1:
             upto, taken = lines[-1][1], []
             joins = [(i, j, "".join(t[a:b] for a, b in lines[i:j + 1])) for i, j in _joins(lines)]
-            for clean in (True, False):
+            for clean, loose in ((True, False), (False, False), (True, True), (False, True)):
                 for i, j, run in joins:
-                    if all(j < x or i > y for x, y in taken) and _clean(run) == clean and (inner := _base64(run)) is not None:
+                    if all(j < x or i > y for x, y in taken) and _clean(run) == clean and (inner := _base64(run, loose)) is not None:
                         taken.append((i, j))
                         yield lines[i][0], lines[j][1], inner
             runs = [(lines[i][0], lines[j][1]) for i, j in taken]
         elif m.start() >= upto:
             runs = []
-        if not any(a <= m.start() < b for a, b in runs) and (inner := _base64(m[0])) is not None:
-            yield m.start(), m.end(), inner
+        if not any(a <= m.start() < b for a, b in runs):
+            if (inner := _base64(m[0])) is not None:
+                yield m.start(), m.end(), inner
+            if "-" in m[0] or "_" in m[0]:  # a run of the plain signs beside a dash
+                for part in PLAIN64.finditer(m[0]):
+                    if (inner := _base64(part[0])) is not None:
+                        yield m.start() + part.start(), m.start() + part.end(), inner
 
 
 def scan(text: str) -> tuple[list[Span], list[Span]]:
@@ -403,10 +424,13 @@ def scan(text: str) -> tuple[list[Span], list[Span]]:
 
     def unwrap(layer: Layer):
         t = layer.text
-        if "%" in t:
-            add(_rewritten(layer, URL, _url))
-        if "\\" in t or "&" in t:
-            add(_rewritten(layer, ESCAPE, _unicode))
+        if nested := _rewritten(layer, NESTED, lambda run: (run[0], [len(run)])):
+            add(nested)  # its escapes are decoded there
+        else:
+            if "%" in t:
+                add(_rewritten(layer, URL, _url))
+            if "\\" in t or "&" in t:
+                add(_rewritten(layer, ESCAPE, _unicode))
         for start, end, inner in _base64_runs(t):
             a, b = layer.span(start, end)
             if isinstance(inner, _Long):
