@@ -29,6 +29,7 @@ ids and urls. Nothing is cut: a page may be of any length and depth.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 from typing import NamedTuple
 
@@ -144,8 +145,11 @@ def blocks(html: str) -> tuple[list[Block], list[Unit]]:
         pieces.clear()
         linked = 0
 
+    opened: Counter[str] = Counter()  # names on the stack
+
     def close(k: int):
         flush()
+        opened.subtract(x.name for x in stack[k:])
         del stack[k:]
 
     at, n, last = 0, len(html), html.rfind(">") + 1
@@ -168,12 +172,10 @@ def blocks(html: str) -> tuple[list[Block], list[Unit]]:
                 links = max(0, links - 1)
             elif name in INLINE:
                 pass
-            elif name in ("br", "p") and not any(x.name == name for x in stack):
+            elif opened[name]:
+                close(next(k for k in range(len(stack) - 1, -1, -1) if stack[k].name == name))
+            elif name in ("br", "p"):
                 flush()
-            else:
-                k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k].name == name), None)
-                if k is not None:
-                    close(k)
             continue
         attributes = m[3] or m[6] or ""
         if name in RAW:
@@ -219,6 +221,7 @@ def blocks(html: str) -> tuple[list[Block], list[Unit]]:
                 units.append(Unit(above.unit, marked or units[above.unit].marked, content, root))
             unit = starts[path]
         line = name in LINES or above.line and not own
+        opened[name] += 1
         stack.append(Open(name, path, unit, dead, content, line, name in HEADINGS or above.heading and not own))
     flush()
     return found, units
