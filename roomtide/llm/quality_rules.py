@@ -18,6 +18,7 @@ of any length are taken whole. Without rows the estimate is the start value.
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -111,9 +112,13 @@ class Estimate:
         return 1 / (1 + F.exp(-self.log_odds()))
 
 
-def estimate(patterns: DataFrame, rules: Sequence[str], steps: int = 30, prior_rows: float = 10.0) -> Estimate:
-    """Expectation-maximisation over vote patterns and their ``n``; each share is smoothed with ``prior_rows`` rows of its start value."""
-    found, start = Estimate(rules), Estimate(rules)
+def estimate(patterns: DataFrame, rules: Sequence[str], steps: int = 300, prior_rows: float = 10.0, tolerance: float = 1e-6) -> Estimate:
+    """Expectation-maximisation over vote patterns and their ``n``; each share is smoothed with ``prior_rows`` rows of its start value.
+
+    It ends when no share of a vote, nor that of good texts, moves by
+    ``tolerance``; a warning says so if it hasn't after ``steps``.
+    """
+    found, start, moved = Estimate(rules), Estimate(rules), math.inf
     for _ in range(steps):
         weighed = patterns.withColumn("p", found.posterior())
         sums = [F.coalesce(F.sum(F.col("n") * F.col("p")), F.lit(0.0)).alias("good"), F.coalesce(F.sum("n"), F.lit(0)).alias("all")]
@@ -122,14 +127,17 @@ def estimate(patterns: DataFrame, rules: Sequence[str], steps: int = 30, prior_r
                 here = F.when(F.col(r) == v, F.col("n")).otherwise(0)
                 sums += [F.coalesce(F.sum(here * F.col("p")), F.lit(0.0)).alias(f"{r}_{v}_1"), F.coalesce(F.sum(here * (1 - F.col("p"))), F.lit(0.0)).alias(f"{r}_{v}_0")]
         row = weighed.agg(*sums).first()
-        good, everything, before = row["good"], row["all"], found.good
+        good, everything, before = row["good"], row["all"], found
         found = Estimate(rules)
         found.good = (good + prior_rows * start.good) / (everything + prior_rows)
         for r in rules:
             for y, size in ((1, good), (0, everything - good)):
                 found.shares[r][y] = {v: (row[f"{r}_{v}_{y}"] + prior_rows * start.shares[r][y][v]) / (size + prior_rows) for v in (-1, 0, 1)}
-        if abs(found.good - before) < 1e-6:
+        moved = max(abs(found.good - before.good), *(abs(found.shares[r][y][v] - before.shares[r][y][v]) for r in rules for y in (0, 1) for v in (-1, 0, 1)))
+        if moved < tolerance:
             break
+    if moved >= tolerance:
+        warnings.warn(f"after {steps} steps a share still moves by {moved:.3g}", stacklevel=2)
     return found
 
 

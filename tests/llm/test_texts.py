@@ -1,9 +1,14 @@
 import base64
 import bz2
 import gzip
+import io
 import lzma
+import math
 import re
+import tarfile
+import time
 import zlib
+from collections import Counter
 from urllib.parse import quote
 
 import pytest
@@ -92,8 +97,13 @@ def test_content_behind_the_held_bytes_is_read(monkeypatch, compress):
     long = "é, plain words. " * 20_000 + SECRET + ", " + "words, é " * 20_000 + nested
     wrapped = base64.b64encode(compress(gzip.compress(long.encode()))).decode()
     assert secret_scan.scan(f"x {wrapped}")[1] == [(2, 2 + len(wrapped), 0), (2, 2 + len(wrapped), 1)]
-    binary = base64.b64encode(compress(long.encode() + b"\xff\xfe")).decode()
+    # two bytes that aren't text don't hide what is; nothing is found in bytes without readable parts
+    mixed = base64.b64encode(compress(long.encode() + b"\xff\xfe")).decode()
+    assert secret_scan.scan(mixed)[1] == [(0, len(mixed), 0), (0, len(mixed), 1)]
+    binary = base64.b64encode(compress(bytes(range(128, 256)) * 2000)).decode()
     assert secret_scan.scan(binary)[1] == []
+    wide = base64.b64encode(compress(("words, " * 20_000 + SECRET).encode("utf-16-le"))).decode()
+    assert [k for _, _, k in secret_scan.scan(wide)[1]] == [0]
 
 
 @pytest.mark.parametrize("newline", ["\n", "\r\n", "\n    "])
@@ -137,13 +147,13 @@ def test_rule_counts(documents, odd, empty):
         def counts(t):
             words = re.findall(r"[^\x20\x09-\x0D]+", t)
             grams = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
-            seen = {g for g in grams if grams.count(g) > 1} if len(grams) < 4000 else set(grams)
+            seen = {g for g, c in Counter(grams).items() if c > 1}
             covered = {i + k for i, g in enumerate(grams) if g in seen for k in range(3)}
             lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
             return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(covered)
 
-        expected = sorted(counts(r.text or "") for r in df.where("length(text) < 30000 or text is null").collect())
-        assert sorted((r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in rows if r.word_chars < 24000) [: len(expected)] == expected or len(expected) < len(rows)
+        expected = sorted(counts(r.text or "") for r in df.collect())
+        assert sorted((r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in rows) == expected
         assert all(r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words) and not (r.base_failed and r.kept) for r in rows)
     assert quality_rules.judge(empty).count() == 0
 
@@ -172,3 +182,84 @@ def test_classifier_edge_cases(spark, odd, empty, documents):
     assert all(0 <= r.score <= 1 for r in quality_classifier.score(odd, model).collect())
     assert quality_classifier.keep_good(odd, model).columns == odd.columns
     assert quality_classifier.score(empty, model).count() == 0 and quality_classifier.learn(empty, labels.where("false")) is None
+
+
+HIDDEN = "password=hunter2secret"
+
+
+def _archive():
+    out = io.BytesIO()
+    with tarfile.open(fileobj=out, mode="w:gz") as archive:
+        for name, data in (("blob", bytes(range(256)) * 3), ("app.env", HIDDEN.encode())):
+            member = tarfile.TarInfo(name)
+            member.size = len(data)
+            archive.addfile(member, io.BytesIO(data))
+    return out.getvalue()
+
+
+@pytest.mark.parametrize("run", [
+    base64.urlsafe_b64encode(("~~~???>>>" + HIDDEN + " ~~~???").encode()).decode(),
+    base64.urlsafe_b64encode(("twenty plain signs before it " + HIDDEN + "\u00ff\u00bf\u00ff").encode()).decode(),
+    base64.b64encode(HIDDEN.encode("utf-16-le")).decode(),
+    base64.b64encode(("a " + HIDDEN).encode("utf-16-be")).decode(),
+    base64.b64encode(("contrase\u00f1a \u00e9 \u00fc " + HIDDEN).encode("latin-1")).decode(),
+    base64.b64encode(b"\x00\x01\xff\xfe" * 40 + HIDDEN.encode() + b"\xff\x80").decode(),
+    base64.b64encode(_archive()).decode(),
+])
+def test_secrets_in_other_encodings_and_archives(run):
+    text = f"see '{run}' there"
+    assert ("assign" in secret_scan.written(secret_scan.scan(text)[1])) and (5, 5 + len(run), 0) in secret_scan.scan(text)[1]
+
+
+def test_plain_run_behind_a_dash():
+    run = base64.b64encode(b"it is " + HIDDEN.encode()).decode()
+    assert (3, 3 + len(run), 0) in secret_scan.scan(f"ab-{run}")[1]
+
+
+@pytest.mark.parametrize("front, level, last", [("%", "25", "70"), ("\\", "u005c", "u0070"), ("&", "amp;", "#x70;")])
+def test_deeply_nested_escapes_take_linear_time(front, level, last):
+    for depth in (1, 2, 3, 20_000):
+        text = "x " + front + level * depth + last + "assword=hunter2secret"
+        start = time.perf_counter()
+        assert (2, len(text), 0) in secret_scan.scan(text)[1]
+        assert time.perf_counter() - start < 2
+
+
+def test_unmatched_end_tags_take_linear_time():
+    start = time.perf_counter()
+    assert html_text.main_text("<div>" * 16_000 + "A text." + "</section>" * 16_000 + "</div>" * 16_000) == "A text."
+    assert time.perf_counter() - start < 3
+
+
+def test_estimate_equals_brute_force(spark):
+    """The steps over vote patterns, row by row in plain Python, to the same end."""
+    rules = ["vote_a", "vote_b", "vote_c"]
+    table = [(-1, -1, 0, 40), (1, 0, 1, 300), (1, 1, 1, 200), (0, -1, -1, 25), (0, 0, 0, 60), (1, -1, 1, 9)]
+    patterns = spark.createDataFrame(table, "vote_a int, vote_b int, vote_c int, n bigint")
+    start = quality_rules.Estimate(rules)
+    good, shares = start.good, {r: {y: dict(start.shares[r][y]) for y in (0, 1)} for r in rules}
+
+    def posterior(votes):
+        p = [1 - good, good]
+        for y in (0, 1):
+            for r, v in zip(rules, votes):
+                p[y] *= shares[r][y][v]
+        return p[1] / sum(p)
+
+    for _ in range(300):
+        ps = [posterior(row[:3]) for row in table]
+        weight = [sum(row[3] * (1 - p) for row, p in zip(table, ps)), sum(row[3] * p for row, p in zip(table, ps))]
+        new = {r: {y: {v: (sum(row[3] * (p if y else 1 - p) for row, p in zip(table, ps) if row[k] == v) + 10 * start.shares[r][y][v]) / (weight[y] + 10) for v in (-1, 0, 1)} for y in (0, 1)} for k, r in enumerate(rules)}
+        new_good = (weight[1] + 10 * start.good) / (sum(weight) + 10)
+        moved = max(abs(new_good - good), *(abs(new[r][y][v] - shares[r][y][v]) for r in rules for y in (0, 1) for v in (-1, 0, 1)))
+        good, shares = new_good, new
+        if moved < 1e-6:
+            break
+    found = quality_rules.estimate(patterns, rules)
+    assert found.good == pytest.approx(good, abs=1e-9)
+    assert all(found.shares[r][y][v] == pytest.approx(shares[r][y][v], abs=1e-9) for r in rules for y in (0, 1) for v in (-1, 0, 1))
+    got = {(r.vote_a, r.vote_b, r.vote_c): r.p for r in patterns.withColumn("p", found.posterior()).collect()}
+    assert all(got[row[:3]] == pytest.approx(posterior(row[:3]), abs=1e-9) for row in table)
+    with pytest.warns(UserWarning, match="still moves"):
+        quality_rules.estimate(patterns, rules, steps=2)
+    assert math.isfinite(quality_rules.estimate(patterns.where("false"), rules).good)
