@@ -27,6 +27,9 @@ only decides how much work is left, not what is found.
 Which links are verified suffices for every component and every link between
 components; pairs inside a component that is already connected aren't counted.
 
+An empty table has an empty result. Texts of any length are taken whole: a text
+is held with its words and its set while it is at hand. Only the columns named
+are read, so other columns can't clash; ``first_of_each`` keeps every column.
 Null text counts as empty; a text without words has an empty set and links
 with nothing. Rows are kept one by one: ids may repeat or be null, then a
 component is known by its smallest id that isn't null.
@@ -341,7 +344,7 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", widt
 
 
 def first_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 3, percent: int = 90) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component; rows with a null id go only if their component has another."""
+    """The rows of ``docs`` whose id is the smallest of its component, and all rows with a null id."""
     found = components(docs, doc_id, text, width, percent).select(F.col("doc_id").alias("__id"), F.col("component_id").alias("__component")).distinct()
     lost = found.where("__id is not null and __id != __component").select("__id")
     return docs.join(lost, docs[doc_id] == F.col("__id"), "left_anti")

@@ -199,29 +199,53 @@ def ask(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(asked, "block bigint, kind tinyint, key bigint, learned bigint")
 
 
+class Index:
+    """The places of distinct 64-bit keys; keys lie sorted by the upper bits of a product, so a look-up is a step or two."""
+
+    def __init__(self, keys: np.ndarray):
+        bits = max(1, int(len(keys)).bit_length() + 1)
+        self.shift = np.uint64(64 - bits)
+        cells = self.cell(keys)
+        self.order = np.argsort(cells, kind="stable")
+        self.keys = np.append(keys[self.order], np.int64(0))
+        self.starts = np.concatenate([[0], np.cumsum(np.bincount(cells, minlength=1 << bits))]).astype(np.int32)
+
+    def cell(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        """The places of the keys among those sorted; every key must be there."""
+        cells = self.cell(keys)
+        at = self.starts[cells]
+        left = np.flatnonzero(self.keys[at] != keys)
+        while len(left):
+            at[left] += 1
+            if (at[left] >= self.starts[cells[left] + 1]).any():
+                raise ValueError("a block holds what it didn't ask for: the input changed between two reads")
+            left = left[self.keys[at[left]] != keys[left]]
+        if len(keys) and (at >= self.starts[cells + 1]).any():
+            raise ValueError("a block holds what it didn't ask for: the input changed between two reads")
+        return at
+
+
 class Scorer:
-    """A block's answers: sorted grams with their logs, sorted words with their counts."""
+    """A block's answers: grams with their logs, words with their counts."""
 
     def __init__(self, answers: pa.Table, tokens: int, distinct: int):
         kind, key, value = (answers.column(c).to_numpy() for c in ("kind", "key", "value"))
-        self.of = {}
+        self.index, self.value = {}, {}
         for k in (GRAM, WORD):
             mine = kind == k
-            order = np.argsort(key[mine], kind="stable")
-            self.of[k] = key[mine][order], value[mine][order]
-        words, counts = self.of[WORD]
-        self.of[WORD] = words, np.log10((counts + 0.1) / (tokens + 0.1 * (distinct + 1))), counts > 0
-
-    def found(self, kind: int, keys: np.ndarray) -> np.ndarray:
-        at = np.searchsorted(self.of[kind][0], keys)
-        if len(keys) and (at.max() >= len(self.of[kind][0]) or (self.of[kind][0][at] != keys).any()):
-            raise ValueError("a block holds what it didn't ask for: the input changed between two reads")
-        return at
+            self.index[k] = Index(np.ascontiguousarray(key[mine]))
+            self.value[k] = value[mine][self.index[k].order]
+        counts = self.value[WORD]
+        self.value[WORD] = np.log10((counts + 0.1) / (tokens + 0.1 * (distinct + 1)))
+        self.known = (counts > 0).astype(np.int64)
 
     def scores(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Per text: the log10 probability, words and end, how many are known, and their log10 probability."""
         codes, begins = grams(texts)
-        score = np.add.reduceat(self.of[GRAM][1][self.found(GRAM, codes)], begins)
+        score = np.add.reduceat(self.value[GRAM][self.index[GRAM].of(codes)], begins)
         words = [t.split() for t in texts]
         lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
         starts = np.cumsum(lengths) - lengths
@@ -229,9 +253,8 @@ class Scorer:
         inside = np.ones(len(keys), bool)
         inside[starts + lengths - 1] = False
         keys[inside] = _HASHES.of([w for found in words for w in found])
-        at = self.found(WORD, signed(keys))
-        _, logs, known = self.of[WORD]
-        return score, lengths, np.add.reduceat(known[at].astype(np.int64), starts), np.add.reduceat(logs[at], starts)
+        at = self.index[WORD].of(signed(keys))
+        return score, lengths, np.add.reduceat(self.known[at], starts), np.add.reduceat(self.value[WORD][at], starts)
 
 
 def score(
