@@ -52,7 +52,7 @@ STAGES = [
     ("BPE encoding and decoding", token_ids),
 ]
 
-#: The classifier and the encoder can't be expressed in SQL; tests/llm holds the pipeline against brute force.
+#: The classifier and the encoder can't be expressed in SQL; tests/llm holds every stage and the whole against brute force.
 ORACLE_SQL = None
 
 
