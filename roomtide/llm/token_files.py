@@ -34,6 +34,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -64,7 +65,7 @@ class LibraryEncoder:
     full. The ids are those of the whole text.
     """
 
-    def __init__(self, path: str, capacity: int = 600_000):
+    def __init__(self, path: str, capacity: int = 250_000):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
@@ -120,7 +121,7 @@ class LibraryEncoder:
         """The same for texts without special tokens."""
         cuts = [t.split(" ") for t in texts]
         firsts = [c[0] for c in cuts]
-        distinct = set().union(*(c[1:] for c in cuts))
+        distinct = set().union(*cuts)
         if len(self.pieces) + len(distinct) > self.capacity:
             self.pieces, self.older = {}, self.pieces
         if len(self.tokens) > self.capacity // 8:
@@ -130,9 +131,9 @@ class LibraryEncoder:
         self.pieces.update(back)
         self.learn(new.difference(back), [f for f in firsts if f])
         known, out = self.pieces.__getitem__, []
-        for text, first, (_, *rest) in zip(texts, firsts, cuts):
+        for text, first, pieces in zip(texts, firsts, cuts):
             try:
-                out.append((self.joined(self.find(first)) if first else b"") + b"".join(map(known, rest)))
+                out.append((self.joined(self.find(first)) if first else b"") + b"".join(map(known, islice(pieces, 1, None))))
             except KeyError:  # a space before white space or at the end: the text isn't cut
                 out.append(self.joined(self.find(text)))
         return out
