@@ -17,7 +17,8 @@ then weighed as a whole:
 - threshold: ``share`` of the best path's weighted ratio. It decides all paths, in and outside of ``article``.
 
 Paths through elements that never hold main text (menus, footers, scripts ...) and hidden ones have ratio zero, as
-does inline text whose own class or id names boilerplate.
+does inline text whose own class or id names boilerplate, unless its element marks words of a sentence (``STRESS``:
+emphasis, code, citations ...), which stay with their block.
 
 A block ends at any block element's tag and at ``br``. Character references
 are decoded, white space inside a block becomes one space, and blocks are
@@ -45,6 +46,8 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small "
     "span strike strong sub sup time tt u var wbr img input".split()
 )
+#: Inline elements that say something about the words in them, whatever their class.
+STRESS = frozenset("abbr b bdi bdo big cite code data del dfn em i ins kbd mark q s samp strike strong sub sup time tt u var".split())
 NEVER = frozenset(
     "head nav footer aside menu dialog button select option fieldset datalist object applet audio video canvas map".split()
 ) | RAW
@@ -189,8 +192,9 @@ def blocks(html: str) -> tuple[list[Block], list[Unit]]:
         if name == "a":
             links += 1
         if name in INLINE:
-            if any(_label(name, attributes)[1:]) and name not in VOID and (over := end_of(name, at)):
-                at = over  # marked inline text
+            _, marked, hidden = _label(name, attributes)
+            if (hidden or marked and name not in STRESS) and name not in VOID and (over := end_of(name, at)):
+                at = over
                 links -= name == "a" and links > 0
             continue
         flush()

@@ -263,3 +263,9 @@ def test_estimate_equals_brute_force(spark):
     with pytest.warns(UserWarning, match="still moves"):
         quality_rules.estimate(patterns, rules, steps=2)
     assert math.isfinite(quality_rules.estimate(patterns.where("false"), rules).good)
+
+
+def test_marked_words_of_a_sentence_stay():
+    page = "<article><p>An <em class='notice'>important remark</em> here, and <b id=\"related\">one more</b>.<span class='share'>Share</span></p><p>A second line.</p></article>"
+    assert html_text.main_text(page) == "An important remark here, and one more.\nA second line."
+    assert html_text.main_text("<article><p>Seen <i hidden>not this</i> and this.</p></article>") == "Seen and this."
