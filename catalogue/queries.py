@@ -230,11 +230,12 @@ def _curve_query(curve: Callable, dims: list[str], cancelled: bool | None) -> Qu
 
 
 def _net_query(dims: list[str]) -> Query:
-    """Pickup by joining a finished booking curve with a finished cancel curve."""
+    """Pickup by joining a finished booking curve with a finished cancel curve, both of the stored area totals."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        booked = curves.booking_curve(_area_rows(spark, sf_dir), dims)
-        gone = curves.cancel_curve(_area_rows(spark, sf_dir, True), dims)
-        return rounded(curves.net_curve(booked, gone, dims))
+        path = scratch_path(spark, "area")
+        write_parquet(_area_totals(spark, sf_dir), path)
+        area_rows = read_parquet(spark, path)
+        return rounded(curves.net_curve(curves.booking_curve(area_rows, dims), curves.cancel_curve(area_rows, dims), dims))
 
     return run
 

@@ -97,9 +97,9 @@ def segment_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _forecast(spark: SparkSession, sf_dir: str, lines: str, measure: str) -> DataFrame:
+def _forecast(spark: SparkSession, sf_dir: str, measure: str) -> DataFrame:
     return (
-        table(spark, sf_dir, "lineitem").where(lines)
+        table(spark, sf_dir, "lineitem")
         .selectExpr(HOTEL, SEGMENT, LIVE, ADVANCE, f"{measure} as measure")
         .groupBy("htl_cd", "seg_cd", "live_dt", "adv_days")
         .agg(F.sum("measure").alias("rns"))
@@ -107,15 +107,15 @@ def _forecast(spark: SparkSession, sf_dir: str, lines: str, measure: str) -> Dat
 
 
 def actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _forecast(spark, sf_dir, "true", "l_quantity")
+    return _forecast(spark, sf_dir, "l_quantity")
 
 
 def long_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _forecast(spark, sf_dir, "true", "l_quantity + l_linenumber")
+    return _forecast(spark, sf_dir, "l_quantity + l_linenumber")
 
 
 def short_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _forecast(spark, sf_dir, "true", "l_quantity * (l_partkey % 3 + 1)")
+    return _forecast(spark, sf_dir, "l_quantity * (l_partkey % 3 + 1)")
 
 
 def fixed_totals(spark: SparkSession, sf_dir: str) -> DataFrame:

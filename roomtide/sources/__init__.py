@@ -1,4 +1,5 @@
 from roomtide.sources.readers import (
+    Ranges,
     dated_path,
     read_delimited,
     read_jdbc,
@@ -12,7 +13,7 @@ from roomtide.sources.versions import BUCKETS, manifest, prune, publish_version,
 from roomtide.sources.writers import write_delimited, write_parquet, write_partitioned
 
 __all__ = [
-    "BUCKETS", "dated_path", "manifest", "prune", "publish_version", "read_delimited", "read_jdbc", "read_lines",
+    "BUCKETS", "Ranges", "dated_path", "manifest", "prune", "publish_version", "read_delimited", "read_jdbc", "read_lines",
     "read_named_fields", "read_parquet", "read_snapshot", "read_version", "snapshot_key", "versions",
     "write_delimited", "write_parquet", "write_partitioned",
 ]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -69,30 +70,39 @@ def read_snapshot(
     return spark.read.parquet(root).where(F.col("dt").cast("string") == snapshot_key(dt, as_of)).drop("dt")
 
 
+@dataclass(frozen=True)
+class Ranges:
+    """How a database table is split: a numeric, date or timestamp column, cut into equal ranges from ``lower`` to ``upper``.
+
+    Rows outside are read too, with the first or last range.
+    """
+
+    column: str
+    lower: str
+    upper: str
+    partitions: int
+
+
 def read_jdbc(
-    spark: SparkSession,
-    url: str,
-    table: str,
-    user: str,
-    password: str,
-    partition_column: str | None = None,
-    bounds: tuple[str, str] | None = None,
-    partitions: int = 1,
-    **options: str,
+    spark: SparkSession, url: str, table: str, user: str, password: str, split: Ranges | None, **options: str
 ) -> DataFrame:
-    """A database table; with a partition column it is read by parallel range queries."""
+    """A database table, read by one query for each range of ``split``.
+
+    There is no default for ``split``: None says that one task is to read the
+    whole table, which holds for small tables alone.
+    """
     reader = (
         spark.read.format("jdbc")
         .option("url", url).option("dbtable", table)
         .option("user", user).option("password", password)
         .options(**options)
     )
-    if partition_column:
-        if bounds is None:
-            raise ValueError("a partitioned JDBC read needs bounds")
+    if split is not None:
+        if split.partitions < 2:
+            raise ValueError("one range isn't a split; say None for one task")
         reader = (
-            reader.option("partitionColumn", partition_column)
-            .option("lowerBound", bounds[0]).option("upperBound", bounds[1])
-            .option("numPartitions", partitions)
+            reader.option("partitionColumn", split.column)
+            .option("lowerBound", split.lower).option("upperBound", split.upper)
+            .option("numPartitions", split.partitions)
         )
     return reader.load()

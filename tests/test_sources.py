@@ -7,7 +7,7 @@ from pyspark.sql import functions as F, types as T
 from roomtide.model import area_orders_layout, text_layout
 from roomtide.session import scratch_path
 from roomtide.sources import (
-    dated_path, read_delimited, read_jdbc, read_lines, read_named_fields, read_parquet, read_snapshot, snapshot_key,
+    Ranges, dated_path, read_delimited, read_jdbc, read_lines, read_named_fields, read_parquet, read_snapshot, snapshot_key,
     write_delimited, write_parquet, write_partitioned,
 )
 
@@ -109,9 +109,11 @@ def test_dated_path():
     assert dated_path("/p/orders/", "now", date(2016, 5, 12)) == "/p/orders/20160511"
 
 
-def test_partitioned_jdbc_read_needs_bounds(spark):
+def test_a_jdbc_read_says_how_it_is_split(spark):
+    with pytest.raises(TypeError):
+        read_jdbc(spark, "jdbc:none", "t", "u", "p")
     with pytest.raises(ValueError):
-        read_jdbc(spark, "jdbc:none", "t", "u", "p", partition_column="id", partitions=4)
+        read_jdbc(spark, "jdbc:none", "t", "u", "p", Ranges("id", "0", "9", 1))
 
 
 def test_partitioned_write_rebalances_by_folder(spark, plan):
