@@ -10,7 +10,9 @@ concatenates the vocabulary's byte strings.
 Null text counts as empty: no ids. Special tokens of the vocabulary file are
 matched in the text as the tokenizers library does by default. Rows are kept
 one by one, whatever their ids; other columns are kept by ``encode`` and
-``decode`` unless they have the name of an output, which replaces them.
+``decode`` unless they have the name of an output, which replaces them. Of
+merges with one rank the leftmost comes first. An empty table gives an empty
+table. A text of any length is encoded whole, while it is at hand.
 """
 
 from __future__ import annotations

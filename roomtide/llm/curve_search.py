@@ -23,7 +23,8 @@ Vectors that are null, zero, of another length than most (the commonest,
 ties to the longer), or that hold null or non-finite components take no
 part. Ids may be any numbers; a null id is no candidate and no query; rows
 that repeat an id and vector count once. A query's own id is never its
-neighbour.
+neighbour. Without points or queries the answer is empty. Only the columns
+named are read, so other columns can't clash.
 """
 
 from __future__ import annotations

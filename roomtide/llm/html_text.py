@@ -24,7 +24,10 @@ A block ends at any block element's tag and at ``br``. Character references
 are decoded, white space inside a block becomes one space, and blocks are
 joined by a newline. Null html counts as empty; an empty page, and a page
 without content, has empty text. Rows are kept one by one, whatever their
-ids and urls. Nothing is cut: a page may be of any length and depth.
+ids and urls. Nothing is cut: a page may be of any length and depth; it is
+held whole. Paths with equal ratios are decided alike, so there are no ties to
+break. An empty table gives an empty table. Only the columns named are read,
+so other columns can't clash.
 """
 
 from __future__ import annotations

@@ -21,7 +21,11 @@ whose crc32 leaves remainder 0 by ``folds`` are never read.
 Null text counts as empty, an empty text has a score. A null id is in the
 held-out fold and is never learned from. An id with several labels is a
 positive if all of them are good. Without positives, or without unlabelled
-text, nothing is learned and every score is 0.5. Rows are kept one by one.
+text, nothing is learned and every score is 0.5. Rows are kept one by one;
+equal texts get equal scores, and of equal hashes the smaller id is taken into
+the sample first. An empty table gives an empty table. A text of any length is
+described whole, while it is at hand. ``score`` reads only the columns named;
+``keep_good`` keeps every column, whatever its name.
 """
 
 from __future__ import annotations

@@ -13,6 +13,10 @@ Only DataFrame functions are used. Words are runs of anything but space and
 0x09-0x0D; counts are of code points. Null text counts as empty: no words, so
 the base rules fail. Rows are kept one by one, whatever their ids. Texts
 of any length are taken whole. Without rows the estimate is the start value.
+Equal texts get equal verdicts; a posterior equal to ``threshold`` is kept.
+Windows of words are compared by 64-bit hashes within a text: among a million
+windows, the chance of a false repeat is 3 in 10^8. Only the columns named are
+read, so other columns can't clash.
 """
 
 from __future__ import annotations

@@ -23,7 +23,11 @@ Reading moves no data between tasks: a block knows the tokens before it in its
 part, and the parts' sums, one row for each task that wrote, go to all tasks.
 
 Null text counts as empty. Null ids come first. Rows that share an id are
-ordered by their ids' checksum and stay separate documents.
+ordered by their ids' checksum and stay separate documents; equal rows are
+equal documents one after another. An empty table gives files without blocks,
+which read as an empty table. A text is held whole with its ids while it is
+encoded, in parts of ``LONG`` characters; a frame longer than a block is a
+block of its own. Only the columns named are read, so others can't clash.
 """
 
 from __future__ import annotations
