@@ -28,12 +28,14 @@ import warnings
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from roomtide.session import scratch_path
 
 #: Largest gap between a margin and its target, both as shares, that counts as none; what a sweep must leave of the gap at most to go on.
 TOLERANCE, NARROWER = 1e-12, 0.9999
+#: Sweeps of one plan.
+AT_ONCE = 8
 
 
 def token_count(text: Column) -> Column:
@@ -76,43 +78,46 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int | None = N
     """``cells`` (dimensions and ``tokens``) with ``weight``, scaled to the targets' shares.
 
     ``targets`` holds for each dimension a table of ``value`` and ``share``.
-    Every step sums before it shuffles and joins one row for each value; a
-    sweep over all dimensions is stored, which cuts the lineage. ``sweeps``
-    bounds their number; by default they go on while they narrow the gap.
+    A cell carries the shares of its values, so a step is a sum over the cells
+    of each value and needs no join; ``AT_ONCE`` sweeps over all dimensions
+    are one plan, which is stored, and its gap is one more job. The steps work
+    on cells alone, of which there are as many as combinations of values.
+    ``sweeps`` bounds their number; by default they go on while they narrow the gap.
     """
-    raked = _stored(cells.withColumn("weight", F.col("tokens").cast("double")), "cells")
-    wanted = {}
+    names = {name: f"__share{k}" for k, name in enumerate(targets)}
+    raked = cells.withColumn("weight", F.col("tokens").cast("double"))
     for name, target in targets.items():
         present = cells.groupBy(F.col(name).alias("value")).agg(F.sum("tokens").alias("t")).where("t > 0")
         shares = present.join(target.withColumnRenamed("value", "v"), F.col("value").eqNullSafe(F.col("v"))).select("value", F.col("share").cast("double").alias("share"))
+        shares = _stored(shares, "targets")
         whole = shares.agg(F.sum("share")).first()[0]
-        wanted[name] = _stored(shares.select("value", (F.col("share") / F.lit(whole)).alias("share")), "targets")
-    left, done = gap(raked, wanted), 0
+        wanted = shares.select(F.col("value").alias("__value"), (F.col("share") / F.lit(whole)).alias(names[name]))
+        raked = raked.join(wanted, F.col(name).eqNullSafe(F.col("__value")), "left").drop("__value").withColumn(names[name], F.coalesce(names[name], F.lit(0.0)))
+    raked = _stored(raked, "cells")
+    left, done = gap(raked, names), 0
     while left > TOLERANCE and done != sweeps:
-        for name, target in wanted.items():
-            now = raked.groupBy(F.col(name).alias("__value")).agg(F.sum("weight").alias("__sum"))
-            factors = now.join(target, F.col("__value").eqNullSafe(F.col("value")), "left").select("__value", F.when(F.col("__sum") > 0, F.coalesce("share", F.lit(0.0)) / F.col("__sum")).otherwise(0.0).alias("__factor"))
-            raked = raked.join(factors, F.col(name).eqNullSafe(F.col("__value"))).withColumn("weight", F.col("weight") * F.col("__factor")).drop("__value", "__factor")
+        now = AT_ONCE if sweeps is None else min(AT_ONCE, sweeps - done)
+        for _ in range(now):
+            for name, share in names.items():
+                of_value = F.sum("weight").over(Window.partitionBy(name))
+                raked = raked.withColumn("weight", F.when(of_value > 0, F.col("weight") * F.col(share) / of_value).otherwise(0.0))
         raked = _stored(raked, "cells")
-        before, left, done = left, gap(raked, wanted), done + 1
-        if done > 1 and left > NARROWER * before:
+        before, left, done = left, gap(raked, names), done + now
+        if done > now and left > NARROWER**now * before:
             break
     if left > TOLERANCE:
         warnings.warn(f"after {done} sweeps a margin is {left:.3g} off its target", stacklevel=2)
-    return raked
+    return raked.drop(*names.values())
 
 
-def gap(raked: DataFrame, shares: dict[str, DataFrame]) -> float:
-    """The largest gap between a margin and its target (``value``, ``share``) in all dimensions, 0 without weights."""
-    whole = raked.agg(F.sum("weight")).first()[0]
-    if not whole:
+def gap(raked: DataFrame, shares: dict[str, str]) -> float:
+    """The largest gap between a margin and its target in all dimensions, 0 without weights; ``shares`` names the column of a dimension's target."""
+    parts = [raked.groupBy(name).agg(F.sum("weight").alias("now"), F.max(share).alias("share")).select("now", "share") for name, share in shares.items()]
+    if not parts:
         return 0.0
-    parts = []
-    for name, target in shares.items():
-        sums = raked.groupBy(F.col(name).alias("__value")).agg((F.sum("weight") / F.lit(whole)).alias("__share"))
-        both = sums.join(target, F.col("__value").eqNullSafe(F.col("value")), "full")
-        parts.append(both.agg(F.max(F.abs(F.coalesce("__share", F.lit(0.0)) - F.coalesce("share", F.lit(0.0)))).alias("gap")))
-    return reduce(DataFrame.unionByName, parts).agg(F.max("gap")).first()[0] or 0.0 if parts else 0.0
+    whole = raked.agg(F.sum("weight")).scalar()
+    every = reduce(DataFrame.unionByName, parts).withColumn("whole", whole)
+    return every.where("whole > 0").agg(F.max(F.abs(F.col("now") / F.col("whole") - F.col("share")))).first()[0] or 0.0
 
 
 def margins(raked: DataFrame, dimension: str) -> DataFrame:
