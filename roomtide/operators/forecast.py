@@ -13,7 +13,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from roomtide.functions import packed_pair
-from roomtide.operators.intervals import best_covering
+from roomtide.operators.intervals import with_best
 from roomtide.operators.reference import DEFAULT_INVENTORY_FIELD
 
 # The label of the summed segment, the matrix columns, the share of
@@ -94,10 +94,10 @@ def date_tags(
     }[mode]
     codes = special_days.groupBy(F.col("day").alias("live_dt")).agg(F.min("day_code").alias("day_code"))
     best = F.struct("start_dt", "end_dt", "season_id")
-    seasons = best_covering(dates, "live_dt", season_runs, "start_dt", "end_dt", best, ["htl_cd"])
+    seasons = with_best(dates, "live_dt", season_runs, "start_dt", "end_dt", best, ["htl_cd"])
     season = F.coalesce(F.col("best.season_id").cast("string"), F.lit("0"))
     return (
-        dates.join(seasons, ["htl_cd", "live_dt"], "left").join(codes, "live_dt", "left")
+        seasons.join(codes, "live_dt", "left")
         .select(
             "htl_cd", "live_dt",
             F.coalesce(F.concat(F.lit("H"), F.col("day_code").cast("string")), F.concat(F.lit("S"), season, part)).alias("tag"),

@@ -4,15 +4,20 @@ An interval of days is cut into blocks of 1, 16, 256, ... days, aligned to
 multiples of their length: at most 30 of each length, and of the longest as
 many as it takes. A day lies in one block of each length. So days and
 intervals meet by equality of key, length and block, whatever the intervals'
-lengths and however many of them overlap: a block keeps only its best
-interval, found with partial sums before anything is shuffled.
+lengths and however many of them overlap: a block has one best interval,
+whose place among the others of the block is a window's matter. Days and
+intervals of a key move once, whole; their blocks are made where they are used.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from roomtide.session import dealt
 
 # Blocks of 16 ** 0 to 16 ** TOP days.
 BITS, TOP = 4, 4
@@ -55,14 +60,34 @@ def blocks_of_day(day: Column) -> Column:
 
 
 def best_covering(days: DataFrame, day: str, intervals: DataFrame, start: str, end: str, best: Column, keys: Sequence[str]) -> DataFrame:
-    """(keys, day, best): the largest ``best`` of the intervals of a key that hold the day; without one there is no row.
+    """(keys, day, best): the largest ``best`` of the intervals of a key that hold the day; without one there is no row."""
+    return with_best(days, day, intervals, start, end, best, keys).where(F.col("best").isNotNull())
+
+
+def with_best(days: DataFrame, day: str, intervals: DataFrame, start: str, end: str, best: Column, keys: Sequence[str]) -> DataFrame:
+    """(keys, day, best) of every day, ``best`` being null where no interval of the key holds it.
 
     ``days`` are distinct (keys, day). ``best`` is an expression over
-    ``intervals``; an interval that ends before it starts covers nothing.
+    ``intervals``, never null; an interval that ends before it starts covers
+    nothing, nor does one with a null key. Days and intervals are dealt
+    together, by their keys, before either is cut into blocks: what the
+    blocks make of them never moves, and no side is small enough to look
+    like a broadcast to Catalyst, which does not see how many blocks an
+    interval has. The partitions are not merged, for their rows grow.
     """
-    pieces = (
-        intervals.where(F.col(end) >= F.col(start)).select(*keys, best.alias("best"), F.explode(blocks(F.col(start), F.col(end))).alias("piece"))
-        .groupBy(*keys, "piece.level", "piece.block").agg(F.max("best").alias("best"))
+    known = [F.col(k).isNotNull() for k in keys]
+    told = intervals.where(reduce(and_, known, F.col(end) >= F.col(start))).select(
+        *keys, F.lit(None).cast(days.schema[day].dataType).alias("day"), F.col(start).alias("start"), F.col(end).alias("end"), best.alias("best")
+    )
+    kind = {c: told.schema[c].dataType for c in ("start", "end", "best")}
+    asked = days.select(*keys, F.col(day).alias("day"), *[F.lit(None).cast(kind[c]).alias(c) for c in kind], F.lit(True).alias("asked"))
+    both = asked.unionByName(told.withColumn("asked", F.lit(False))).repartition(dealt(days.sparkSession), *keys)
+    pieces = both.select(
+        *keys, "day", "best", "asked",
+        F.explode(F.when(F.col("asked"), blocks_of_day(F.col("day"))).otherwise(blocks(F.col("start"), F.col("end")))).alias("piece"),
+    ).select(*keys, "day", "best", "asked", "piece.level", "piece.block")
+    of_block = F.max("best").over(Window.partitionBy(*keys, "level", "block"))
+    return (
+        pieces.withColumn("best", of_block).where("asked")
+        .groupBy(*keys, F.col("day").alias(day)).agg(F.max("best").alias("best"))
     )
-    placed = days.select(*keys, day, F.explode(blocks_of_day(F.col(day))).alias("piece")).select(*keys, day, "piece.level", "piece.block")
-    return placed.join(pieces, [*keys, "level", "block"]).groupBy(*keys, day).agg(F.max("best").alias("best"))
