@@ -26,3 +26,17 @@ def test_days_and_intervals_move_once_and_are_never_broadcast(spark, rows):
     assert rows(found, "k", "live_dt", "best.s") == [("H", date(2016, 2, 10), 1), ("H", date(2016, 2, 3), 2)]
     text = executed(found)
     assert "Broadcast" not in text and text.count("Exchange hashpartitioning") == 1 and "REPARTITION_BY_NUM" in text
+
+
+def test_daily_job_writes_compressed_files_and_does_not_deal_curves_again(spark, tmp_path):
+    bookings = spark.createDataFrame(
+        [(i, 1, "P", DAY, date(2016, 1, 5 + i), date(2016, 1, 8 + i), DAY if i % 3 == 0 else None, 1, 1, 2.0, 30.0) for i in range(9)],
+        "order_id long, hotel_id long, last_order_status string, order_dt date, arr_dt date, dpt_dt date, cancel_dt date, price_level int, room_id int, rns double, rev double",
+    )
+    dictionary = spark.createDataFrame([(1, 1, 1, 1, 1, 1, "2016-01-01")], "hotel long, masterhotelid long, city long, zone long, star long, location long, updatetime string")
+    paths = run_daily(spark, bookings, dictionary, str(tmp_path), "20160301", partitions=2)
+    for pair in PAIRS:
+        for measure in ("cancel", "valid", "pickup"):
+            for acc in ("", "_acc"):
+                files = spark.read.text(paths[f"{measure}_{pair}{acc}"]).inputFiles()
+                assert 1 <= len(files) <= 2 and all(f.endswith(".gz") for f in files)
