@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from roomtide.functions import packed_pair
 from roomtide.operators.intervals import with_best
 from roomtide.operators.reference import DEFAULT_INVENTORY_FIELD
+from roomtide.session import dealt
 
 # The label of the summed segment, the matrix columns, the share of
 # the larger determinant term below which a weight fit counts as singular.
@@ -44,17 +45,22 @@ def pickup_matrix(segments: DataFrame, columns: Sequence[int] = MATRIX_COLUMNS,
     exchange and need no other. Daily sums have few rows per key, so nothing
     is gained by adding them up before. A step keyed by (hotel, segment), as
     ``forecast_sum`` is, reuses the exchange if the matrix is dealt by that.
+    The sums are a window's, taken from its first row: a task sorts narrow
+    rows instead of holding a wide row of every key.
     """
     position = F.coalesce(
         *[F.when(F.col("adv_days") <= c, F.lit(i)) for i, c in enumerate(columns)], F.lit(len(columns))
     )
     names = [f"d_{c}" for c in columns] + ["d_over"]
+    key = Window.partitionBy(*MATRIX_KEYS)
+    whole = key.orderBy("position").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     cells = [
-        F.sum(F.when(F.col("position") == i, F.col("rns")).otherwise(0.0)).alias(name)
+        F.sum(F.when(F.col("position") == i, F.col("rns")).otherwise(0.0)).over(whole).alias(name)
         for i, name in enumerate(names)
     ]
     narrow = segments.select(*MATRIX_KEYS, position.alias("position"), "rns")
-    return narrow.repartition(*dealt_by).groupBy(*MATRIX_KEYS).agg(*cells)
+    numbered = narrow.repartition(dealt(segments.sparkSession), *dealt_by).select("*", F.row_number().over(key.orderBy("position")).alias("nth"))
+    return numbered.select(*MATRIX_KEYS, "nth", *cells).where("nth = 1").drop("nth")
 
 
 def day_tags(

@@ -40,3 +40,12 @@ def test_daily_job_writes_compressed_files_and_does_not_deal_curves_again(spark,
             for acc in ("", "_acc"):
                 files = spark.read.text(paths[f"{measure}_{pair}{acc}"]).inputFiles()
                 assert 1 <= len(files) <= 2 and all(f.endswith(".gz") for f in files)
+
+
+@pytest.mark.parametrize("by", [["htl_cd", "seg_cd"], ["htl_cd", "seg_cd", "live_dt"]])
+def test_a_matrix_task_sorts_narrow_rows(spark, rows, by):
+    data = [("H", "A", DAY, 1, 2.0), ("H", "A", DAY, 1, 3.0), ("H", "A", DAY, 9, 4.0), ("H", "B", DAY, 0, None), (None, "A", None, 0, 1.0)]
+    matrix = forecast.pickup_matrix(spark.createDataFrame(data, "htl_cd string, seg_cd string, live_dt date, adv_days int, rns double"), [0, 3], by)
+    assert rows(matrix) == [("H", "A", DAY, 0.0, 5.0, 4.0), ("H", "B", DAY, None, 0.0, 0.0), (None, "A", None, 1.0, 0.0, 0.0)]
+    text = executed(matrix)
+    assert "Aggregate" not in text and "REPARTITION_BY_NUM" in text
