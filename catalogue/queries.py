@@ -256,12 +256,12 @@ def daily_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def file_to_file_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Area text to cancel, pickup and cumulative pickup, each job reading the files of those before."""
+    """Area text to cancel, pickup and cumulative pickup, each job reading the files of those before; all are gzip files."""
     root, dims = scratch_path(spark, "jobs"), star.DIM_PAIRS["zone_star"]
-    write_delimited(_area_totals(spark, sf_dir).select(*AREA_ORDERS.names), f"{root}/area")
-    daily_curve(spark, "cancel", dims, f"{root}/area", f"{root}/cancel")
-    daily_curve(spark, "pickup", dims, f"{root}/area", f"{root}/pickup", cancel_dir=f"{root}/cancel")
-    cumulative_curve(spark, dims, f"{root}/pickup", f"{root}/acc")
+    write_delimited(_area_totals(spark, sf_dir).select(*AREA_ORDERS.names), f"{root}/area", compression="gzip")
+    daily_curve(spark, "cancel", dims, f"{root}/area", f"{root}/cancel", compression="gzip")
+    daily_curve(spark, "pickup", dims, f"{root}/area", f"{root}/pickup", cancel_dir=f"{root}/cancel", compression="gzip")
+    cumulative_curve(spark, dims, f"{root}/pickup", f"{root}/acc", compression="gzip")
     return rounded(read_curve(spark, f"{root}/acc", dims))
 
 

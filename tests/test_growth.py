@@ -49,3 +49,12 @@ def test_a_matrix_task_sorts_narrow_rows(spark, rows, by):
     assert rows(matrix) == [("H", "A", DAY, 0.0, 5.0, 4.0), ("H", "B", DAY, None, 0.0, 0.0), (None, "A", None, 1.0, 0.0, 0.0)]
     text = executed(matrix)
     assert "Aggregate" not in text and "REPARTITION_BY_NUM" in text
+
+
+def test_curve_files_can_be_compressed(spark, tmp_path):
+    (tmp_path / "area").mkdir()
+    (tmp_path / "area" / "part").write_text("A#Z#5#L#1#2016-01-01#2016-01-04##2.0#9.0\n")
+    daily_curve(spark, "valid", ["zone", "star"], str(tmp_path / "area"), str(tmp_path / "out"), compression="gzip")
+    files = spark.read.text(str(tmp_path / "out")).inputFiles()
+    assert files and all(f.endswith(".gz") for f in files)
+    assert [r.value for r in spark.read.text(str(tmp_path / "out")).collect()] == ["Z#5##2016-01-04#3#2.0#9.0"]
