@@ -58,3 +58,19 @@ def test_curve_files_can_be_compressed(spark, tmp_path):
     files = spark.read.text(str(tmp_path / "out")).inputFiles()
     assert files and all(f.endswith(".gz") for f in files)
     assert [r.value for r in spark.read.text(str(tmp_path / "out")).collect()] == ["Z#5##2016-01-04#3#2.0#9.0"]
+
+
+def test_event_sums_move_narrow_events_once(spark, rows):
+    area = spark.createDataFrame([
+        (1, 10, 5, 0, 1, date(2016, 1, 1), DAY, None, 2.0, 20.0), (1, 10, 5, 0, 1, date(2016, 1, 1), DAY, date(2016, 1, 3), None, 7.0),
+        (None, 10, 5, 0, 1, date(2016, 1, 9), DAY, DAY, 1.0, 1.0), (1, 10, 5, 0, 1, None, DAY, DAY, 1.0, 1.0),
+    ], AREA)
+    sums = curves.event_sums(area, {"cz": ["city", "zone"], "zs": ["zone", "star"]})
+    assert sums.columns == ["city", "star", "zone", "live_dt", "adv_days", "booked", "booked_rns", "booked_rev", "valid", "valid_rns", "valid_rev", "gone", "gone_rns", "gone_rev", "pair"]
+    assert rows(sums.where("pair = 'cz'").drop("pair", "star", "live_dt")) == [
+        (1, 10, 1, False, 0.0, 0.0, False, 0.0, 0.0, True, 0.0, 7.0), (1, 10, 3, True, 2.0, 27.0, True, 2.0, 20.0, False, 0.0, 0.0),
+        (None, 10, 0, True, 1.0, 1.0, False, 0.0, 0.0, True, 1.0, 1.0),
+    ]
+    assert rows(sums.where("pair = 'zs'"), "zone", "star", "adv_days", "booked_rev", "gone_rev") == [(10, 5, 0, 1.0, 1.0), (10, 5, 1, 0.0, 7.0), (10, 5, 3, 27.0, 0.0)]
+    text = executed(sums)
+    assert text.count("Exchange") == 1 and "REPARTITION_BY_NUM" in text and "Expand" not in text
