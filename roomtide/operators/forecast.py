@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
-from datetime import date
+from datetime import date, timedelta
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -286,12 +288,19 @@ def stored_forecast_gaps(stored: DataFrame, hotels: DataFrame, spans: Mapping[st
     ``stored`` reads the files of all folders at once; ``spans`` has the first
     date and the number of expected dates of each folder. A row belongs to
     the longest of the folders that its file lies below. A folder without any
-    file lacks every date. All folders take one scan and one anti join.
+    file lacks every date. All folders take one scan and one anti join, of
+    the rows whose date some folder should have; folders go by number there,
+    for a path in every row would be most of it.
     """
     file = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     below = [(d, f"{re.sub('^[a-zA-Z][a-zA-Z0-9+.-]*:/*', '/', d.rstrip('/'))}/") for d in spans]
-    folder = F.coalesce(*[F.when(F.contains(file, F.lit(path)), F.lit(d)) for d, path in sorted(below, key=lambda x: -len(x[1]))], F.lit(None).cast("string"))
-    present = stored.select(folder.alias("dir"), "htl_cd", "live_dt").distinct()
-    checks = F.array(*[F.struct(F.lit(d).alias("dir"), F.lit(start).alias("start"), F.lit(days).alias("days")) for d, (start, days) in spans.items()])
+    order = {d: i for i, d in enumerate(spans)}
+    folder = F.coalesce(*[F.when(F.contains(file, F.lit(path)), F.lit(order[d])) for d, path in sorted(below, key=lambda x: -len(x[1]))], F.lit(None).cast("int"))
+    asked = [F.col("live_dt").between(F.lit(start), F.lit(start + timedelta(days=days - 1))) if days > 0 else F.lit(False) for start, days in spans.values()]
+    dated = stored.where(reduce(or_, asked, F.lit(False)))  # before any path is looked at
+    present = dated.select(folder.alias("at"), "htl_cd", "live_dt").distinct()
+    checks = F.array(*[F.struct(F.lit(i).alias("at"), F.lit(start).alias("start"), F.lit(days).alias("days")) for i, (start, days) in enumerate(spans.values())])
     each = hotels.select("htl_cd").distinct().select("htl_cd", F.explode(checks).alias("c")).select("c.*", "htl_cd").where("days > 0")
-    return _expected(each, F.col("start"), F.col("days"), "dir").join(present, ["dir", "htl_cd", "live_dt"], "left_anti")
+    gaps = _expected(each, F.col("start"), F.col("days"), "at").join(present, ["at", "htl_cd", "live_dt"], "left_anti")
+    names = F.array(*[F.lit(d) for d in spans])
+    return gaps.select(F.get(names, F.col("at")).alias("dir"), "htl_cd", "live_dt")

@@ -74,3 +74,11 @@ def test_event_sums_move_narrow_events_once(spark, rows):
     assert rows(sums.where("pair = 'zs'"), "zone", "star", "adv_days", "booked_rev", "gone_rev") == [(10, 5, 0, 1.0, 1.0), (10, 5, 1, 0.0, 7.0), (10, 5, 3, 27.0, 0.0)]
     text = executed(sums)
     assert text.count("Exchange") == 1 and "REPARTITION_BY_NUM" in text and "Expand" not in text
+
+
+def test_stored_gaps_read_the_dates_they_ask_for(spark):
+    path = scratch_path(spark, "stored")
+    spark.createDataFrame([("H", DAY), ("H", date(2015, 1, 1))], "htl_cd string, live_dt date").write.parquet(path)
+    gaps = forecast.stored_forecast_gaps(spark.read.parquet(path), spark.createDataFrame([("H",)], "htl_cd string"), {path: (DAY, 2)})
+    assert [tuple(r) for r in gaps.collect()] == [(path, "H", date(2016, 1, 5))]
+    assert "GreaterThanOrEqual(live_dt,2016-01-04)" in executed(gaps)
