@@ -78,10 +78,13 @@ def day_tags(
     for one tag on all days; weekdays are 1 (Monday) to 7. Of overlapping runs
     that hold a date the latest start wins, then the latest end; a run that
     ends before it starts covers no day. Distinct (hotel, date) pairs are
-    looked up, in blocks of days (see ``intervals``), and joined to the rows.
+    looked up (see ``intervals``) and joined to the rows; rows that are
+    nothing but such pairs are looked up themselves.
     """
     if mode == "sameTag":
         return days.withColumn("tag", F.lit("S"))
+    if sorted(days.columns) == ["htl_cd", "live_dt"]:
+        return date_tags(days, season_runs, special_days, mode, weekend).select(*days.columns, "tag")
     tags = date_tags(days.select("htl_cd", "live_dt").distinct(), season_runs, special_days, mode, weekend)
     found = tags.select(F.col("htl_cd").alias("of_hotel"), F.col("live_dt").alias("of_day"), "tag")
     same = days["htl_cd"].eqNullSafe(found["of_hotel"]) & days["live_dt"].eqNullSafe(found["of_day"])
@@ -91,7 +94,7 @@ def day_tags(
 def date_tags(
     dates: DataFrame, season_runs: DataFrame, special_days: DataFrame, mode: str = "weekday", weekend: Sequence[int] = (5, 6, 7)
 ) -> DataFrame:
-    """(htl_cd, live_dt, tag) of distinct (hotel, date) pairs."""
+    """(htl_cd, live_dt, tag) of every (hotel, date) pair given. Special days are broadcast: a row for a date of the calendar."""
     if mode == "sameTag":
         return dates.withColumn("tag", F.lit("S"))
     weekday = F.weekday("live_dt") + 1
@@ -105,7 +108,7 @@ def date_tags(
     seasons = with_best(dates, "live_dt", season_runs, "start_dt", "end_dt", best, ["htl_cd"])
     season = F.coalesce(F.col("best.season_id").cast("string"), F.lit("0"))
     return (
-        seasons.join(codes, "live_dt", "left")
+        seasons.join(F.broadcast(codes), "live_dt", "left")
         .select(
             "htl_cd", "live_dt",
             F.coalesce(F.concat(F.lit("H"), F.col("day_code").cast("string")), F.concat(F.lit("S"), season, part)).alias("tag"),

@@ -5,8 +5,9 @@ multiples of their length: at most 30 of each length, and of the longest as
 many as it takes. A day lies in one block of each length. So days and
 intervals meet by equality of key, length and block, whatever the intervals'
 lengths and however many of them overlap: a block has one best interval,
-whose place among the others of the block is a window's matter. Days and
-intervals of a key move once, whole; their blocks are made where they are used.
+whose place among the others of the block is a window's matter. Days that no
+interval's start or end parts have the same best, so few days are looked up.
+Days and intervals of a key move once, whole; their blocks are made where they are used.
 """
 
 from __future__ import annotations
@@ -65,15 +66,18 @@ def best_covering(days: DataFrame, day: str, intervals: DataFrame, start: str, e
 
 
 def with_best(days: DataFrame, day: str, intervals: DataFrame, start: str, end: str, best: Column, keys: Sequence[str]) -> DataFrame:
-    """(keys, day, best) of every day, ``best`` being null where no interval of the key holds it.
-
-    ``days`` are distinct (keys, day). ``best`` is an expression over
-    ``intervals``, never null; an interval that ends before it starts covers
-    nothing, nor does one with a null key. Days and intervals are dealt
-    together, by their keys, before either is cut into blocks: what the
-    blocks make of them never moves, and no side is small enough to look
-    like a broadcast to Catalyst, which does not see how many blocks an
-    interval has. The partitions are not merged, for their rows grow.
+    """(keys, day, best) of every row of ``days``, ``best`` being null where no interval of the key holds the day.
+
+    ``best`` is an expression over ``intervals``, never null; an interval
+    that ends before it starts covers nothing, nor does one with a null key.
+    Between two points at which an interval starts or has ended the best
+    stays the same. So only points, two of an interval, are looked up in
+    blocks, and a day takes the best of the last point up to it: days are not
+    multiplied, and repeated ones stay apart. Days and intervals are dealt
+    together, by their keys, before anything is made of either: no side is
+    small enough to look like a broadcast to Catalyst, which does not see how
+    many blocks an interval has. The partitions are not merged, for their
+    rows grow.
     """
     known = [F.col(k).isNotNull() for k in keys]
     told = intervals.where(reduce(and_, known, F.col(end) >= F.col(start))).select(
@@ -82,12 +86,23 @@ def with_best(days: DataFrame, day: str, intervals: DataFrame, start: str, end:
     kind = {c: told.schema[c].dataType for c in ("start", "end", "best")}
     asked = days.select(*keys, F.col(day).alias("day"), *[F.lit(None).cast(kind[c]).alias(c) for c in kind], F.lit(True).alias("asked"))
     both = asked.unionByName(told.withColumn("asked", F.lit(False))).repartition(dealt(days.sparkSession), *keys)
+    nowhere = F.lit(None).cast(days.schema[day].dataType)
+    of_interval = F.concat(
+        _pieces(blocks(F.col("start"), F.col("end")), nowhere), *[_pieces(blocks_of_day(p), p) for p in (F.col("start"), F.date_add("end", 1))]
+    )
     pieces = both.select(
-        *keys, "day", "best", "asked",
-        F.explode(F.when(F.col("asked"), blocks_of_day(F.col("day"))).otherwise(blocks(F.col("start"), F.col("end")))).alias("piece"),
-    ).select(*keys, "day", "best", "asked", "piece.level", "piece.block")
+        *keys, "best", "asked",
+        F.explode(F.when(F.col("asked"), _pieces(F.array(F.struct(F.lit(-1).alias("level"), F.lit(0).alias("block"))), F.col("day"))).otherwise(of_interval)).alias("piece"),
+    ).select(*keys, "asked", "piece.*", F.when(F.col("piece.day").isNull(), F.col("best")).alias("best"))
     of_block = F.max("best").over(Window.partitionBy(*keys, "level", "block"))
+    of_point = F.max("best").over(Window.partitionBy(*keys, "day"))
+    last_point = F.last(F.when(~F.col("asked"), F.struct("best")), ignorenulls=True).over(Window.partitionBy(*keys).orderBy("day"))
     return (
-        pieces.withColumn("best", of_block).where("asked")
-        .groupBy(*keys, F.col("day").alias(day)).agg(F.max("best").alias("best"))
+        pieces.withColumn("best", of_block).where("asked or day is not null").select(*keys, "asked", "day", "best")
+        .withColumn("best", of_point).withColumn("point", last_point).where("asked")
+        .select(*keys, F.col("day").alias(day), F.col("point.best").alias("best"))
     )
+
+
+def _pieces(blocks: Column, day: Column) -> Column:
+    return F.transform(blocks, lambda b: F.struct(b["level"].alias("level"), b["block"].alias("block"), day.alias("day")))

@@ -1,6 +1,7 @@
 """What must not grow out of one task, the driver or the disk as tables grow: seen in plans and files of small tables."""
 
-from datetime import date
+import random
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -28,6 +29,27 @@ def test_days_and_intervals_move_once_and_are_never_broadcast(spark, rows):
     assert "Broadcast" not in text and text.count("Exchange hashpartitioning") == 1 and "REPARTITION_BY_NUM" in text
 
 
+def test_days_are_not_multiplied_and_pairs_are_tagged_where_they_are(spark, rows):
+    draw = random.Random(3)
+    date_of = lambda k: date(2016, 1, 1) + timedelta(days=k)
+    runs = [(h, date_of(a), date_of(a + draw.choice([-1, 0, 3, 40, 700])), s) for s in range(40) for h in "AB" for a in [draw.randrange(900)]]
+    days = [(draw.choice("ABC"), date_of(draw.randrange(-30, 1700))) for _ in range(300)]
+    days += days[:5] + [("A", None), (None, DAY)]
+    season_runs = spark.createDataFrame(runs, "htl_cd string, start_dt date, end_dt date, season_id int")
+    special = spark.createDataFrame([(date_of(k), 7) for k in range(0, 1700, 50)], "day date, day_code int")
+    tagged = forecast.day_tags(spark.createDataFrame(days, "htl_cd string, live_dt date"), season_runs, special, "noWeekday")
+    text = executed(tagged)
+    assert "SortMergeJoin" not in text and text.count("Exchange hashpartitioning") == 2  # pairs with runs, special days
+
+    def plain(hotel, day):
+        if day and (day - date_of(0)).days in range(0, 1700, 50):
+            return "H7"
+        held = [(a, b, s) for h, a, b, s in runs if h == hotel and day and a <= day <= b]
+        return f"S{max(held)[2] if held else 0}"
+
+    assert rows(tagged) == sorted([(h, x, plain(h, x)) for h, x in days], key=repr)
+
+
 def test_daily_job_writes_compressed_files_and_does_not_deal_curves_again(spark, tmp_path):
     bookings = spark.createDataFrame(
         [(i, 1, "P", DAY, date(2016, 1, 5 + i), date(2016, 1, 8 + i), DAY if i % 3 == 0 else None, 1, 1, 2.0, 30.0) for i in range(9)],
