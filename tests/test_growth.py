@@ -6,7 +6,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from roomtide.operators import curves, forecast
+from roomtide.operators import area, curves, forecast
 from roomtide.operators.intervals import best_covering
 from roomtide.plans.curve_jobs import daily_curve
 from roomtide.plans.otb import PAIRS, run_daily
@@ -104,3 +104,18 @@ def test_stored_gaps_read_the_dates_they_ask_for(spark):
     gaps = forecast.stored_forecast_gaps(spark.read.parquet(path), spark.createDataFrame([("H",)], "htl_cd string"), {path: (DAY, 2)})
     assert [tuple(r) for r in gaps.collect()] == [(path, "H", date(2016, 1, 5))]
     assert "GreaterThanOrEqual(live_dt,2016-01-04)" in executed(gaps)
+
+
+def test_bookings_with_areas_are_dealt_before_their_nights(spark, rows):
+    bookings = spark.createDataFrame(
+        [(i, h, DAY, date(2016, 1, 5), date(2016, 1, 7), c, 1, r, 30.0) for i, (h, c, r) in enumerate([(1, None, 2.0), (2, None, 4.0), (1, DAY, None), (3, None, 1.0)])],
+        "order_id long, hotel_id long, order_dt date, arr_dt date, dpt_dt date, cancel_dt date, price_level int, rns double, rev double",
+    )
+    dictionary = spark.createDataFrame(
+        [(h, 2, 1, 10, 5, 0, "2016-01-01") for h in (1, 2)], "hotel long, masterhotelid long, city long, zone long, star long, location long, updatetime string"
+    )
+    totals = area.area_orders_from_bookings(bookings, dictionary, dedupe=False)
+    text = executed(totals)
+    assert text.index("Generate explode(sequence") < text.index("REPARTITION_BY_NUM") and "sum(rns" not in text.split("REPARTITION_BY_NUM")[1]
+    two = [(1, 10, 5, 0, 1, DAY, date(2016, 1, k), c, n, v) for k in (5, 6) for c, n, v in [(None, 6.0, 60.0), (DAY, None, 30.0)]]
+    assert totals.columns == [*area.AREA_ORDER_KEYS, "rns", "rev"] and rows(totals) == sorted(two, key=repr)
