@@ -38,8 +38,10 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of each document, and the hash of the text decoded from them."""
-    encoded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), tokenizer_path())
-    return bpe.decode(encoded, tokenizer_path()).selectExpr(
+    path = scratch_path(spark, "encoded")
+    # stored between, so that an executor has one Python worker for each running task, not two
+    bpe.encode(docs.select("doc_id", "lang", "source", "text"), tokenizer_path()).write.parquet(path)
+    return bpe.decode(spark.read.parquet(path), tokenizer_path()).selectExpr(
         "doc_id", "lang", "source", "n_tokens", "ids", "sha2(decoded, 256) as decoded_sha256", "decoded = coalesce(text, '') as same_text"
     )
 

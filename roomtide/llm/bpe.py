@@ -30,22 +30,44 @@ from pyspark.sql import DataFrame, functions as F
 from roomtide.llm.pieces import PATTERN, PieceEncoder, byte_letters
 from roomtide.llm.text import map_batches, one_column
 
-class Codec:
+
+def _vocabulary(path: str) -> tuple[dict, list[bytes]]:
+    """The file's contents, and the byte string of each id."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    kind = spec["pre_tokenizer"] or {}
+    if spec["model"]["type"] != "BPE" or kind.get("type") != "ByteLevel" or kind.get("add_prefix_space") or not kind.get("use_regex", True) or spec["normalizer"]:
+        raise ValueError(f"{path} isn't a plain byte-level BPE")
+    letters, vocab = byte_letters(), spec["model"]["vocab"]
+    specials = {x["content"]: x["id"] for x in spec["added_tokens"]}
+    strings = [b""] * (1 + max([*vocab.values(), *specials.values()]))
+    for token, i in vocab.items():
+        strings[i] = bytes(letters[c] for c in token) if token not in specials else token.encode()
+    for token, i in specials.items():
+        strings[i] = token.encode()
+    return spec, strings
+
+
+class Decoder:
+    """Decoder of one vocabulary file (byte-level BPE)."""
+
+    def __init__(self, strings: list[bytes]):
+        self.strings = strings
+
+    def decode(self, ids: bytes) -> str:
+        """Text of little-endian unsigned 32-bit ids."""
+        strings = self.strings
+        return b"".join([strings[i] for i in np.frombuffer(ids, "<u4").tolist()]).decode("utf-8", "replace")
+
+
+class Codec(Decoder):
     """Encoder and decoder of one vocabulary file (byte-level BPE)."""
 
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        kind = spec["pre_tokenizer"] or {}
-        if spec["model"]["type"] != "BPE" or kind.get("type") != "ByteLevel" or kind.get("add_prefix_space") or not kind.get("use_regex", True) or spec["normalizer"]:
-            raise ValueError(f"{path} isn't a plain byte-level BPE")
+        spec, strings = _vocabulary(path)
+        super().__init__(strings)
         letters, vocab = byte_letters(), spec["model"]["vocab"]
         specials = {x["content"]: x["id"] for x in spec["added_tokens"]}
-        self.strings: list[bytes] = [b""] * (1 + max([*vocab.values(), *specials.values()]))
-        for token, i in vocab.items():
-            self.strings[i] = bytes(letters[c] for c in token) if token not in specials else token.encode()
-        for token, i in specials.items():
-            self.strings[i] = token.encode()
         self.of_byte = [0] * 256
         for letter, b in letters.items():
             self.of_byte[b] = vocab[letter]
@@ -89,11 +111,6 @@ class Codec:
                 heappush(queue, (hit[0], h, (symbols[h], new), hit[1]))
         return [s for s in symbols if s >= 0]
 
-    def decode(self, ids: bytes) -> str:
-        """Text of little-endian unsigned 32-bit ids."""
-        strings = self.strings
-        return b"".join([strings[i] for i in np.frombuffer(ids, "<u4").tolist()]).decode("utf-8", "replace")
-
 
 @lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
@@ -101,6 +118,12 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
+@lru_cache(maxsize=2)
+def decoder(path: str) -> Decoder:
+    """One decoder for each worker process and file, without what only encoding needs."""
+    return Decoder(_vocabulary(path)[1])
+
+
 def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", n_tokens: str = "n_tokens") -> DataFrame:
     """``df`` with the ids (array of int) and the number of ids of each text."""
     keep = [c for c in df.columns if c.lower() not in (ids.lower(), n_tokens.lower())]
@@ -124,7 +147,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
     places = [df.columns.index(c) for c in keep]
 
     def run(batch: pa.RecordBatch):
-        found = [codec(path).decode(np.array(x or [], "<u4").tobytes()) for x in batch.column(at).to_pylist()]
+        found = [decoder(path).decode(np.array(x or [], "<u4").tobytes()) for x in batch.column(at).to_pylist()]
         columns = [batch.column(k) for k in places] + [pa.array(found, pa.string())]
         yield pa.RecordBatch.from_arrays(columns, names=[*keep, text])
 

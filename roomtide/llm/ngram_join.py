@@ -48,10 +48,9 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from roomtide.llm.components import smallest_nodes
-from roomtide.llm.text import WordHashes, map_batches, mixed, one_column, signed, slices, text_bytes, words
+from roomtide.llm.text import map_batches, mixed, one_column, signed, slices, text_bytes, word_hashes, words
 from roomtide.session import scratch_path
 
-_HASHES = WordHashes()
 BLOCK = 1 << 14
 SEEN = 100_000
 SHARED = 2
@@ -63,7 +62,7 @@ def shingle_hashes(found: list[bytes], width: int) -> np.ndarray:
         return np.empty(0, np.uint64)
     if len(found) < width:
         return np.array([xxhash.xxh3_64_intdigest(b" ".join(found), seed=len(found))], np.uint64)
-    h, n = _HASHES.of(found), len(found) - width + 1
+    h, n = word_hashes(found), len(found) - width + 1
     total = np.zeros(n, np.uint64)
     for k in range(width):
         total = total * np.uint64(0x9E3779B97F4A7C15) + h[k:k + n]

@@ -45,14 +45,13 @@ import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from roomtide.llm.text import LOWER, WordHashes, held_out, one_column, signed, slices, text_bytes
+from roomtide.llm.text import LOWER, held_out, one_column, signed, slices, text_bytes, word_hashes
 from roomtide.session import scratch_path
 
 DEPTH, END = 5, 0xFF
 BLOCK_BYTES, BLOCK_ROWS = 32 << 20, 1 << 17
 GRAM, WORD, CHECK = 0, 1, 2
 END_WORD = xxhash.xxh3_64_intdigest(b" ")
-_HASHES = WordHashes()
 
 
 def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -187,7 +186,7 @@ def ask(rows: DataFrame) -> DataFrame:
             for learned in (True, False):
                 some = [t for t, out in zip(low, part.column(2).to_pylist()) if out != learned]
                 if some:
-                    words = np.append(_HASHES.of(b" ".join(some).split()), np.full(len(some), END_WORD, np.uint64))
+                    words = np.append(word_hashes(b" ".join(some).split()), np.full(len(some), END_WORD, np.uint64))
                     for kind, found in ((GRAM, grams(some)[0]), (WORD, signed(words))):
                         key, n = np.unique(found, return_counts=True)
                         held[kind].append((key, n if learned else np.zeros(len(n), np.int64)))
@@ -252,7 +251,7 @@ class Scorer:
         keys = np.full(int(lengths.sum()), END_WORD, np.uint64)
         inside = np.ones(len(keys), bool)
         inside[starts + lengths - 1] = False
-        keys[inside] = _HASHES.of([w for found in words for w in found])
+        keys[inside] = word_hashes([w for found in words for w in found])
         at = self.index[WORD].of(signed(keys))
         return score, lengths, np.add.reduceat(self.known[at], starts), np.add.reduceat(self.value[WORD][at], starts)
 

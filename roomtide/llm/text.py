@@ -18,21 +18,9 @@ def words(text: bytes) -> list[bytes]:
     return text.translate(LOWER).split()
 
 
-class WordHashes(dict):
-    """64-bit hash of a word; a cache that starts anew when full, so its size is bounded."""
-
-    def __init__(self, capacity: int = 300_000):
-        super().__init__()
-        self.capacity = capacity
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.capacity:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def of(self, found: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, found), np.uint64, len(found))
+def word_hashes(found: list[bytes]) -> np.ndarray:
+    """64-bit hash of each word. Hashing a word takes less time than looking it up, so none are kept."""
+    return np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, found)), ">u8").astype(np.uint64)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:

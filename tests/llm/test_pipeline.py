@@ -4,12 +4,13 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
-from roomtide.llm import ngram_join, quality_classifier, secret_scan
+from roomtide.llm import bpe, ngram_join, quality_classifier, secret_scan, suffix_tree, text
 from roomtide.llm.oracles import mixing_sql
 from roomtide.llm.queries import llm_queries, tokenizer_path
 
@@ -130,3 +131,16 @@ def test_run_on_empty_tables(spark, small, tmp_path):
     for name in ("documents", "labels"):
         spark.read.parquet(f"{small}/{name}.parquet").where("false").write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_encoding_and_decoding_take_one_python_worker_of_a_task(spark, odd):
+    """Two Python functions in one stage keep two workers for each running task, with the tables of both."""
+    plan = corpus_pipeline.token_ids(spark, odd, "")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    assert not hasattr(bpe.decoder(tokenizer_path()), "merges")
+
+
+def test_word_hashes_are_not_kept(spark):
+    found = [b"one", b"two", b"one"]
+    assert text.word_hashes(found).tolist() == [xxhash.xxh3_64_intdigest(w) for w in found] and len(text.word_hashes([])) == 0
+    assert not any(isinstance(x, dict) and not k.startswith("__") for m in (ngram_join, suffix_tree, text) for k, x in vars(m).items())
