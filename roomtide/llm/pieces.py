@@ -3,7 +3,9 @@
 The pattern of byte-level BPE always begins a token at a space that is
 followed by something other than white space. A text may therefore be cut
 before every such space, and the ids of the whole are those of the pieces in
-turn. Words repeat, so the ids of a piece are kept. The cache has two
+turn. Words repeat, so the ids of a piece are kept. A line feed that stands
+alone in white space is a token of its own, so a text may be cut before it,
+too (``cuttable``): what follows it is a piece that begins with it. The cache has two
 generations of bounded size: a full one becomes the old one, from which pieces
 that are met again move on, so what is common stays and what is rare goes.
 """
@@ -35,6 +37,26 @@ def special_splitter(specials: dict[str, int]) -> Callable[[str], list[str]]:
     return re.compile("(" + "|".join(longest_first) + ")").split if specials else lambda text: [text]
 
 
+def cuttable(text: str) -> str | None:
+    """The text to be split at spaces, None if it can't be: a space goes before every line feed, unless white space of several signs may be there.
+
+    The first piece has no space in front, the others have one or begin with a line feed.
+    """
+    if "\n" in text:
+        if " \n" in text:
+            return None
+        if "\n\n" not in text and "\r" not in text and "\t" not in text:
+            text = text.replace("\n", " \n")
+    first = text.partition(" ")[0]
+    return None if first and WHITE.match(first[-1]) else text
+
+
+def is_regular(piece: str) -> bool:
+    """False if white space is at an end of the piece, but for one line feed in front: its text isn't cut."""
+    body = piece.removeprefix("\n")
+    return piece == "\n" or bool(body) and not WHITE.match(body[0]) and not WHITE.match(body[-1])
+
+
 class Irregular(Exception):
     """A space before white space or at the end: the text isn't cut."""
 

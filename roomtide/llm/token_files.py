@@ -38,22 +38,23 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from roomtide.llm.pieces import PATTERN, STOPS, WHITE, byte_letters, special_splitter
+from roomtide.llm.pieces import PATTERN, STOPS, byte_letters, cuttable, is_regular, special_splitter
 from roomtide.llm.text import SLICE, map_batches, one_column, slices
 from roomtide.session import scratch_path
 
 
-#: Characters that are encoded at once, and a place where a longer text may be cut.
+#: Characters that are encoded at once of one text, which may be cut behind them, and bytes of several texts.
 LONG = 1 << 20
+BATCH = 10 << 20
 ONWARD = regex.compile(r" (?=\S)")
 
 
@@ -61,7 +62,7 @@ class LibraryEncoder:
     """Ids of whole texts by the tokenizers library, for some texts at once.
 
     For a plain byte-level BPE, a text may be cut before every space that is
-    followed by something other than white space (see ``pieces``). The
+    followed by something other than white space, and before a line feed alone (see ``pieces``). The
     library's model gets each distinct piece of the texts once: words of
     letters together in one call, joined by a sign over which no merge
     reaches, of other pieces every pre-token. Pieces stay known in two
@@ -112,7 +113,7 @@ class LibraryEncoder:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         if not self.simple:
             return [self.whole(t) for t in texts]
-        if sum(map(len, texts)) <= LONG:
+        if max(map(len, texts), default=0) <= LONG and sum(map(len, texts)) <= BATCH:
             parts = [self.split(t) for t in texts]
             encoded = iter(self.plain([p for x in parts for p in x if p not in self.specials]))
             return [b"".join([self.specials.get(p) or next(encoded) for p in x]) for x in parts]
@@ -123,45 +124,83 @@ class LibraryEncoder:
 
     def plain(self, texts: list[str]) -> list[bytes]:
         """The same for texts without special tokens."""
-        cuts = [t.split(" ") for t in texts]
-        firsts = [c[0] for c in cuts]
-        distinct = set().union(*cuts)
-        if len(self.pieces) + len(distinct) > self.capacity:
+        ready = [cuttable(t) for t in texts]
+        # Arrow cuts and numbers the pieces: only the distinct ones become Python's
+        cuts = pc.split_pattern(pa.array([t or "" for t in ready], pa.large_string()), " ")
+        numbered = cuts.flatten().dictionary_encode()
+        bounds, codes, pieces = cuts.offsets.to_numpy(), numbered.indices.to_numpy().astype(np.int64), numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        heads = codes[bounds[:-1]]  # the beginnings of texts have no space in front
+        firsts = {k: len(pieces) + i for i, k in enumerate(np.unique(heads).tolist())}
+        codes[bounds[:-1]] = [firsts[k] for k in heads.tolist()]
+
+        table = list(map(self.pieces.get, pieces))
+        inner = np.bincount(codes, minlength=len(pieces)) > 0  # not only at beginnings
+        gaps = [k for k in np.flatnonzero(inner[:len(pieces)]).tolist() if table[k] is None]
+        if len(self.pieces) + len(gaps) > self.capacity:
             self.pieces, self.older = {}, self.pieces
         if len(self.tokens) > self.capacity // 8:
             self.tokens.clear()
-        new = {p for p in distinct if p not in self.pieces}
-        back = {p: self.older[p] for p in new if p in self.older}
+        wanted = {pieces[k] for k in gaps}
+        back = {p: self.older[p] for p in wanted if p in self.older}
         self.pieces.update(back)
-        self.learn(new.difference(back), [f for f in firsts if f])
-        known, out = self.pieces.__getitem__, []
-        for text, first, pieces in zip(texts, firsts, cuts):
-            try:
-                out.append((self.joined(self.find(first)) if first else b"") + b"".join(map(known, islice(pieces, 1, None))))
-            except KeyError:  # a space before white space or at the end: the text isn't cut
-                out.append(self.joined(self.find(text)))
+        self.learn(wanted.difference(back), [pieces[k] for k in firsts])
+        for k in gaps:
+            table[k] = self.pieces.get(pieces[k])
+        for p in [p for p in wanted if len(p) >= 64]:
+            self.pieces.pop(p, None)
+            self.pieces.pop(p[:-1], None)
+        uncut = np.array([x is None for x in table] + [False] * len(firsts))
+        table = [x or b"" for x in table] + [self.joined(self.find(pieces[k])) for k in firsts]
+
+        ids, sizes = np.frombuffer(b"".join(table), "<u4"), np.array([len(x) // 4 for x in table])
+        n = sizes[codes]
+        ends = np.cumsum(n)
+        places = np.repeat(((np.cumsum(sizes) - sizes)[codes] - (ends - n)).astype(np.int32), n)
+        places += np.arange(len(places), dtype=np.int32)
+        raw, at = ids[places].tobytes(), (4 * np.concatenate([[0], ends])[bounds]).tolist()
+        out = [raw[a:b] for a, b in zip(at, at[1:])]
+        irregular = np.searchsorted(bounds, np.flatnonzero(uncut[codes]), "right") - 1  # white space that isn't one sign
+        for k in {*irregular.tolist(), *(k for k, t in enumerate(ready) if t is None)}:
+            out[k] = self.joined(self.find(texts[k]))
         return out
 
     def learn(self, pieces: set[str], firsts: list[str]) -> None:
-        """Ids of the pieces that follow a space, and of the pre-tokens of the others and of beginnings of texts."""
-        stops = {p for p in pieces if p[-1:] in STOPS and p[:-1].isalpha()}
-        words = {p for p in pieces if p.isalpha()}
-        others = {p: self.find(" " + p) for p in pieces - words - stops if p and not WHITE.match(p)}
+        """Ids of the pieces, and of the pre-tokens of beginnings of texts and of pieces that aren't letters alone."""
+        words, stops, others, lines = set(), [], [], []
+        for p in pieces:
+            if p.isalpha():
+                words.add(p)
+            elif p[-1:] in STOPS and p[:-1].isalpha():
+                stops.append(p)
+            elif is_regular(p):
+                (lines if p[0] == "\n" else others).append(p)
         words.update({p[:-1] for p in stops}.difference(self.pieces))
-        tokens = {x for found in (*others.values(), *map(self.find, firsts)) for x in found}.difference(self.tokens)
+        found = [*self.each(others, " " + " ".join(others), " "), *self.each(lines, "".join(lines), "\n")]
+        tokens = {x for part in (*found, *map(self.find, firsts)) for x in part}.difference(self.tokens)
         words.update({x[1:] for x in tokens if x[0] == " " and x[1:].isalpha()}.difference(self.pieces))
         self.pieces.update(self.words(list(words)))
         self.tokens.update(self.beginnings([x for x in tokens if x.isalpha()]))
+        signs = {c: self.joined(c) for c in STOPS}
         for p in stops:
-            self.pieces[p] = self.pieces[p[:-1]] + self.joined(p[-1])
-        for p, found in others.items():
-            self.pieces[p] = self.joined(found)
+            self.pieces[p] = self.pieces[p[:-1]] + signs[p[-1]]
+        for p, part in zip([*others, *lines], found):
+            self.pieces[p] = self.joined(part)
+
+    def each(self, pieces: list[str], text: str, sign: str) -> list[list[str]]:
+        """The pre-tokens of each piece, found in the text of them all: a piece begins where a pre-token begins with the sign."""
+        found: list[list[str]] = []
+        for x in self.find(text) if pieces else ():
+            if x[0] == sign:
+                found.append([x])
+            else:
+                found[-1].append(x)
+        return found
 
     def joined(self, tokens) -> bytes:
         """The ids of pre-tokens in turn."""
         out = []
         for x in tokens:
-            ids = self.pieces.get(x[1:]) if x[0] == " " and len(x) > 1 else self.tokens.get(x)
+            ids = self.pieces.get(x[1:]) if x[0] == " " and len(x) > 1 and x[1] != "\n" else self.tokens.get(x)
             if ids is None:
                 ids = array("I", [t.id for t in self.model.tokenize(self.lettered(x))]).tobytes()
                 if len(x) < 16:
@@ -270,7 +309,7 @@ def write(
 
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lib, pack = encoder(tokenizer), _compressor(dictionary, level)
-        for batch in slices(batches):
+        for batch in slices(batches, BATCH):
             counts, sums, out = [], [], []
             for raw in lib.ids([x or "" for x in batch.column(1).to_pylist()]):
                 raw += end

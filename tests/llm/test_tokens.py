@@ -80,3 +80,22 @@ def test_empty_table_and_foreign_dictionary(spark, empty, documents):
     spark.read.parquet(f"{folder}/dictionary").write.mode("overwrite").parquet(f"{other}/dictionary")
     with pytest.raises(Exception, match="another dictionary"):
         token_files.read(spark, other).collect()
+
+
+def test_texts_are_encoded_together_as_the_library_does(library):
+    random.seed(6)
+    parts = ["foo ", " bar", "baz.\n", "\nqux", "\n", ". ", "ab, ", "don't ", "\x0b", "\t", "x" * 70 + " ", "x" * 70 + ", ", "<|endoftext|>", "１2 "]
+    texts = ["".join(random.choices(parts, k=random.randint(0, 12))) for _ in range(2000)]
+    for capacity in (250_000, 40):
+        encoder = token_files.LibraryEncoder(tokenizer_path(), capacity)
+        for k in range(0, len(texts), 100):
+            for text, ids in zip(texts[k:k + 100], encoder.ids(texts[k:k + 100])):
+                assert np.frombuffer(ids, "<u4").tolist() == ids_of(library, text)
+        assert not any(len(p) >= 64 for p in encoder.pieces)  # what is kept is bounded in bytes
+
+
+def test_lines_are_pieces(library):
+    """What stands on both sides of a line feed is known by itself, so other neighbours don't have to be learned."""
+    encoder = token_files.LibraryEncoder(tokenizer_path())
+    assert np.frombuffer(encoder.ids(["one two.\nThree four"])[0], "<u4").tolist() == ids_of(library, "one two.\nThree four")
+    assert {"two.", "\nThree", "four"} <= set(encoder.pieces) and "two.\nThree" not in encoder.pieces
