@@ -1,6 +1,7 @@
 """What must not grow out of one task, the driver or the disk as tables grow: seen in plans and files of small tables."""
 
 import random
+import time
 from datetime import date, timedelta
 
 import pytest
@@ -9,8 +10,9 @@ from pyspark.sql import functions as F
 from roomtide.operators import area, curves, forecast
 from roomtide.operators.intervals import best_covering
 from roomtide.plans.curve_jobs import daily_curve
+from roomtide.operators.nights import hotel_nights
 from roomtide.plans.otb import PAIRS, run_daily
-from roomtide.session import scratch_path
+from roomtide.session import FILE_CLEANUP, scratch_path, shuffles_released
 
 DAY = date(2016, 1, 4)
 AREA = "city long, zone long, star long, location long, price_level int, order_dt date, live_dt date, cancel_dt date, rns double, rev double"
@@ -64,6 +66,38 @@ def test_daily_job_writes_compressed_files_and_does_not_deal_curves_again(spark,
                 assert 1 <= len(files) <= 2 and all(f.endswith(".gz") for f in files)
 
 
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(k).getName() for k in range(files.size()) if files.apply(k).getName().startswith("shuffle_")}
+
+
+def test_a_daily_job_keeps_no_shuffle_files(spark, tmp_path):
+    """Its steps store what they make, so an exchange needn't lie on disk beside the next one."""
+    bookings = spark.range(300).repartition(3).selectExpr(
+        "id as order_id", "id % 9 as hotel_id", "'P' as last_order_status", "date '2016-01-04' as order_dt", "date_add(date '2016-01-05', cast(id % 7 as int)) as arr_dt",
+        "date_add(date '2016-01-08', cast(id % 7 as int)) as dpt_dt", "if(id % 3 = 0, date '2016-01-04', null) as cancel_dt", "1 as price_level", "1 as room_id", "2D as rns", "30D as rev",
+    )
+    dictionary = spark.range(9).selectExpr("id as hotel", "id as masterhotelid", "id % 2 as city", "id as zone", "1L as star", "1L as location", "'2016' as updatetime")
+    before, setting = shuffle_files(spark), spark.conf.get(FILE_CLEANUP)
+    paths = run_daily(spark, bookings, dictionary, str(tmp_path), "20160301", partitions=2)
+    assert spark.conf.get(FILE_CLEANUP) == setting
+    until = time.monotonic() + 20
+    while (left := shuffle_files(spark) - before) and time.monotonic() < until:
+        time.sleep(0.2)  # they are removed behind the job's back
+    assert not left
+    for name in ("hotel_nights", "area_orders", "event_sums", "event_sums_city_star", "cancel_city_star_both"):
+        files = spark.read.parquet(paths[name]).inputFiles()
+        assert files and all(".zstd.parquet" in f for f in files)
+
+
+def test_the_cleanup_setting_outlives_no_failure(spark):
+    setting = spark.conf.get(FILE_CLEANUP)
+    with pytest.raises(ValueError), shuffles_released(spark):
+        assert spark.conf.get(FILE_CLEANUP) == "true"
+        raise ValueError
+    assert spark.conf.get(FILE_CLEANUP) == setting
+
+
 @pytest.mark.parametrize("by", [["htl_cd", "seg_cd"], ["htl_cd", "seg_cd", "live_dt"]])
 def test_a_matrix_task_sorts_narrow_rows(spark, rows, by):
     data = [("H", "A", DAY, 1, 2.0), ("H", "A", DAY, 1, 3.0), ("H", "A", DAY, 9, 4.0), ("H", "B", DAY, 0, None), (None, "A", None, 0, 1.0)]
@@ -119,3 +153,32 @@ def test_bookings_with_areas_are_dealt_before_their_nights(spark, rows):
     assert text.index("Generate explode(sequence") < text.index("REPARTITION_BY_NUM") and "sum(rns" not in text.split("REPARTITION_BY_NUM")[1]
     two = [(1, 10, 5, 0, 1, DAY, date(2016, 1, k), c, n, v) for k in (5, 6) for c, n, v in [(None, 6.0, 60.0), (DAY, None, 30.0)]]
     assert totals.columns == [*area.AREA_ORDER_KEYS, "rns", "rev"] and rows(totals) == sorted(two, key=repr)
+
+
+def test_bookings_are_dealt_before_their_nights_and_nights_are_summed_in_place(spark, rows):
+    late = date(2016, 1, 9)
+    bookings = spark.createDataFrame(
+        [(i, h, s, DAY, date(2016, 1, 5), out, c, 1, 4, r, 30.0) for i, (h, s, out, c, r) in enumerate([
+            (1, "P", date(2016, 1, 7), None, 2.0), (2, "P", date(2016, 1, 7), None, 4.0), (1, "P", date(2016, 1, 7), DAY, None), (None, None, date(2016, 1, 6), late, 1.0),
+            (1, "P", date(2016, 1, 6), None, 1.0), (1, "P", date(2016, 1, 5), None, 1.0),
+        ])],
+        "order_id long, hotel_id long, last_order_status string, order_dt date, arr_dt date, dpt_dt date, cancel_dt date, price_level int, room_id int, rns double, rev double",
+    )
+    dictionary = spark.createDataFrame(
+        [(h, 2, 1, 10, 5, 0, "2016-01-01") for h in (1, 2)], "hotel long, masterhotelid long, city long, zone long, star long, location long, updatetime string"
+    )
+    nights = hotel_nights(bookings, dictionary)
+    text = executed(nights)
+    assert text.index("Generate explode(sequence") < text.index("REPARTITION_BY_NUM") and "sum(rns" not in text.split("REPARTITION_BY_NUM")[1]
+    five, six = date(2016, 1, 5), date(2016, 1, 6)
+    assert nights.columns == ["hotel_id_m", "order_status", "order_dt", "live_dt", "cancel_dt", "price_level", "sub_room_id", "rns", "rev"]
+    assert rows(nights) == sorted([
+        (2, "P", DAY, five, None, 1, 4, 4.0, 60.0), (2, "P", DAY, six, None, 1, 4, 3.0, 30.0), (2, "P", DAY, five, DAY, 1, 4, None, 15.0), (2, "P", DAY, six, DAY, 1, 4, None, 15.0),
+        (None, None, DAY, five, late, 1, 4, 1.0, 30.0),
+    ], key=repr)
+    path = scratch_path(spark, "nights")
+    nights.write.parquet(path)
+    totals = area.area_orders(spark.read.parquet(path), dictionary)
+    text = executed(totals)
+    assert "REPARTITION_BY_NUM" in text and "sum(rns" not in text.split("REPARTITION_BY_NUM")[1]
+    assert rows(totals) == sorted([(1, 10, 5, 0, 1, DAY, x, c, n, v) for x, c, n, v in [(five, None, 4.0, 60.0), (six, None, 3.0, 30.0), (five, DAY, None, 15.0), (six, DAY, None, 15.0)]], key=repr)
